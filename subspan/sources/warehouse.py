@@ -88,8 +88,10 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Iterabl
     _point(spark, f"{path}/versions", version)
 
 
-def _by_day(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn("day", F.col(column).cast("date"))
+def _with_day(df: DataFrame, column: str, unit: str = "day") -> DataFrame:
+    """Add the partition column: the day of ``column``, or the first day of its month."""
+    day = F.col(column).cast("date")
+    return df.withColumn("day", day if unit == "day" else F.trunc(day, unit))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -99,15 +101,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def upsert_events(spark: SparkSession, path: str, batch: DataFrame) -> None:
+def upsert_events(spark: SparkSession, path: str, batch: DataFrame, unit: str = "day") -> None:
     """S7 for the event table, stored by day of occurrence; rewrites only the days it must.
 
+    ``unit="month"`` stores by month instead, for tables too small to fill daily files.
+
     Those are the batch's days and the days where its event ids already sit, since a correction
     may move an event to another day. A crash halfway leaves old and new days mixed; repeating
     the same batch completes it, because the merge picks one row per id over all those days.
     """
     columns = CONTRACTS["events"].columns
-    incoming = _by_day(batch.select(*columns), "occurred_at")
+    incoming = _with_day(batch.select(*columns), "occurred_at", unit)
     stored = read_events(spark, path)
     known = stored.select("event_id", "day").join(incoming.select("event_id"), "event_id", "left_semi")
     # A list of days: bounded by the calendar, not by the events.
