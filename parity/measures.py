@@ -61,6 +61,7 @@ def revenue_by(columns: str) -> dict[str, str]:
                             / nullif(cast(sum(w.beginning_accounts) as double), 0), 0) as modeled_ltv
             from group_last l join group_months w
               on w.period between l.period - interval 2 month and l.period {same}
+             and w.period in (select date_day from date_dim)
             group by {last_keys}l.arpa""",
     }
 
@@ -80,10 +81,8 @@ for label, columns in (("total", ""), ("by_segment", "segment"), ("by_region_cha
     star_query(f"D1_to_D17_revenue_{label}", f"select {keys}{REVENUE_COLUMNS} from group_last", **parts)(
         lambda s, m, by=by: measure_query(s, REVENUE_MEASURES, by)
     )
-    star_query(f"D16_modeled_ltv_{label}", f"select {keys}modeled_ltv from group_ltv", **parts)(
-        lambda s, m, by=by: measure_query(s, ["modeled_ltv"], by).where(
-            F.lit(True) if not by else F.col("modeled_ltv").isNotNull()
-        )
+    star_query(f"D16_modeled_ltv_{label}", f"select {keys}modeled_ltv from group_ltv{' where modeled_ltv is not null' if by else ''}", **parts)(
+        lambda s, m, by=by: measure_query(s, ["modeled_ltv"], by)
     )
 
 # Revenue reaches the calendar through the first day of its month; if the calendar lacks that
@@ -104,7 +103,16 @@ def _(s, m):
 
 @star_query(
     "D16_modeled_ltv_by_month",
-    """select month, modeled_ltv from revenue_mart where modeled_ltv is not null""",
+    """with ltv as (
+           select l.month, l.arpa * cast(0.8 as double)
+                  / nullif(cast(sum(w.churned_accounts) as double)
+                           / nullif(cast(sum(w.beginning_accounts) as double), 0), 0) as modeled_ltv
+           from group_last l join revenue_months w
+             on w.month between l.period - interval 2 month and l.period
+            and w.month in (select date_day from date_dim)
+           group by l.month, l.period, l.arpa)
+       select * from ltv where modeled_ltv is not null""",
+    **MONTHLY,
 )
 def _(s, m):
     return measure_query(s, ["modeled_ltv"], ["month"])
@@ -472,7 +480,9 @@ def _(s, m):
 
 @star_query(
     "E6_drill_through_months",
-    """select month, cast(mrr as decimal(28,2)) as mrr from revenue_fact where account_id = '1'""",
+    """select d.month, cast(r.mrr as decimal(28,2)) as mrr
+       from revenue_fact r left join date_dim d on d.date_day = r.month
+       where r.account_id = '1' qualify r.month = max(r.month) over (partition by d.month)""",
 )
 def _(s, m):
     return semantic.drill_through(s, "1", ["mrr"], ["month"])
@@ -525,7 +535,8 @@ def _(s, m):
 
 @star_query(
     "E2_retention_trend",
-    "select month, nrr, grr from revenue_mart where coalesce(nrr, grr) is not null",
+    "select month, nrr, grr from group_last where coalesce(nrr, grr) is not null",
+    **MONTHLY,
 )
 def _(s, m):
     return page(s, "retention", "trend")

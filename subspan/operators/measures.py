@@ -445,7 +445,7 @@ def measure_query(
 
     result = merge_groups([FAMILIES[f].run(ctx) for f in whole], by)
     for f in (f for f in needed if f not in whole):
-        part = FAMILIES[f].run(ctx)
+        part = FAMILIES[f].run(replace(ctx, by=tuple(reached[f])))
         if reached[f]:
             result = null_safe_join(result, part, reached[f], "left")
         else:

@@ -83,6 +83,14 @@ def _fault(rule: str | Column, detail: str | Column, broken: Column) -> Column:
     return F.when(broken, F.struct(text(rule).alias("rule"), text(detail).alias("detail")))
 
 
+def _listed(names: str, what: str) -> Column:
+    """One V3 fault per entry of an array column of field names."""
+    entries = F.coalesce(F.col(names), F.array().cast("array<string>"))
+    return F.transform(
+        entries, lambda name: F.struct(F.lit("V3").alias("rule"), F.concat(F.lit(what), name).alias("detail"))
+    )
+
+
 def with_faults(dataset: str, raw: DataFrame, domains=DOMAINS) -> DataFrame:
     """The contract's typed columns, any extra columns, and the row's faults."""
     contract = CONTRACTS[dataset]
@@ -114,12 +122,7 @@ def with_faults(dataset: str, raw: DataFrame, domains=DOMAINS) -> DataFrame:
     found = F.array_compact(F.array(*faults))
     if flags:
         listed = [
-            F.transform(
-                F.coalesce(F.col(c), F.array().cast("array<string>")),
-                lambda name, what=what: F.struct(
-                    F.lit("V3").alias("rule"), F.concat(F.lit(what), name).alias("detail")
-                ),
-            )
+            _listed(c, what)
             for c, what in ((UNKNOWN_FIELDS, "unknown field "), (NOT_TEXT, "not text: "))
             if c in flags
         ]

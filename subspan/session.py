@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Runtime settings the operators are written for. Results do not depend on any of them.
 SETTINGS = {
@@ -58,3 +59,12 @@ def written(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(seen: Observation, name: str, default):
+    """A metric of a finished write. A frame without rows may be planned away together with its
+    metrics; ``default`` is their value over no rows."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return default

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
+from subspan.session import observed
 from subspan.sources import files, landing
 from subspan.sources.contracts import CONTRACTS
 
@@ -141,7 +142,7 @@ def _replace_days(spark: SparkSession, path: str, rows: DataFrame, days: Iterabl
         .partitionBy("day")
         .parquet(path)
     )
-    for day in set(days) - set(written.get["days"]):
+    for day in set(days) - set(observed(written, "days", [])):
         files.remove(spark, f"{path}/day={day.isoformat()}")
 
 
