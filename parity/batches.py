@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -265,8 +266,8 @@ COUNTS = """
 
 def _published(m):
     spark = m.raw["accounts"].sparkSession
-    folder = f"{shared_dir(spark)}/landing"
-    return spark, folder, landing.publish(spark, m.raw, folder, TABLE_DOMAINS)
+    root = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    return spark, root, landing.publish(spark, m.raw, root, TABLE_DOMAINS)
 
 
 @query("S3_S5_published_batch", f"select * from ({COUNTS})")
@@ -281,7 +282,7 @@ def _(m, t):
 @query("S6_snapshot_events", "select * from clean_events")
 def _(m, t):
     spark, folder, batch = _published(m)
-    store = f"{shared_dir(spark)}/warehouse"
+    store = f"{folder}/warehouse"
     warehouse.load_snapshot(spark, folder, batch.batch_id, store)
     return warehouse.raw_tables(spark, store)["events"]
 
@@ -335,7 +336,7 @@ def _(m, t):
 def _(m, t):
     """The same merge through the partitioned event table on shared storage."""
     spark = t.spark
-    store = f"{shared_dir(spark)}/events-{id(m)}"
+    store = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
     stored, arriving = _halves(t)
     warehouse.upsert_events(spark, store, stored, unit="month")
     warehouse.upsert_events(spark, store, arriving, unit="month")
@@ -370,7 +371,7 @@ def _(m, t):
 
 @query("S9_S11_export_round_trip", "select * from revenue_mart")
 def _(m, t):
-    folder = shared_dir(t.spark)
+    folder = f"{shared_dir(t.spark)}/export-{uuid.uuid4().hex}"
     mart = m.mart_revenue_monthly
     exports.export_csv({"mart_revenue_monthly": mart}, folder)
     return exports.read_export(t.spark, f"{folder}/mart_revenue_monthly", mart.schema)
@@ -408,7 +409,7 @@ def _(m, t):
 )
 def _(m, t):
     """Load the last week, then again with two days restated; only kept months may come back."""
-    store = f"{shared_dir(t.spark)}/refresh-{id(m)}"
+    store = f"{shared_dir(t.spark)}/refresh-{uuid.uuid4().hex}"
     as_of = date(2001, 7, 31)
     warehouse.refresh_events(t.spark, store, m.fct_product_event, as_of)
     restated = [date(2001, 3, 5), date(1998, 8, 1), date(1998, 6, 30)]  # the last is past retention

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from parity.sql import with_models
 from subspan.functions.columns import month_start
 from subspan.operators import analysis, checks
 from subspan.plans.models import Models
+from subspan.session import shared_dir
 from subspan.sources.driver_tables import DriverTables
 
 QUERIES: dict = {}
@@ -116,7 +119,8 @@ def _expansion_drivers(m, t):
        from scored""",
 )
 def _churn_risk(m, t):
-    return analysis.churn_risk(m.fct_account_month, m.usage, m.dim_date)
+    scratch = f"{shared_dir(t.spark)}/churn-risk-{uuid.uuid4().hex}"
+    return analysis.churn_risk(m.fct_account_month, m.usage, m.dim_date, scratch)
 
 
 # --- data tests -----------------------------------------------------------------------------

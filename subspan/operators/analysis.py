@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from subspan.functions.columns import mask_days, mask_union, money_sum, ratio
 from subspan.operators.ranking import dense_rank_desc
 from subspan.operators.staging import calendar_months
+from subspan.session import written
 
 
 def revenue_bridge(account_month: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -72,12 +73,16 @@ def expansion_drivers(account_month: DataFrame, product_events: DataFrame, calen
     )
 
 
-def churn_risk(account_month: DataFrame, usage: DataFrame, calendar: DataFrame) -> DataFrame:
+def churn_risk(
+    account_month: DataFrame, usage: DataFrame, calendar: DataFrame, scratch: str | None = None
+) -> DataFrame:
     """A3: paying accounts per month, ranked by how much their activity fell.
 
     The previous month's active days exist for every month but the account's first, whether or
     not it paid then. Rows without a balance are dropped before the join; each usage row goes to
-    its own month and, as the earlier value, to the following one.
+    its own month and, as the earlier value, to the following one. Ranking reads its input more
+    than once; ``scratch`` names a folder on shared storage to write that input to first, so the
+    facts behind it are computed once.
     """
     active = usage.groupBy("account_id", "month").agg(mask_days(mask_union("day_mask")).alias("days"))
     nothing = F.lit(None).cast("bigint")
@@ -109,6 +114,8 @@ def churn_risk(account_month: DataFrame, usage: DataFrame, calendar: DataFrame)
             ratio(F.col("prior_active_days") - F.col("active_days"), "prior_active_days"),
         )
     )
+    if scratch:
+        momentum = written(momentum, scratch)
     # Active days are 0..31, so a month has few distinct declines; balances are whole cents.
     cents = (F.col("mrr") * 100).cast("bigint")
     return dense_rank_desc(momentum, ["month"], "activity_decline", cents, "review_priority").orderBy(

@@ -24,6 +24,9 @@ def local_session(app: str = "subspan", cores: str | int = "*", partitions: int
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # Small data: keep every core busy instead of merging shuffles of a few megabytes.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SUBSPAN_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "subspan-warehouse"))
     )
