@@ -73,9 +73,8 @@ def restrict_to_user(star: Star, entitlements: DataFrame, user: str) -> Star:
 
     An unknown user has no regions and sees nothing.
     """
-    # One user's distinct regions: at most as many as there are region names.
     regions = entitlements.where(F.col("upn") == user).select("region").distinct()
-    account = star.account.join(F.broadcast(regions), "region", "left_semi")
+    account = star.account.join(regions, "region", "left_semi")
     visible = account.select("account_id")
     return replace(
         star,
