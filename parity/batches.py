@@ -270,6 +270,15 @@ def _published(m):
     return spark, root, landing.publish(spark, m.raw, root, TABLE_DOMAINS)
 
 
+@query("S1_json_feed", "select * from clean_events")
+def _(m, t):
+    """The event versions as a JSON Lines feed on shared storage, read, typed and deduplicated."""
+    path = f"{shared_dir(t.spark)}/feed-{uuid.uuid4().hex}"
+    m.raw["events"].write.json(path)
+    checked = validation.with_faults("events", feeds.read_json(t.spark, "events", path, lines=True))
+    return staging.stg_events(checked.where(F.size(validation.FAULTS) == 0))
+
+
 @query("S3_S5_published_batch", f"select * from ({COUNTS})")
 def _(m, t):
     """Land, verify and count: the manifest's own row counts."""

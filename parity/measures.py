@@ -181,6 +181,78 @@ def _(s, m):
     return measure_query(s, PRODUCT, ["month"])
 
 
+def acquisition_sql(columns: str) -> str:
+    """Groups are account attributes; spend is that of every channel seen in the group."""
+    keys = [c for c in columns.split(", ") if c]
+    lead = "".join(f"{k}, " for k in keys)
+    group = f"group by {columns}" if keys else ""
+    on = " and ".join(f"s.{k} = g.{k}" for k in keys) or "true"
+    return f"""with joined as (select f.*, a.segment, a.region, a.channel from funnel_fact f join account_dim a using (account_id)),
+        gained as (
+            select {lead}count(*) as signup_accounts, cast(sum(qualified) as bigint) as qualified_accounts,
+                   cast(sum(converted) as bigint) as converted_accounts,
+                   cast(sum(converted) as double) / cast(count(*) as double) as conversion_rate,
+                   cast(sum(activated) filter (activation_eligible = 1) as double)
+                       / cast(nullif(sum(activation_eligible), 0) as double) as activation_rate
+            from joined {group}),
+        channels as (select distinct {lead}channel as used from account_dim),
+        spent as (
+            select {"".join(f"c.{k}, " for k in keys)}cast(sum(m.spend_cents) as double) / 100 as marketing_spend
+            from channels c join src_marketing m on m.channel = c.used {"group by " + ", ".join(f"c.{k}" for k in keys) if keys else ""})
+        select g.*, s.marketing_spend,
+               s.marketing_spend / cast(nullif(g.converted_accounts, 0) as double) as cohort_acquisition_cost
+        from gained g left join spent s on {on}"""
+
+
+PRODUCT_BY_MONTH = """
+    with days as (
+        select d.month, d.date_day, count(distinct e.user_id) as dau
+        from date_dim d left join event_fact e on e.date_day = d.date_day group by all),
+    users as (select month, count(distinct user_id) as mau from dated_events where month is not null group by 1)
+    select d.month, u.mau, cast(sum(dau) as double) / cast(count(*) as double) as average_dau
+    from days d left join users u on u.month = d.month group by d.month, u.mau"""
+ACTIVATION_RATE = """
+    select cast(sum(activated) filter (activation_eligible = 1) as double)
+           / cast(nullif(sum(activation_eligible), 0) as double) as activation_rate
+    from funnel_fact"""
+
+
+@star_query("E2_product_usage", PRODUCT_BY_MONTH, dated_events=DATED_EVENTS)
+def _(s, m):
+    return page(s, "product", "usage")
+
+
+@star_query(
+    "E2_product_headline",
+    f"select * from ({product_sql('', LAST_MONTH)}) cross join ({ACTIVATION_RATE})",
+    dated_events=DATED_EVENTS,
+)
+def _(s, m):
+    return page(s, "product", "headline")
+
+
+@star_query(
+    "E2_acquisition_funnel",
+    f"""select channel, signup_accounts, qualified_accounts, converted_accounts, conversion_rate, activation_rate
+        from ({acquisition_sql('channel')})""",
+)
+def _(s, m):
+    return page(s, "acquisition", "funnel")
+
+
+@star_query(
+    "E2_retention_cohorts",
+    """with seen as (
+           select cohort_month, month, count(distinct account_id) as retained from dated_events group by 1, 2),
+       size as (select cohort_month, count(*) as n from account_dim group by 1)
+       select cohort_month, month, cast(retained as double) / cast(n as double) as cohort_retention
+       from seen join size using (cohort_month)""",
+    dated_events=DATED_EVENTS,
+)
+def _(s, m):
+    return page(s, "retention", "cohorts")
+
+
 @star_query(
     "D19_mau_by_region_and_month",
     """select region, month, count(distinct user_id) as mau from dated_events where month is not null group by 1, 2""",
@@ -264,29 +336,6 @@ ACQUISITION = [
 ]
 
 
-def acquisition_sql(columns: str) -> str:
-    """Groups are account attributes; spend is that of every channel seen in the group."""
-    keys = [c for c in columns.split(", ") if c]
-    lead = "".join(f"{k}, " for k in keys)
-    group = f"group by {columns}" if keys else ""
-    on = " and ".join(f"s.{k} = g.{k}" for k in keys) or "true"
-    return f"""with joined as (select f.*, a.segment, a.region, a.channel from funnel_fact f join account_dim a using (account_id)),
-        gained as (
-            select {lead}count(*) as signup_accounts, cast(sum(qualified) as bigint) as qualified_accounts,
-                   cast(sum(converted) as bigint) as converted_accounts,
-                   cast(sum(converted) as double) / cast(count(*) as double) as conversion_rate,
-                   cast(sum(activated) filter (activation_eligible = 1) as double)
-                       / cast(nullif(sum(activation_eligible), 0) as double) as activation_rate
-            from joined {group}),
-        channels as (select distinct {lead}channel as used from account_dim),
-        spent as (
-            select {"".join(f"c.{k}, " for k in keys)}cast(sum(m.spend_cents) as double) / 100 as marketing_spend
-            from channels c join src_marketing m on m.channel = c.used {"group by " + ", ".join(f"c.{k}" for k in keys) if keys else ""})
-        select g.*, s.marketing_spend,
-               s.marketing_spend / cast(nullif(g.converted_accounts, 0) as double) as cohort_acquisition_cost
-        from gained g left join spent s on {on}"""
-
-
 for label, columns in (("total", ""), ("by_channel", "channel"), ("by_segment", "segment")):
     star_query(f"D23_to_D29_acquisition_{label}", acquisition_sql(columns))(
         lambda s, m, by=[c for c in columns.split(", ") if c]: measure_query(s, ACQUISITION, by)

@@ -165,6 +165,7 @@ def _active(ctx: Context) -> DataFrame:
     """Distinct users and accounts with an event on any day of the group."""
     usage = ctx.event_rows()
     if "date_day" in ctx.date_by:
+        usage = _between_months(ctx, usage, ctx.date_rows(), "month")
         days = usage.withColumn("_date_day", F.explode(mask_dates("month", "day_mask"))).drop("month")
         rows = ctx.with_dates(ctx.with_account(days), "_date_day")
     elif ctx.date_by or ctx.dates is not None:
@@ -186,7 +187,7 @@ def _by_month_member(ctx: Context, usage: DataFrame) -> DataFrame:
         mask_union(day_bit("date_day")).alias("_mask")
     )
     # One row per calendar month: safe to broadcast.
-    joined = usage.join(
+    joined = _between_months(ctx, usage, months, "_month").join(
         F.broadcast(months), F.col("month") == F.col("_month"), "left" if ctx.dates is None else "inner"
     )
     known = F.coalesce("_mask", F.lit(0).cast("bigint"))
@@ -212,11 +213,20 @@ def _anchor_months(ctx: Context) -> DataFrame:
     return anchors.join(F.broadcast(masks), F.col("_anchor") == F.col("_month")).drop("_month")
 
 
+def _between_months(ctx: Context, usage: DataFrame, months: DataFrame, column: str) -> DataFrame:
+    """Usage of the months a total or a date filter spans. Stored usage lies in one folder per
+    month, and a subquery's bounds prune those folders where a join's key would not."""
+    if ctx.date_by and ctx.dates is None:
+        return usage
+    bounds = [months.agg(f(column)).scalar() for f in (F.min, F.max)]
+    return usage.where(F.col("month").between(*bounds))
+
+
 def _month_users(ctx: Context, usage: DataFrame, keys: list[str], names: tuple[str, str]) -> DataFrame:
     """Users of each group's reference month and the sum of their active days."""
     anchors = _anchor_months(ctx).withColumnsRenamed({c: f"_d_{c}" for c in ctx.date_by})
     # Anchors: at most one row per calendar day. Joining them first leaves only reference months.
-    rows = usage.join(F.broadcast(anchors), F.col("month") == F.col("_anchor")).withColumn(
+    rows = _between_months(ctx, usage, anchors, "_anchor").join(F.broadcast(anchors), F.col("month") == F.col("_anchor")).withColumn(
         "_days", F.col("day_mask").bitwiseAND(F.col("calendar_mask"))
     )
     rows = rows.where(F.col("_days") != 0).select(

@@ -39,8 +39,8 @@ class Models:
     raw: Mapping[str, DataFrame]
     folder: str | None = None
 
-    def _shared(self, name: str, df: DataFrame) -> DataFrame:
-        return written(df, f"{self.folder}/{name}") if self.folder else df
+    def _shared(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        return written(df, f"{self.folder}/{name}", partition_by) if self.folder else df
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
@@ -84,7 +84,8 @@ class Models:
 
     @cached_property
     def usage(self) -> DataFrame:
-        return self._shared("usage", product.usage_base(self.fct_product_event))
+        # By month: a measure of one month reads one folder.
+        return self._shared("usage", product.usage_base(self.fct_product_event), "month")
 
     @cached_property
     def fct_account_funnel(self) -> DataFrame:

@@ -55,13 +55,17 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
-def written(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` and read it back: the plan after it starts from files, not from lineage."""
-    writer = df.write.mode("overwrite").option("compression", "zstd")
+def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` and read it back: the plan after it starts from files, not from lineage.
+
+    With ``partition_by`` one value goes to one task, or to several when it is large.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    else:
+        writer = df.write
+    writer.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def observed(seen: Observation, name: str, default):

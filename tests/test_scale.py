@@ -1,6 +1,7 @@
 """Hot keys against brute force, and the plans the operators rely on."""
 
 import random
+import re
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from subspan.operators import analysis, product, ranking, staging, validation
 from subspan.operators.acquisition import fct_account_funnel
+from subspan.operators.measures import Star, measure_query
 from subspan.sources.contracts import CONTRACTS
 from subspan.sources.driver_tables import DriverTables
 from subspan.plans.models import Models
@@ -168,6 +170,10 @@ def test_scans_read_only_what_a_query_needs(models, no_broadcast):
 
 def test_written_models_give_the_same_marts(spark, models, tmp_path):
     stored = Models(models.raw, str(tmp_path))
+    latest = measure_query(Star.of(stored), ["mau", "stickiness"])
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(latest))
+    assert any("month" in f and "Subquery" in f for f in filters), "one month's folder is read"
+    assert latest.collect() == measure_query(Star.of(models), ["mau", "stickiness"]).collect()
     for name in ("mart_revenue_monthly", "mart_product_monthly", "mart_acquisition"):
         assert sorted(map(str, getattr(stored, name).collect())) == sorted(map(str, getattr(models, name).collect()))
 
