@@ -1,4 +1,5 @@
 """Imports the modules that register queries."""
 
+import subspan.llm.op3_minhash
 import subspan.llm.op5_decontaminate  # noqa: F401
 from subspan.llm.registry import QUERIES, SQL  # noqa: F401
