@@ -1,5 +1,9 @@
 """Imports the modules that register queries."""
 
 import subspan.llm.op3_minhash
-import subspan.llm.op5_decontaminate  # noqa: F401
+import subspan.llm.op4_mix
+import subspan.llm.op5_decontaminate
+import subspan.llm.op8_topk
+import subspan.llm.op9_token_counts
+import subspan.llm.op10_token_output  # noqa: F401
 from subspan.llm.registry import QUERIES, SQL  # noqa: F401
