@@ -3,6 +3,8 @@
 import subspan.llm.op3_minhash
 import subspan.llm.op4_mix
 import subspan.llm.op5_decontaminate
+import subspan.llm.op6_extract
+import subspan.llm.op7_language
 import subspan.llm.op8_topk
 import subspan.llm.op9_token_counts
 import subspan.llm.op10_token_output  # noqa: F401
