@@ -10,10 +10,9 @@ words than a shingle the whole sequence is one). Two documents are linked when t
    they share; linked classes have at least ``matches`` of them but for a chance of ``MISS`` at the threshold itself.
 3. *Prefix.* Values of one class alone can't collide. Of a class's m other values, the m - matches + 1 rarest hold
    one of any ``matches`` shared ones, so only those are merged; classes with fewer than ``matches`` drop out.
-4. *Skip.* Long posting lists are mostly copies of one text. First each class is compared with the two ends of its
-   lists only, the best one is confirmed and the components are joined. After that a list's members skip those of
-   their own component: what stands outside the list's largest component meets the rest of the list, and every
-   pair with enough collisions is kept. The join's condition counts collisions, so no other pair leaves it.
+4. *Skip.* Long posting lists are mostly copies of one text. First each class is compared with one leader of its
+   lists only, and the confirmed links make components. After that a list's members skip those of their own component: what stands outside the list's largest component meets the rest of the list. A pair leaves that join if it has enough collisions and
+   its sets' parity bits allow the similarity (they never differ in more bits than shingles); the join's condition tests both.
 5. Links are confirmed on the full sets of 64-bit shingle hashes.
 
 No list, class or component is gathered in one place: hot keys are reduced before a shuffle or split by the skew join,
@@ -36,11 +35,12 @@ from pyspark.sql import functions as F
 
 from subspan.llm.components import components
 from subspan.llm.registry import query
-from subspan.llm.tables import stored, table
+from subspan.llm.tables import new_path, remove, stored, table
 from subspan.llm.words import NOT_SPACE, mix, slices, span_hashes, window_hashes, words
 
-COORDINATES = 48
+COORDINATES = 64
 MISS = 1e-5
+PARITY_BITS = 4096
 _SIGNATURES = "id long, n_shingles long, print_a long, print_b long, keys array<long>"
 
 
@@ -118,20 +118,38 @@ def _sets(size: int):
     return run
 
 
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parity bits of each set: a bit flips for every shingle that hashes to it.
+
+    Where two sets' bits differ, some shingle is in one of them only, so they differ in no fewer shingles than bits.
+    """
+    for batch in batches:
+        sets = batch.column("shingles")
+        rows = np.repeat(np.arange(len(sets)), np.diff(sets.offsets.to_numpy()))
+        bits = (mix(sets.flatten().to_numpy().view(np.uint64)) >> np.uint64(32)).astype(np.int64) % PARITY_BITS
+        out = np.zeros((len(sets), PARITY_BITS), dtype=np.uint8)
+        at, counts = np.unique(rows * PARITY_BITS + bits, return_counts=True)
+        out.ravel()[at] = counts & 1
+        packed = np.packbits(out, axis=1).view(np.int64).ravel()
+        ends = np.arange(len(sets) + 1, dtype=np.int32) * (PARITY_BITS // 64)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(packed))], names=["id", "odd"])
+
+
 class _Join:
     """The tables that the steps share."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int, coordinates: int) -> None:
-        self.percent, self.matches = percent, match_threshold(coordinates, percent)
+    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int, coordinates: int, under: str) -> None:
+        self.under, self.percent, self.matches = under, percent, match_threshold(coordinates, percent)
         postings = classes.select("id", F.explode("keys").alias("key"))
-        shared = stored(postings.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "shared")
+        shared = stored(postings.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "shared", self.under)
         ranked = F.transform(F.array_sort(F.collect_list(F.struct("df", "key"))), lambda x: x["key"])
-        found = postings.join(shared, "key").groupBy("id").agg(ranked.alias("keys")).where(F.size("keys") >= self.matches)
-        self.members = stored(found.join(classes.select("id", F.col("n_shingles").alias("n")), "id").dropDuplicates(["id"]), "members")
+        found = postings.join(shared, "key").groupBy("id").agg(ranked.alias("keys"), F.sum("df").alias("central"))
+        found = found.where(F.size("keys") >= self.matches)
+        self.members = stored(found.join(classes.select("id", F.col("n_shingles").alias("n")), "id").dropDuplicates(["id"]), "members", self.under)
         prefix = F.slice("keys", 1, F.size("keys") - (self.matches - 1))
-        self.lists = self.members.select("id", F.explode(prefix).alias("key"))
+        self.lists = self.members.select("id", "central", F.explode(prefix).alias("key"))
         texts = docs.join(self.members.select("id"), "id", "left_semi")
-        self.sets = stored(texts.mapInArrow(_sets(size), "id long, shingles array<long>"), "sets")
+        self.sets = stored(texts.mapInArrow(_sets(size), "id long, shingles array<long>"), "sets", self.under)
 
     def collide(self, a: str, b: str):
         """Enough collisions, and sizes that allow the similarity."""
@@ -142,7 +160,7 @@ class _Join:
     def with_members(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with what ``collide`` needs; a is the side that may be hot."""
         for side in "ba":
-            own = self.members.select(*[F.col(c).alias(side if c == "id" else f"{side}_{c}") for c in self.members.columns])
+            own = self.members.select(*[F.col(c).alias(side if c == "id" else f"{side}_{c}") for c in ("id", "n", "keys")])
             pairs = pairs.join(own, side)
         return pairs
 
@@ -155,41 +173,51 @@ class _Join:
         return pairs.where(100 * both >= self.percent * union).select("a", "b")
 
     def star_links(self) -> DataFrame:
-        """Each class with the better of its lists' two ends."""
-        ends = stored(self.lists.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"), "ends")
-        to = self.lists.join(ends, "key").select(F.col("id").alias("b"), F.explode(F.array("low", "high")).alias("a"))
-        pairs = self.with_members(to.where("a <> b").distinct()).where(self.collide("a_", "b_"))
-        score = F.size(F.array_intersect("a_keys", "b_keys"))
-        best = pairs.select("b", "a", score.alias("score")).groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("a"))).alias("x"))
-        return self.confirmed(stored(best.select((-F.col("x.a")).alias("a"), "b"), "stars"))
+        """Each class with one leader of its lists: the one that most of its prefix shares.
+
+        A list's leader is its most central class, that is the one whose values most others have. A text of which many
+        differing copies exist is such a leader, even where no two copies are alike enough to be linked with each other.
+        """
+        rank = F.struct("central", (-F.col("id")).alias("id"))
+        leaders = self.lists.groupBy("key").agg(F.max(rank).alias("x"), F.count("*").alias("n")).where("n > 1")
+        leaders = stored(leaders.select("key", (-F.col("x.id")).alias("a")), "leaders", self.under)
+        to = self.lists.select("key", F.col("id").alias("b")).join(leaders, "key").where("a <> b")
+        votes = to.groupBy("b", "a").agg(F.count("*").alias("votes"))
+        best = votes.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("a"))).alias("x"))
+        best = stored(best.select((-F.col("x.a")).alias("a"), "b"), "stars", self.under)
+        return self.confirmed(self.with_members(best).where(self.collide("a_", "b_")).select("a", "b"))
 
     def rest_links(self, known: DataFrame) -> DataFrame:
         """All links between different components of ``known``."""
         group = F.coalesce("component", "id")
-        labelled = stored(self.members.join(known, "id", "left").withColumn("component", group), "labelled")
+        labelled = self.members.drop("central").join(known, "id", "left").withColumn("component", group)
+        labelled = stored(labelled, "labelled", self.under)
         lists = self.lists.join(labelled.select("id", "component"), "id")
         shares = lists.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
         mixed = shares.agg(F.max(F.struct("n", "component")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
-        mixed = stored(mixed.select("key", F.col("x.component").alias("main")), "mixed")
-        full = stored(lists.select("key", "id").join(mixed, "key"), "listed").join(labelled, "id")
-        full = stored(full.select("key", "main", "id", "component", "n", "keys"), "listed")
-        left = full.where("component <> main")
-        right = full.drop("main")
-        names = {c: f"b_{c}" for c in ("id", "component", "n", "keys")}
-        left = left.withColumnsRenamed({c: f"a_{c}" for c in names})
+        mixed = stored(mixed.select("key", F.col("x.component").alias("main")), "mixed", self.under)
+        full = stored(lists.select("key", "id").join(mixed, "key"), "listed", self.under).join(labelled, "id")
+        sets = self.sets.join(full.select("id").distinct(), "id")
+        full = full.join(stored(sets.mapInArrow(_parities, "id long, odd array<long>"), "parities", self.under), "id")
+        names = ["id", "component", "n", "keys", "odd"]
+        full = stored(full.select("key", "main", *names), "listed", self.under)
+        left = full.where("component <> main").select("key", "main", *[F.col(c).alias(f"a_{c}") for c in names])
+        right = full.select(F.col("key").alias("b_key"), *[F.col(c).alias(f"b_{c}") for c in names])
         meet = (F.col("a_component") != F.col("b_component")) & ((F.col("b_component") == F.col("main")) | (F.col("a_id") < F.col("b_id")))
-        joined = left.join(right.withColumnsRenamed(names).withColumnRenamed("key", "b_key"), (F.col("key") == F.col("b_key")) & meet & self.collide("a_", "b_"))
-        pairs = stored(joined.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_component", "b_component").distinct(), "rest")
-        return self.confirmed(pairs.select("a", "b"))
-
-
-def _repeated_ids(usable: DataFrame, classes: DataFrame) -> DataFrame:
+        apart = F.aggregate(F.zip_with("a_odd", "b_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        possible = (100 + self.percent) * apart <= (100 - self.percent) * (F.col("a_n") + F.col("b_n"))
+        # Keys are in one global order, so a pair's first shared key is in both prefixes: it is met there and nowhere else.
+        first = F.array_intersect("a_keys", "b_keys")[0] == F.col("key")
+        on = (F.col("key") == F.col("b_key")) & meet & self.collide("a_", "b_") & first & possible
+        return self.confirmed(stored(left.join(right, on).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")), "rest", self.under))
+
+def _repeated_ids(usable: DataFrame, classes: DataFrame, under: str) -> DataFrame:
     """Links between the classes of ids that several rows have."""
     repeated = usable.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
     heads = usable.join(repeated, "id").select("id", "print_a", "print_b").join(
         classes.withColumnRenamed("id", "b"), ["print_a", "print_b"]
     )
-    heads = stored(heads.select("id", "b").distinct(), "repeated")
+    heads = stored(heads.select("id", "b").distinct(), "repeated", under)
     return heads.join(heads.groupBy("id").agg(F.min("b").alias("a")), "id").where("a <> b").select("a", "b")
 
 
@@ -198,21 +226,23 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    under = new_path(docs.sparkSession, "near")
     signed = stored(docs.mapInArrow(_signatures(size, coordinates), _SIGNATURES), "signatures")
     usable = signed.where("id is not null and n_shingles > 0")
-    classes = stored(usable.groupBy("print_a", "print_b").agg(F.min("id").alias("id")), "classes")
-    heads = stored(usable.join(classes, ["print_a", "print_b", "id"]).select("id", "n_shingles", "keys"), "heads")
-    join = _Join(docs, heads, size, percent, coordinates)
-    first = components(join.star_links().union(_repeated_ids(usable, classes)))
-    links = stored(join.rest_links(first), "links")
+    classes = stored(usable.groupBy("print_a", "print_b").agg(F.min("id").alias("id")), "classes", under)
+    heads = stored(usable.join(classes, ["print_a", "print_b", "id"]).select("id", "n_shingles", "keys"), "heads", under)
+    join = _Join(docs, heads, size, percent, coordinates, under)
+    first = components(join.star_links().union(_repeated_ids(usable, classes, under)), under)
+    links = stored(join.rest_links(first), "links", under)
     part = F.coalesce("component", "id").alias("part")
     merged = classes.join(first, "id", "left").select("print_a", "print_b", "id", part)
     if not links.isEmpty():
         for side in "ab":
             links = links.join(first.withColumnsRenamed({"id": side, "component": f"{side}_part"}), side, "left")
-        above = components(links.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b")))
+        above = components(links.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b")), under)
         merged = merged.join(above.withColumnRenamed("id", "part"), "part", "left").withColumn("part", F.coalesce("component", "part"))
     found = stored(merged.select("print_a", "print_b", F.col("part").alias("component_id")), "found")
+    remove(docs.sparkSession, under)
     some = usable.join(found, ["print_a", "print_b"]).select("id", "n_shingles", "component_id")
     none = signed.where("id is null or n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))

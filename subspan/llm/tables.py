@@ -18,10 +18,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """The rows as a Parquet table in the shared folder: what follows starts from files, so a lost
-    executor costs the tasks it ran and not the lineage."""
+def stored(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, or in the folder ``under``: what follows starts from files, so a
+    lost executor costs the tasks it ran and not the lineage."""
     spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    path = new_path(spark, name) if under is None else f"{under}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
