@@ -45,15 +45,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def calibrated(raw: np.ndarray, labels: np.ndarray, rounds: int = 300) -> tuple[float, float]:
-    """Slope and shift that make a document's raw value a log-odds; classes count alike."""
-    weight = np.where(labels > 0, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
+def calibrated(raw: np.ndarray, labels: np.ndarray, rounds: int = 2000) -> tuple[float, float]:
+    """Slope and shift that make a document's raw value a log-odds, by logistic regression with a little ridge."""
     centre, spread = float(raw.mean()), float(raw.std() or 1)
     x = (raw - centre) / spread
     params = {"a": np.ones(1), "b": np.zeros(1)}
     adam = Adam(params, 0.05)
     for _ in range(rounds):
-        g = (sigmoid(params["a"] * x + params["b"]) - labels) * weight
-        adam.step({"a": np.array([(g * x).sum() + 0.001 * params["a"][0]]), "b": np.array([g.sum()])})
+        g = (sigmoid(params["a"] * x + params["b"]) - labels) / len(x)
+        adam.step({"a": np.array([(g * x).sum() + 0.0001 * params["a"][0]]), "b": np.array([g.sum()])})
     a = max(float(params["a"][0]), 0.05) / spread
     return a, float(params["b"][0]) - a * centre

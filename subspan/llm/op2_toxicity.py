@@ -22,16 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subspan.llm.learning import Adam, calibrated, fold, sample, sigmoid
 from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import ALPHANUMERIC, Words, mix, slices, span_hashes, words
 
-PER_CLASS, PREFIX = 1500, 4000
+PER_CLASS, PREFIX = 1500, 8000
 LENGTH, STRIDE = 16, 8
 WORDS, GRAMS, EMBEDDED, HIDDEN, ATTENDED = 1 << 14, 1 << 13, 10, 10, 8
-BATCH, FIRST_ROUNDS, MORE_ROUNDS, RATE = 512, 2, 4, 0.01
+BATCH, FIRST_ROUNDS, MORE_ROUNDS, RATE = 512, 2, 5, 0.01
 
 
 class Inputs:
@@ -239,7 +240,7 @@ def scored(docs: DataFrame, net: Network, text: str = "text", name: str = "toxic
             found = pa.array(shared.value.documents(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, docs.schema.add(name, "double"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 @query("op2_toxicity")

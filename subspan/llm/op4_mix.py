@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subspan.llm.registry import query
-from subspan.llm.tables import stored, table
+from subspan.llm.tables import new_path, remove, stored, table
 
 WEIGHTS = (3, 1, 2)
 BUDGET, REPEATS = 1.5, 2
@@ -54,15 +54,16 @@ def targets(sizes: DataFrame, budget: float = BUDGET, repeats: int = REPEATS, we
 
 def taken(docs: DataFrame, budget: float = BUDGET, repeats: int = REPEATS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """doc_id, text_hash, size, source_size, target and taken (words, repeats counted) of every row."""
+    under = new_path(docs.sparkSession, "mix")
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     hashed = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     sized = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("text_hash"), hashed.alias("hash"))
-    sized = stored(sized.withColumn("range", F.substring("hash", 1, _PLACES)), "sized")
-    sums = stored(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "sums")
-    goals = stored(targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), budget, repeats, weights), "targets")
+    sized = stored(sized.withColumn("range", F.substring("hash", 1, _PLACES)), "sized", under)
+    sums = stored(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "sums", under)
+    goals = stored(targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), budget, repeats, weights), "targets", under)
     ranges = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("source", "range", F.coalesce(F.sum("words").over(ranges), F.lit(0)).alias("base"))
-    bases = stored(_by_source(bases, goals), "bases")
+    bases = stored(_by_source(bases, goals), "bases", under)
     inside = Window.partitionBy("source", "range").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = sized.withColumn("until", F.sum("size").over(inside))
     queue = stored(_by_source(placed, bases, "range").withColumn("until", F.col("base") + F.col("until")).drop("base", "range"), "queue")
@@ -89,6 +90,7 @@ def taken(docs: DataFrame, budget: float = BUDGET, repeats: int = REPEATS, weigh
             count = count + F.when(offer(k) < refused, 1).otherwise(0)
     else:
         count = F.lit(repeats)  # the budget holds every offer
+    remove(docs.sparkSession, under)
     words = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * count).otherwise(0).cast("long")
     return queue.select("doc_id", "text_hash", "size", "source_size", "target", words.alias("taken"))
 

@@ -20,9 +20,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from subspan.llm.learning import fold
 from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import slices
@@ -104,15 +106,10 @@ def predicted(docs: DataFrame, contents: dict[str, bytes], text: str = "text", m
     if taken:
         raise ValueError(f"documents already have {sorted(taken)}")
     shared = docs.sparkSession.sparkContext.broadcast(contents)
-    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("margin", "double")
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL("lang_pred string, score double, margin double").fields])
     return docs.mapInArrow(_judged(shared, text), schema).withColumn("rejected", F.col("margin") < margin)
 
 
-def fold(doc_id: str, parts: int, held: int) -> Column:
-    """Whether crc32 of the id's text leaves ``held`` modulo ``parts``; false for a null id."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == held, F.lit(False))
-
-
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

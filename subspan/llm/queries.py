@@ -1,5 +1,7 @@
 """Imports the modules that register queries."""
 
+import subspan.llm.op1_quality
+import subspan.llm.op2_toxicity
 import subspan.llm.op3_minhash
 import subspan.llm.op4_mix
 import subspan.llm.op5_decontaminate
