@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import uuid
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from parity.core import query
 from subspan.functions.columns import month_start
 from subspan.operators import staging, validation
+from subspan.plans import build
 from subspan.session import shared_dir
 from subspan.sources import exports, feeds, landing, warehouse
 from subspan.sources.contracts import CONTRACTS, DOMAINS
@@ -108,7 +112,7 @@ def _(m, t):
               count(*) as "rows" from order_lines group by o_custkey, l_linenumber having count(*) > 1""",
 )
 def _(m, t):
-    return validation.duplicate_keys("users", t.event_versions().select("user_id"))
+    return validation.duplicate_keys("users", m.raw["events"].select("user_id"))
 
 
 @query(
@@ -118,7 +122,7 @@ def _(m, t):
            order by ingested_at desc, user_id, account_id, occurred_at, event_name) = 1""",
 )
 def _(m, t):
-    return staging.latest_events(t.event_versions())
+    return staging.latest_events(m.raw["events"])
 
 
 @query(
@@ -194,7 +198,7 @@ def _(m, t):
             F.col("signup_date").alias("created_date"),
         )
     )
-    return validation.event_user_faults(staging.latest_events(t.event_versions()), known)
+    return validation.event_user_faults(staging.latest_events(m.raw["events"]), known)
 
 
 @query(
@@ -243,25 +247,54 @@ def _(m, t):
                order by ingested_at desc, user_id, account_id, occurred_at, event_name) = 1),
        early as (
            select n.user_id || '|' || n.account_id as key from newest n
-           join src_users u on u.user_id = n.user_id where cast(n.occurred_at as date) < u.created_date)
+           join first_orders f on cast(f.o_custkey as varchar) = n.account_id
+           where cast(n.occurred_at as date) < f.signup_date)
        select 'accounts' as dataset, 'V4' as rule, unnest(['segment not allowed', 'region not allowed']) as detail,
               count(*) as "rows", min(account_id) as example from src_accounts
        union all
        select 'events', 'V12', 'occurred before the user existed', count(*), min(key) from early""",
 )
 def _(m, t):
-    batch = {**m.raw, "events": t.event_versions()}
+    """With users who exist from their account's first order on, some events come too early."""
+    signup = t.first_orders().select(F.col("o_custkey").cast("string").alias("account_id"), "signup_date")
+    users = m.raw["users"].join(signup, "account_id").select("user_id", "account_id", F.col("signup_date").alias("created_date"))
+    batch = {**m.raw, "users": users}
     return validation.summary(validation.violations(batch))
 
 
 # --- batches and raw tables -----------------------------------------------------------------
-COUNTS = """
-    select 'accounts' as dataset, count(*) as "rows" from src_accounts
-    union all select 'users', count(*) from src_users
-    union all select 'subscriptions', count(*) from src_subscriptions
-    union all select 'events', count(*) from clean_events
-    union all select 'opportunities', count(*) from src_opportunities
-    union all select 'marketing', count(*) from src_marketing"""
+# The part that is each dataset's content once landed.
+LANDED = {
+    "accounts": "src_accounts",
+    "users": "src_users",
+    "subscriptions": "src_subscriptions",
+    "events": "clean_events",
+    "opportunities": "src_opportunities",
+    "marketing": "src_marketing",
+}
+
+
+def fingerprint_sql(parts: dict[str, str]) -> str:
+    """Row count and fingerprint lanes of each dataset."""
+
+    def text(column: str, kind) -> str:
+        value = f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')" if isinstance(kind, TimestampNTZType) else f"cast({column} as varchar)"
+        return f"coalesce(cast(length({value}) as varchar) || ':' || {value}, '-')"
+
+    each = []
+    for name, part in parts.items():
+        fields = sorted(CONTRACTS[name].schema.fields, key=lambda f: f.name)
+        row = " || ',' || ".join(text(f.name, f.dataType) for f in fields)
+        lanes = ", ".join(
+            f"cast(sum(cast('0x' || substr(h, {1 + 16 * i}, 16) as ubigint)) as decimal(38,0)) as lane{i}" for i in range(landing.LANES)
+        )
+        each.append(f"select '{name}' as dataset, count(*) as \"rows\", {lanes} from (select sha256({row}) as h from {part})")
+    return " union all ".join(each)
+
+
+def _fingerprints(frames):
+    each = (df.agg(*landing.fingerprint_columns(df.schema)).withColumn("dataset", F.lit(name)) for name, df in frames.items())
+    return reduce(DataFrame.unionByName, each)
 
 
 def _published(m):
@@ -279,7 +312,15 @@ def _(m, t):
     return staging.stg_events(checked.where(F.size(validation.FAULTS) == 0))
 
 
-@query("S3_S5_published_batch", f"select * from ({COUNTS})")
+@query("S2_S5_published_batch", fingerprint_sql(LANDED))
+def _(m, t):
+    """Land and verify; the rows that the files hold."""
+    spark, folder, batch = _published(m)
+    landing.verify(spark, folder, batch.batch_id)
+    return _fingerprints(landing.read_batch(spark, folder, batch.batch_id))
+
+
+@query("S3_S5_published_batch", f'select dataset, "rows" from ({fingerprint_sql(LANDED)})')
 def _(m, t):
     """Land, verify and count: the manifest's own row counts."""
     spark, folder, batch = _published(m)
@@ -288,6 +329,14 @@ def _(m, t):
     return spark.createDataFrame(rows, "dataset string, rows bigint")
 
 
+@query("S6_snapshot_tables", fingerprint_sql(LANDED))
+def _(m, t):
+    spark, folder, batch = _published(m)
+    store = f"{folder}/warehouse"
+    warehouse.load_snapshot(spark, folder, batch.batch_id, store)
+    return _fingerprints(warehouse.raw_tables(spark, store))
+
+
 @query("S6_snapshot_events", "select * from clean_events")
 def _(m, t):
     spark, folder, batch = _published(m)
@@ -296,16 +345,9 @@ def _(m, t):
     return warehouse.raw_tables(spark, store)["events"]
 
 
-@query("S4_row_fingerprints")
+@query("S4_row_fingerprints", fingerprint_sql(LANDED))
 def _(m, t):
-    """Fingerprint sums of each dataset; their value depends on Spark's JSON text, so no SQL."""
-    found = None
-    for name, frame in m.raw.items():
-        if name == "events":
-            frame = m.stg_events
-        one = frame.agg(*landing.fingerprint_columns(frame.columns)).withColumn("dataset", F.lit(name))
-        found = one if found is None else found.unionByName(one)
-    return found
+    return _fingerprints({**m.raw, "events": m.stg_events})
 
 
 # Two overlapping halves of the event versions: what is stored, and a later batch.
@@ -330,8 +372,8 @@ MERGED = """
 
 
 def _halves(t):
-    stored = t.event_versions().where(F.col("ingested_at") < F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz"))
-    arriving = t.event_versions().where(F.col("occurred_at") >= F.lit(datetime(1998, 6, 1)).cast("timestamp_ntz"))
+    stored = t.events().where(F.col("ingested_at") < F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz"))
+    arriving = t.events().where(F.col("occurred_at") >= F.lit(datetime(1998, 6, 1)).cast("timestamp_ntz"))
     return staging.latest_events(stored), staging.latest_events(arriving)
 
 
@@ -367,6 +409,46 @@ def _(m, t):
     return warehouse.merge_rows(old, new, CONTRACTS["subscriptions"].key)
 
 
+# Two batches after each other: what the six tables hold then.
+LATER_SUBSCRIPTIONS = """
+    select account_id, month, amount_cents * 2 as amount_cents, billing_period, plan from src_subscriptions
+    where month >= date '1998-01-01'
+    union all select account_id, month, amount_cents, billing_period, plan from src_subscriptions
+    where month < date '1998-01-01'"""
+LATER_MARKETING = """
+    select spend_date, channel, spend_cents + if(spend_date >= date '1999-01-01', 5, 0) as spend_cents from src_marketing"""
+
+
+@query(
+    "S7_load_merge",
+    fingerprint_sql(LANDED | {"events": "merged", "subscriptions": "later_subscriptions", "marketing": "later_marketing"}),
+    stored=STORED,
+    arriving=ARRIVING,
+    merged=MERGED,
+    later_subscriptions=LATER_SUBSCRIPTIONS,
+    later_marketing=LATER_MARKETING,
+)
+def _(m, t):
+    """Two overlapping batches merged into the accumulated tables; all six are compared."""
+    spark = t.spark
+    root = f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}"
+    stored, arriving = _halves(t)
+    subs, spend = m.raw["subscriptions"], m.raw["marketing"]
+    batches = (
+        {**m.raw, "events": stored, "subscriptions": subs.where(F.col("month") < date(1999, 1, 1))},
+        {
+            **m.raw,
+            "events": arriving,
+            "subscriptions": subs.where(F.col("month") >= date(1998, 1, 1)).withColumn("amount_cents", F.col("amount_cents") * 2),
+            "marketing": spend.where(F.col("spend_date") >= date(1999, 1, 1)).withColumn("spend_cents", F.col("spend_cents") + 5),
+        },
+    )
+    for frames in batches:
+        batch = landing.publish(spark, frames, root, TABLE_DOMAINS)
+        warehouse.load_merge(spark, root, batch.batch_id, f"{root}/store", unit="month")
+    return _fingerprints(warehouse.merged_tables(spark, f"{root}/store"))
+
+
 @query(
     "S8_unrecorded_loads",
     """select distinct cast(o_custkey as varchar) as batch_id from orders
@@ -380,10 +462,71 @@ def _(m, t):
 
 @query("S9_S11_export_round_trip", "select * from revenue_mart")
 def _(m, t):
+    return _exported(m, t, "mart_revenue_monthly")
+
+
+def _exported(m, t, name):
+    """One mart as CSV and back with its types."""
+    folder = f"{shared_dir(t.spark)}/export-{uuid.uuid4().hex}"
+    mart = getattr(m, name)
+    exports.export_csv({name: mart}, folder)
+    return exports.read_export(t.spark, f"{folder}/{name}", mart.schema)
+
+
+# The six tables that reports read back with their types.
+for _name, _part in {
+    "dim_account": "account_dim",
+    "dim_date": "date_dim",
+    "fct_account_month": "revenue_fact",
+    "fct_product_event": "event_fact",
+    "fct_account_funnel": "funnel_fact",
+    "fct_marketing_spend": "spend_fact",
+}.items():
+    query(f"S11_{_name}", f"select * from {_part}")(lambda m, t, name=_name: _exported(m, t, name))
+
+MART_PARTS = {
+    "dim_account": "account_dim",
+    "dim_user": "src_users",
+    "dim_date": "date_dim",
+    "fct_account_month": "revenue_fact",
+    "fct_product_event": "event_fact",
+    "fct_account_funnel": "funnel_fact",
+    "fct_marketing_spend": "spend_fact",
+    "mart_revenue_monthly": "revenue_mart",
+    "mart_product_monthly": "product_mart",
+    "mart_feature_adoption": "adoption_mart",
+    "mart_cohort_retention": "retention_mart",
+    "mart_acquisition": "acquisition_mart",
+}
+
+
+@query(
+    "S9_all_marts",
+    " union all ".join(f"select '{name}' as mart, count(*) as \"rows\" from {part}" for name, part in MART_PARTS.items()),
+)
+def _(m, t):
+    """Every mart exported; the rows that come back."""
     folder = f"{shared_dir(t.spark)}/export-{uuid.uuid4().hex}"
-    mart = m.mart_revenue_monthly
-    exports.export_csv({"mart_revenue_monthly": mart}, folder)
-    return exports.read_export(t.spark, f"{folder}/mart_revenue_monthly", mart.schema)
+    marts = m.marts()
+    exports.export_csv(marts, folder)
+    each = (
+        exports.read_export(t.spark, f"{folder}/{name}", df.schema).agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(name))
+        for name, df in marts.items()
+    )
+    return reduce(DataFrame.unionByName, each)
+
+
+@query(
+    "Q_gated_build",
+    " union all ".join(f"select '{name}' as mart, count(*) as \"rows\" from {part}" for name, part in MART_PARTS.items()),
+)
+def _(m, t):
+    """All marts written, tested and shown."""
+    folder = f"{shared_dir(t.spark)}/build-{uuid.uuid4().hex}"
+    build.build(t.spark, m.raw, folder)
+    marts = build.built(t.spark, folder)
+    each = (df.agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(name)) for name, df in marts.items())
+    return reduce(DataFrame.unionByName, each)
 
 
 @query(
@@ -423,4 +566,4 @@ def _(m, t):
     warehouse.refresh_events(t.spark, store, m.fct_product_event, as_of)
     restated = [date(2001, 3, 5), date(1998, 8, 1), date(1998, 6, 30)]  # the last is past retention
     warehouse.refresh_events(t.spark, store, m.fct_product_event, as_of, extra_days=restated)
-    return t.spark.read.parquet(store).drop("day")
+    return warehouse.read_days(t.spark, store, m.fct_product_event.schema).drop("day")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,6 @@ from parity.sql import with_models
 from subspan.functions.columns import month_start
 from subspan.operators import analysis, checks
 from subspan.plans.models import Models
-from subspan.session import shared_dir
 from subspan.sources.driver_tables import DriverTables
 
 QUERIES: dict = {}
@@ -119,8 +116,7 @@ def _expansion_drivers(m, t):
        from scored""",
 )
 def _churn_risk(m, t):
-    scratch = f"{shared_dir(t.spark)}/churn-risk-{uuid.uuid4().hex}"
-    return analysis.churn_risk(m.fct_account_month, m.usage, m.dim_date, scratch)
+    return analysis.churn_risk(m.fct_account_month, m.dim_account, m.usage, m.dim_date, checkpoint=True)
 
 
 # --- data tests -----------------------------------------------------------------------------
@@ -178,7 +174,7 @@ def _all_checks(m, t):
     "select event_id as value, count(*) as n from event_versions group by 1 having count(*) > 1",
 )
 def _unique(m, t):
-    return checks.unique(t.event_versions(), "event_id")
+    return checks.unique(t.events(), "event_id")
 
 
 @query("Q2_not_null", "select * from funnel_fact where qualified_date is null")

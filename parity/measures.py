@@ -138,21 +138,29 @@ def _(s, m):
 
 # --- product --------------------------------------------------------------------------------
 def product_sql(keys: str, anchor: str, events: str = "") -> str:
-    """MAU, average DAU and stickiness of each group in its reference month."""
+    """MAU, average DAU and stickiness of each group in its reference month.
+
+    Groups are those of the dimensions: without any event the average is 0 and the rest blank.
+    """
     lead = f"{keys}, " if keys else ""
     group = f"group by {keys}" if keys else ""
-    same = " and ".join(f"d.{k} is not distinct from u.{k}" for k in keys.split(", ") if k) or "true"
+    named = [k for k in keys.split(", ") if k]
+    same = " and ".join(f"u.{k} is not distinct from g.{k}" for k in named) or "true"
+    days = same.replace("u.", "d.")
+    sources = {"event_name": "event_fact"}
+    grid = " cross join ".join(f"(select distinct {k} from {sources.get(k, 'account_dim')})" for k in named) or "(select 1 as one)"
     return f"""with reference as ({anchor}),
         in_month as (
             select x.*, x.month as event_month from dated_events x join reference on x.month = anchor {events}),
         users as (select {lead}count(distinct user_id) as mau from in_month {group}),
         days as (select {lead}date_day, count(distinct user_id) as dau from in_month group by {lead}date_day),
         dau as (select {lead}cast(sum(dau) as double) as user_days from days {group}),
-        size as (select count(*) as n from date_dim join reference on month = anchor)
-        select {"".join(f"u.{k}, " for k in keys.split(", ") if k)}u.mau,
-               d.user_days / cast(size.n as double) as average_dau,
-               d.user_days / cast(size.n as double) / cast(u.mau as double) as stickiness
-        from users u join dau d on {same} cross join size"""
+        size as (select count(*) as n from date_dim join reference on month = anchor),
+        grid as (select * from {grid})
+        select {"".join(f"g.{k}, " for k in named)}nullif(u.mau, 0) as mau,
+               coalesce(d.user_days, 0) / cast(size.n as double) as average_dau,
+               coalesce(d.user_days, 0) / cast(size.n as double) / cast(nullif(u.mau, 0) as double) as stickiness
+        from grid g cross join size left join users u on {same} left join dau d on {days}"""
 
 
 LAST_MONTH = "select max(month) as anchor from date_dim"
@@ -285,11 +293,11 @@ def _(s, m):
 @star_query(
     "D18_active_by_day_and_event",
     """select known_day as date_day, event_name, count(distinct user_id) as active_users
-       from dated_events where year = 1998 group by 1, 2""",
+       from dated_events group by 1, 2""",
     dated_events=DATED_EVENTS,
 )
 def _(s, m):
-    return measure_query(s, ["active_users"], ["date_day", "event_name"], dates=F.col("year") == 1998)
+    return measure_query(s, ["active_users"], ["date_day", "event_name"])
 
 
 @star_query(
@@ -449,7 +457,86 @@ def _(s, m):
                    where month is not null group by 1, 2""",
 )
 def _(s, m):
-    return semantic.period_comparison(s, "mau", ["segment"])
+    return semantic.period_comparison(s, "mau", ["segment", "month"])
+
+
+# The definition by shifting: a group's earlier value is the measure over its months moved back by one.
+def shifted_sql(key: str, label: str, value: str, at: str) -> str:
+    """``value``: an aggregate of a month's rows ``at``; a group shows its last month."""
+    lead = f"{key}, " if key else ""
+    names = [n for n in (key, label) if n]
+    return f"""with monthly as (select r.month, {lead}{value} as v from {at} {"group by r.month" + (", " + key if key else "")}),
+        calendar as (select month, year from date_dim where date_day = month),
+        cur as (select {", ".join(n for n in names) + ", " if names else ""}max_by(v, month) as v
+                from monthly join calendar using (month) {"group by " + ", ".join(names) if names else ""}),
+        moved as (select m.* exclude (month), m.month, year(m.month + interval 1 month) as year from monthly m join calendar using (month)
+                  where cast(m.month + interval 1 month as date) in (select month from date_dim)),
+        prev as (select {", ".join(n for n in names) + ", " if names else ""}max_by(v, month) as v
+                 from moved {"group by " + ", ".join(names) if names else ""})
+        select {"".join(f"coalesce(c.{n}, p.{n}) as {n}, " for n in names)}c.v as current, p.v as previous_month,
+               cast(coalesce(c.v, 0) - p.v as double) / cast(nullif(p.v, 0) as double) as mom_change
+        from cur c full join prev p on {" and ".join(f"c.{n} = p.{n}" for n in names) or "true"}"""
+
+
+MRR_ROWS = "revenue_fact r join account_dim a using (account_id)"
+MRR_SUM = "cast(sum(r.mrr) as decimal(28,2))"
+for _label, _key, _dates, _by in (
+    ("total", "", "", []),
+    ("by_segment_without_month", "segment", "", ["segment"]),
+    ("by_year", "", "year", ["year"]),
+):
+    star_query(f"E3_period_comparison_mrr_{_label}", shifted_sql(_key, _dates, MRR_SUM, MRR_ROWS))(
+        lambda s, m, by=_by: semantic.period_comparison(s, "mrr", by)
+    )
+
+
+@star_query(
+    "E3_period_comparison_mrr_by_year_and_month",
+    comparison_sql("mrr", "group_last").replace("select coalesce(c.month", "select cast(year(coalesce(c.month, p.month)) as integer) as year, coalesce(c.month"),
+    **MONTHLY,
+)
+def _(s, m):
+    return semantic.period_comparison(s, "mrr", ["year", "month"])
+
+
+@star_query(
+    "E3_period_comparison_signups",
+    """with monthly as (
+           select d.month, count(*) as v from funnel_fact f join date_dim d on d.date_day = f.signup_date group by 1),
+       months as (select distinct month from date_dim)
+       select m.month, c.v as current, p.v as previous_month,
+              cast(coalesce(c.v, 0) - p.v as double) / cast(p.v as double) as mom_change
+       from months m left join monthly c on c.month = m.month
+       left join monthly p on p.month = cast(m.month - interval 1 month as date)
+       where c.v is not null or p.v is not null""",
+)
+def _(s, m):
+    return semantic.period_comparison(s, "signup_accounts")
+
+
+@star_query(
+    "D20_average_dau_by_segment_and_month",
+    """with grid as (select distinct a.segment, d.month from account_dim a cross join date_dim d),
+       days as (
+           select segment, month, known_day, count(distinct user_id) as dau from dated_events
+           where known_day is not null group by all),
+       size as (select month, count(*) as n from date_dim group by 1)
+       select g.segment, g.month, cast(coalesce(sum(d.dau), 0) as double) / cast(size.n as double) as average_dau
+       from grid g join size using (month) left join days d on d.segment = g.segment and d.month = g.month
+       group by g.segment, g.month, size.n""",
+    dated_events=DATED_EVENTS,
+)
+def _(s, m):
+    return measure_query(s, ["average_dau"], ["segment", "month"])
+
+
+@star_query(
+    "D19_mau_by_day",
+    """with users as (select d.month, count(distinct e.user_id) as mau from event_fact e join date_dim d using (date_day) group by 1)
+       select date_day, mau from date_dim join users using (month)""",
+)
+def _(s, m):
+    return measure_query(s, ["mau"], ["date_day"])
 
 
 @star_query(

@@ -25,9 +25,9 @@ PARTS["src_accounts"] = """
 PARTS["order_lines"] = """
     select l.*, o.o_custkey from lineitem l join orders o on o.o_orderkey = l.l_orderkey"""
 PARTS["src_users"] = """
-    select distinct cast(x.o_custkey as varchar) || 'U' || cast(x.l_linenumber as varchar) as user_id,
-           cast(x.o_custkey as varchar) as account_id, f.signup_date as created_date
-    from order_lines x join first_orders f on f.o_custkey = x.o_custkey"""
+    select cast(o_custkey as varchar) || 'U' || cast(l_linenumber as varchar) as user_id,
+           cast(o_custkey as varchar) as account_id, cast(min(l_shipdate) as date) as created_date
+    from order_lines group by o_custkey, l_linenumber"""
 PARTS["src_subscriptions"] = """
     select cast(o_custkey as varchar) as account_id,
            cast(date_trunc('month', o_orderdate) as date) as month,
@@ -44,10 +44,7 @@ PARTS["event_versions"] = """
                 when 4 then 'export' else 'automation' end as event_name,
            l_shipdate + to_days(cast(l_suppkey % 5 as integer)) as ingested_at
     from order_lines"""
-PARTS["src_events"] = """
-    select v.* from event_versions v
-    join src_accounts a on a.account_id = v.account_id
-    where cast(v.occurred_at as date) >= a.signup_date"""
+PARTS["src_events"] = "select * from event_versions"
 PARTS["src_opportunities"] = """
     select cast(f.o_custkey as varchar) as account_id, f.signup_date as trial_date,
            case when f.o_custkey % 5 <> 0 or f.o_custkey % 7 <> 0
@@ -56,11 +53,11 @@ PARTS["src_opportunities"] = """
                 then cast(f.signup_date + cast(3 + f.o_custkey % 19 as integer) as date) end as paid_date
     from first_orders f join customer c on c.c_custkey = f.o_custkey"""
 PARTS["src_marketing"] = """
-    select cast(l_shipdate as date) as spend_date,
-           case l_suppkey % 4 when 0 then 'organic' when 1 then 'paid_search'
+    select cast(o_orderdate as date) as spend_date,
+           case o_custkey % 4 when 0 then 'organic' when 1 then 'paid_search'
                 when 2 then 'partner' else 'content' end as channel,
-           cast(sum(cast(round(l_extendedprice) as bigint)) as bigint) as spend_cents
-    from lineitem where l_shipdate < timestamp '2001-08-01' group by 1, 2"""
+           cast(sum(cast(round(o_totalprice) as bigint)) as bigint) as spend_cents
+    from orders group by 1, 2"""
 
 # --- dimensions and facts -------------------------------------------------------------------
 PARTS["account_dim"] = """

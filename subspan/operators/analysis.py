@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subspan.functions.columns import mask_days, mask_union, money_sum, ratio
 from subspan.operators.ranking import dense_rank_desc
 from subspan.operators.staging import calendar_months
-from subspan.session import written
 
 
 def revenue_bridge(account_month: DataFrame, accounts: DataFrame) -> DataFrame:
     """A1: opening to closing balance per month and segment; the residual must be zero."""
-    residual = (
-        F.col("mrr")
-        - F.col("beginning_mrr")
-        - F.col("new_mrr")
-        - F.col("expansion_mrr")
-        - F.col("reactivation_mrr")
-        + F.col("contraction_mrr")
-        + F.col("churn_mrr")
-    )
+    opening, closing = F.col("beginning_mrr"), F.col("mrr")
+    gained = F.col("new_mrr") + F.col("expansion_mrr") + F.col("reactivation_mrr")
+    lost = F.col("contraction_mrr") + F.col("churn_mrr")
+    residual = closing - (opening + gained - lost)
     parts = {
         "opening": "beginning_mrr",
         "new": "new_mrr",
@@ -74,15 +68,15 @@ def expansion_drivers(account_month: DataFrame, product_events: DataFrame, calen
 
 
 def churn_risk(
-    account_month: DataFrame, usage: DataFrame, calendar: DataFrame, scratch: str | None = None
+    account_month: DataFrame, accounts: DataFrame, usage: DataFrame, calendar: DataFrame, checkpoint: bool = False
 ) -> DataFrame:
     """A3: paying accounts per month, ranked by how much their activity fell.
 
     The previous month's active days exist for every month but the account's first, whether or
-    not it paid then. Rows without a balance are dropped before the join; each usage row goes to
-    its own month and, as the earlier value, to the following one. Ranking reads its input more
-    than once; ``scratch`` names a folder on shared storage to write that input to first, so the
-    facts behind it are computed once.
+    not it paid then. The first is the first calendar month from the cohort month on, so the dense fact needs no window, and
+    rows without a balance go before any shuffle. Each usage row goes to its own month and, as the earlier value, to the
+    following one. Ranking reads its input more than once; with ``checkpoint`` that input is computed once, into the
+    session's checkpoint folder, which Spark cleans up.
     """
     active = usage.groupBy("account_id", "month").agg(mask_days(mask_union("day_mask")).alias("days"))
     nothing = F.lit(None).cast("bigint")
@@ -101,12 +95,15 @@ def churn_risk(
         .groupBy("account_id", "month")
         .agg(F.max("now").alias("now"), F.max("before").alias("before"))
     )
-    account = Window.partitionBy("account_id")
     now = F.coalesce("now", F.lit(0))
+    first = F.array_min(F.filter("_months", lambda m: m >= F.col("cohort_month")))
     before = F.when(F.col("month") > F.col("_first"), F.coalesce("before", F.lit(0)))
+    started = accounts.select("account_id", "cohort_month", calendar_months(calendar).scalar().alias("_months"))
+    started = started.select("account_id", first.alias("_first"))
     momentum = (
-        account_month.select("account_id", "month", "mrr", F.min("month").over(account).alias("_first"))
-        .where(F.col("mrr") > 0)
+        account_month.where(F.col("mrr") > 0)
+        .select("account_id", "month", "mrr")
+        .join(started, "account_id")
         .join(roles, ["account_id", "month"], "left")
         .select("account_id", "month", "mrr", now.alias("active_days"), before.alias("prior_active_days"))
         .withColumn(
@@ -114,8 +111,8 @@ def churn_risk(
             ratio(F.col("prior_active_days") - F.col("active_days"), "prior_active_days"),
         )
     )
-    if scratch:
-        momentum = written(momentum, scratch)
+    if checkpoint:
+        momentum = momentum.checkpoint()
     # Active days are 0..31, so a month has few distinct declines; balances are whole cents.
     cents = (F.col("mrr") * 100).cast("bigint")
     return dense_rank_desc(momentum, ["month"], "activity_decline", cents, "review_priority").orderBy(

@@ -1,8 +1,8 @@
 """Measures over any grouping of the star.
 
 ``measure_query`` evaluates named measures for every combination of the ``by`` columns. Filters
-run on the dimensions and reach the facts through the star's one-way relationships. Each fact
-family is aggregated once for all its measures; the families then meet in one small union.
+run on the dimensions and reach the facts through the star's one-way relationships. The measures of
+a fact family share one aggregation; the families then meet in one small union.
 """
 
 from __future__ import annotations
@@ -223,22 +223,28 @@ def _between_months(ctx: Context, usage: DataFrame, months: DataFrame, column: s
 
 
 def _month_users(ctx: Context, usage: DataFrame, keys: list[str], names: tuple[str, str]) -> DataFrame:
-    """Users of each group's reference month and the sum of their active days."""
-    anchors = _anchor_months(ctx).withColumnsRenamed({c: f"_d_{c}" for c in ctx.date_by})
-    # Anchors: at most one row per calendar day. Joining them first leaves only reference months.
-    rows = _between_months(ctx, usage, anchors, "_anchor").join(F.broadcast(anchors), F.col("month") == F.col("_anchor")).withColumn(
+    """Users of each group's reference month and the sum of their active days.
+
+    Many date groups may refer to one month, as its days do: a month is counted once and its totals go to all of them.
+    """
+    anchors = _anchor_months(ctx)
+    months = anchors.select("_anchor", "calendar_mask").distinct()
+    others = [k for k in keys if k not in ctx.date_by]
+    rows = _between_months(ctx, usage, months, "_anchor").join(F.broadcast(months), F.col("month") == F.col("_anchor")).withColumn(
         "_days", F.col("day_mask").bitwiseAND(F.col("calendar_mask"))
     )
-    rows = rows.where(F.col("_days") != 0).select(
-        "user_id", "account_id", "event_name", "_days", *(F.col(f"_d_{c}").alias(c) for c in ctx.date_by)
-    )
-    return (
+    rows = rows.where(F.col("_days") != 0).select("user_id", "account_id", "event_name", "_days", "_anchor")
+    totals = (
         ctx.with_account(rows)
-        .groupBy(*keys, "user_id")
+        .groupBy(*others, "_anchor", "user_id")
         .agg(mask_union("_days").alias("_days"))
-        .groupBy(*keys)
+        .groupBy(*others, "_anchor")
         .agg(F.count(F.lit(1)).alias(names[0]), F.sum(mask_days("_days")).alias(names[1]))
     )
+    if not keys:
+        return totals.agg(*(F.max(n).alias(n) for n in names))
+    # Anchors: at most one row per calendar day.
+    return totals.join(F.broadcast(anchors.select("_anchor", *ctx.date_by)), "_anchor").select(*keys, *names)
 
 
 def _mau(ctx: Context) -> DataFrame:
@@ -261,6 +267,21 @@ def _calendar_days(ctx: Context) -> DataFrame:
     return _anchor_months(ctx).select(*ctx.date_by, "calendar_days")
 
 
+def _grid(ctx: Context) -> DataFrame:
+    """Every group that the dimensions have, with or without facts: average daily users are 0 there, not blank.
+
+    By account and month that is accounts x months, which is what the measure means. The date groups and event names are
+    few and come as one list each, so the accounts' groups unfold in place.
+    """
+    result = ctx.account_rows().select(*ctx.account_by).distinct() if ctx.account_by else ctx.star.account.sparkSession.range(1).select()
+    lists = [(ctx.date_by, _anchor_months(ctx)), (ctx.event_by, ctx.event_rows())]
+    for columns, frame in lists:
+        if columns:
+            groups = frame.select(*columns).distinct().agg(F.collect_list(F.struct(*columns))).scalar()
+            result = result.select(*result.columns, F.inline(groups))
+    return result.select(*ctx.by, F.lit(True).alias("in_grid"))
+
+
 # --- funnel, accounts, marketing ------------------------------------------------------------
 
 
@@ -301,9 +322,8 @@ def _marketing(ctx: Context) -> DataFrame:
         .agg(F.sum(spend_cents()).alias("_cents"))
     )
     used = ctx.account_rows().withColumn("_used", F.col("channel")).select("_used", *ctx.account_by).distinct()
-    # Spend is at most channels x calendar days here: safe to broadcast.
     return (
-        used.join(F.broadcast(spend), F.col("_used") == F.col("_channel"))
+        used.join(spend, F.col("_used") == F.col("_channel"))
         .groupBy(*ctx.account_by, *ctx.date_by)
         .agg((F.sum("_cents").cast("double") / 100).alias("marketing_spend"))
     )
@@ -324,6 +344,7 @@ FAMILIES = {
     "mau": Family(_mau, ACCOUNT_COLUMNS + DATE_COLUMNS + EVENT_COLUMNS),
     "mau_all_events": Family(_mau_all_events, ACCOUNT_COLUMNS + DATE_COLUMNS),
     "calendar_days": Family(_calendar_days, DATE_COLUMNS),
+    "grid": Family(_grid, ACCOUNT_COLUMNS + DATE_COLUMNS + EVENT_COLUMNS),
     "funnel": Family(_funnel, ACCOUNT_COLUMNS + DATE_COLUMNS),
     "accounts": Family(_accounts, ACCOUNT_COLUMNS),
     "marketing": Family(_marketing, ACCOUNT_COLUMNS + DATE_COLUMNS),
@@ -387,7 +408,7 @@ MEASURES: dict[str, Measure] = {
     # D18-D22
     "active_users": _plain("active", "active_users"),
     "mau": _plain("mau", "mau"),
-    "average_dau": Measure(("mau", "calendar_days"), _average_dau),
+    "average_dau": Measure(("mau", "calendar_days", "grid"), _average_dau),
     "stickiness": Measure(("mau", "calendar_days"), lambda: ratio(_average_dau(), "mau")),
     "feature_adoption": Measure(("mau", "mau_all_events"), lambda: ratio("mau", "mau_all_events")),
     # D23-D29

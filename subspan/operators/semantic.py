@@ -9,48 +9,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subspan.functions.columns import ratio
-from subspan.operators.measures import Star, measure_query
+from subspan.operators.measures import DATE_COLUMNS, Star, measure_query, merge_groups
 
 # The metrics of the selector, in its order.
 SELECTABLE = ("mrr", "arr", "nrr", "mau")
 
 
-def period_comparison(star: Star, measure: str, by: Iterable[str] = (), **filters: Column) -> DataFrame:
-    """Current value, the previous month's value and the relative change, per month.
+def _month_before(calendar: DataFrame, shown: Column | None) -> DataFrame:
+    """The calendar as the month before sees it: a day bears the year and month number of the month after its own.
 
-    Each month's value is emitted for its own month and, as the previous one, for the month
-    after; one aggregation lines them up. Only months of the (filtered) calendar are shown, but
-    the previous month may lie outside the filter.
+    ``_shown`` marks the days whose following month is shown. ``month`` stays the day's own, since facts meet it.
     """
-    keys = [c for c in by if c != "month"]
-    shown = filters.pop("dates", None)
-    values = measure_query(star, [measure], [*keys, "month"], **filters)
-    value = F.col(measure)
-    nothing = F.lit(None).cast(values.schema[measure].dataType)
-    roles = F.array(
-        F.struct(F.col("month").alias("month"), value.alias("current"), nothing.alias("previous_month")),
-        F.struct(F.add_months("month", 1).alias("month"), nothing.alias("current"), value.alias("previous_month")),
-    )
-    calendar = star.calendar if shown is None else star.calendar.where(shown)
-    months = calendar.select("month").distinct()  # one row per calendar month: safe to broadcast
-    current, previous = F.col("current"), F.col("previous_month")
+    after = F.add_months("month", 1)
+    months = (calendar if shown is None else calendar.where(shown)).select(F.add_months("month", -1).alias("_before")).distinct()
     return (
-        values.where(F.col("month").isNotNull())
-        .select(*keys, F.explode(roles).alias("r"))
-        .select(*keys, "r.*")
-        .groupBy(*keys, "month")
-        .agg(F.max("current").alias("current"), F.max("previous_month").alias("previous_month"))
-        .join(F.broadcast(months), "month", "left_semi")
-        .select(
-            *keys,
-            "month",
-            "current",
-            "previous_month",
-            ratio(F.coalesce(current, F.lit(0)) - previous, previous).alias("mom_change"),
-        )
+        calendar.join(months, F.col("month") == F.col("_before"), "left")  # Spark sees that months are few
+        .withColumns({"year": F.year(after), "month_number": F.month(after), "_shown": F.col("_before").isNotNull()})
+        .drop("_before")
     )
 
 
+def period_comparison(star: Star, measure: str, by: Iterable[str] = ("month",), **filters: Column) -> DataFrame:
+    """A measure's current value, its value one month earlier and the relative change.
+
+    The earlier value of a group is the measure over the group's months moved back by one, within the calendar. So a year's
+    is that of December to November, and without date columns all shown months move. A date filter says which months are
+    shown; the month before may lie outside of it. Months move whole, so single days can't be compared.
+    """
+    by = list(by)
+    if "date_day" in by:
+        raise ValueError("periods are whole months: group by month, month_number or year")
+    shown = filters.pop("dates", None)
+    current = measure_query(star, [measure], by, dates=shown, **filters).withColumnRenamed(measure, "current")
+    earlier = replace(star, calendar=_month_before(star.calendar, shown))
+    previous = measure_query(earlier, [measure], by, dates=F.col("_shown"), **filters)
+    if "month" in by:
+        previous = previous.withColumn("month", F.add_months("month", 1))
+    previous = previous.withColumnRenamed(measure, "previous_month")
+    dated = [c for c in by if c in DATE_COLUMNS]
+    both = merge_groups([current, previous], by)
+    if dated:  # facts outside the calendar have no period
+        both = both.where(F.col(dated[0]).isNotNull())
+    value, before = F.col("current"), F.col("previous_month")
+    change = ratio(F.coalesce(value, F.lit(0)) - before, before)
+    return both.select(*by, "current", "previous_month", change.alias("mom_change"))
+
+
 def metric_selector(star: Star, by: Iterable[str] = ("month",), metrics: Iterable[str] = SELECTABLE, **filters) -> DataFrame:
     """The selectable metrics in long form (metric, position, value)."""
     by, metrics = list(by), list(metrics)

@@ -20,6 +20,7 @@ from subspan.sources.contracts import ACCOUNT_CHILDREN, AMOUNTS, CONTRACTS, DOMA
 
 FAULTS = "_faults"
 UNKNOWN_FIELDS = "_unknown_fields"  # set by feed readers: fields the contract does not have
+UNKNOWN_FIELD = "unknown field "
 NOT_TEXT = "_not_text"  # set by feed readers: text fields that arrived as numbers or objects
 REPORT = "dataset string, rule string, key string, detail string, rows bigint"
 
@@ -114,7 +115,10 @@ def with_faults(dataset: str, raw: DataFrame, domains=DOMAINS) -> DataFrame:
     faults = []
     for f in contract.schema.fields:
         if have[f.name] != f.dataType:
-            wrong = before[f.name].isNotNull() & F.col(f.name).isNull()
+            # Text is never made from numbers or other types: any such value is a fault.
+            wrong = before[f.name].isNotNull()
+            if f.dataType != StringType():
+                wrong = wrong & F.col(f.name).isNull()
             faults.append(_fault("V3", f"{f.name} is not a {f.dataType.simpleString()}", wrong))
         if not f.nullable:
             faults.append(_fault("V3", f"{f.name} is missing", before[f.name].isNull()))
@@ -123,7 +127,7 @@ def with_faults(dataset: str, raw: DataFrame, domains=DOMAINS) -> DataFrame:
     if flags:
         listed = [
             _listed(c, what)
-            for c, what in ((UNKNOWN_FIELDS, "unknown field "), (NOT_TEXT, "not text: "))
+            for c, what in ((UNKNOWN_FIELDS, UNKNOWN_FIELD), (NOT_TEXT, "not text: "))
             if c in flags
         ]
         found = F.concat(found, *listed)
@@ -231,9 +235,22 @@ def violations(feeds: Mapping[str, DataFrame], domains=DOMAINS) -> DataFrame:
 
 
 def summary(found: DataFrame) -> DataFrame:
-    """One line per dataset, rule and detail: bounded by the contract, whatever the data size."""
-    return found.groupBy("dataset", "rule", "detail").agg(
-        F.sum("rows").alias("rows"), F.min("key").alias("example")
+    """One line per dataset, rule and kind of fault: bounded by the contract, whatever the data hold.
+
+    Names of unknown fields come from the data, so all of them are one kind and the example names one.
+    """
+    unknown = F.col("detail").startswith(UNKNOWN_FIELD)
+    named = F.concat(F.substring("detail", len(UNKNOWN_FIELD) + 1, 1000), F.lit(" in "), F.coalesce("key", F.lit("?")))
+    return (
+        found.select(
+            "dataset",
+            "rule",
+            F.when(unknown, UNKNOWN_FIELD.strip()).otherwise(F.col("detail")).alias("detail"),
+            "rows",
+            F.when(unknown, named).otherwise(F.col("key")).alias("key"),
+        )
+        .groupBy("dataset", "rule", "detail")
+        .agg(F.sum("rows").alias("rows"), F.min("key").alias("example"))
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from subspan.operators import acquisition, product, revenue, staging
 from subspan.session import written
 
+# The models that readers know by name.
 MARTS = (
     "dim_account",
     "dim_user",
@@ -27,7 +28,6 @@ MARTS = (
 )
 
 
-
 @dataclass(frozen=True)
 class Models:
     """Lazily composed models. ``folder`` makes the shared ones written tables.

@@ -21,6 +21,7 @@ SETTINGS = {
 
 def local_session(app: str = "subspan", cores: str | int = "*", partitions: int = 8) -> SparkSession:
     """A single-JVM session for tests and the bench. Clusters bring their own session."""
+    local = os.path.join(tempfile.gettempdir(), "subspan-warehouse")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -30,7 +31,9 @@ def local_session(app: str = "subspan", cores: str | int = "*", partitions: int
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SUBSPAN_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "subspan-warehouse"))
+        .config("spark.sql.warehouse.dir", local)
+        .config("spark.checkpoint.dir", os.path.join(local, "shared"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,17 +47,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); one must be named by the session.
-
-    Only a local master may fall back to a folder of this machine, because there every task
-    runs on it.
-    """
+    """The folder that the whole cluster shares: ``spark.checkpoint.dir``, else one below the SQL warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="subspan-shared-")
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/subspan-shared"
 
 
 def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:

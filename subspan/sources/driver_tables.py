@@ -1,14 +1,13 @@
 """The six contract datasets derived from order/lineitem style tables.
 
 Every derivation runs over the whole tables. Event versions are kept as they come: the same
-event id arrives several times with different ingestion times, and some events lie before
-their account's signup, so the cleaning operators have real work to do.
+event id arrives several times with different ingestion times, so the cleaning operators have
+real work to do. Shipments go on after the last order, so some events lie after the calendar.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +34,6 @@ SCHEMAS = {
     ),
 }
 
-# Orders stop on this day while shipments go on; later calendar months would show every
-# account as churned.
-CALENDAR_END = datetime(2001, 8, 1)
 PLANS = ("Starter", "Growth", "Scale")
 
 
@@ -85,31 +81,22 @@ class DriverTables:
             )
         )
 
-    def _lines(self) -> DataFrame:
-        """lineitem, spread out when the file offers fewer splits than there are cores.
-
-        One row group is one task, and the event queries sort and join right in it. Any larger
-        table has splits enough and is read as it is.
-        """
-        lines, cores = self.table("lineitem"), self.spark.sparkContext.defaultParallelism
-        return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
-
     def order_lines(self) -> DataFrame:
-        return self._lines().join(
+        return self.table("lineitem").join(
             self.table("orders").select("o_orderkey", "o_custkey"),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
 
     def users(self) -> DataFrame:
+        """One user per account and line number, who exists from the day of the first shipment on."""
         return (
             self.order_lines()
-            .select("o_custkey", "l_linenumber")
-            .distinct()
-            .join(self.first_orders(), "o_custkey")
+            .groupBy("o_custkey", "l_linenumber")
+            .agg(F.min("l_shipdate").cast("date").alias("created_date"))
             .select(
                 F.concat(_text("o_custkey"), F.lit("U"), _text("l_linenumber")).alias("user_id"),
                 _text("o_custkey").alias("account_id"),
-                F.col("signup_date").alias("created_date"),
+                "created_date",
             )
         )
 
@@ -128,7 +115,7 @@ class DriverTables:
             )
         )
 
-    def event_versions(self) -> DataFrame:
+    def events(self) -> DataFrame:
         """Every arrival of every event, before any cleaning."""
         late = F.make_dt_interval(days=(F.col("l_suppkey") % 5).cast("int"))
         return self.order_lines().select(
@@ -140,16 +127,6 @@ class DriverTables:
             (F.col("l_shipdate") + late).alias("ingested_at"),
         )
 
-    def events(self) -> DataFrame:
-        """Event versions from the account's signup day on."""
-        signup = self.first_orders().select(_text("o_custkey").alias("account_id"), "signup_date")
-        return (
-            self.event_versions()
-            .join(signup, "account_id")
-            .where(F.col("occurred_at").cast("date") >= F.col("signup_date"))
-            .select("event_id", "user_id", "account_id", "occurred_at", "event_name", "ingested_at")
-        )
-
     def opportunities(self) -> DataFrame:
         account = F.col("o_custkey")
         paid = F.when(
@@ -168,14 +145,14 @@ class DriverTables:
         )
 
     def marketing(self) -> DataFrame:
+        """Spend by order day and channel; its days are the calendar, whatever the last of them is."""
         return (
-            self.table("lineitem")
-            .where(F.col("l_shipdate") < F.lit(CALENDAR_END).cast("timestamp_ntz"))
+            self.table("orders")
             .groupBy(
-                F.col("l_shipdate").cast("date").alias("spend_date"),
-                _pick(CHANNELS, F.col("l_suppkey")).alias("channel"),
+                F.col("o_orderdate").cast("date").alias("spend_date"),
+                _pick(CHANNELS, F.col("o_custkey")).alias("channel"),
             )
-            .agg(F.sum(F.round("l_extendedprice").cast("bigint")).alias("spend_cents"))
+            .agg(F.sum(F.round("o_totalprice").cast("bigint")).alias("spend_cents"))
         )
 
     def datasets(self) -> Mapping[str, DataFrame]:

@@ -1,39 +1,33 @@
-"""Raw tables: snapshot replacement, keyed upsert, load audit, rolling refresh."""
+"""Raw tables: snapshot replacement, keyed upsert, load audit, rolling refresh.
+
+Data folders are written once and never changed. What a table holds is said by the last entry of an
+append-only log, so a load that stops anywhere before its entry leaves the earlier state whole, and one
+entry moves any number of tables at once. Folders that neither the last entry nor the one before names are
+removed after an entry was written; readers of the state before keep theirs until the next load. One writer at a
+time.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from subspan.session import observed
 from subspan.sources import files, landing
 from subspan.sources.contracts import CONTRACTS
+from subspan.sources.pointers import LOG
+from subspan.sources.pointers import entries as _entries
+from subspan.sources.pointers import last as _last
+from subspan.sources.pointers import point as _point
+from subspan.sources.pointers import sweep as _sweep
 
-LOG = "seq bigint, value string"
 AUDIT = "batch_id string, loaded_at timestamp_ntz"
-
-
-# --- pointer logs ---------------------------------------------------------------------------
-# A pointer is an append-only log; its last entry counts. One small file appears per change, in
-# one step, so readers see the old state or the new one and nothing in between.
-
-
-def _last(spark: SparkSession, log: str):
-    if not files.exists(spark, log):
-        return None
-    return spark.read.schema(LOG).json(log).orderBy(F.col("seq").desc()).first()
-
-
-def _point(spark: SparkSession, log: str, value: str) -> None:
-    last = _last(spark, log)
-    row = [((last["seq"] + 1) if last else 0, value)]
-    spark.createDataFrame(row, LOG).coalesce(1).write.mode("append").json(log)
-
+Days = dict[str, str]  # of a table stored by day: the run whose folder holds a day
 
 def load_snapshot(spark: SparkSession, landing_dir: str, batch_id: str, warehouse: str) -> None:
     """Make a verified batch the content of all raw tables at once.
@@ -61,8 +55,7 @@ def merge_rows(target: DataFrame, batch: DataFrame, keys: Iterable[str], newest:
 
     With ``newest`` a batch row replaces only when its value is at least the target's, so
     replaying an old batch cannot undo a later correction. Keys are unique on both sides, so the
-    merge is "best row per key" over the union: one shuffle, and a run that repeats after a crash
-    ends in the same state.
+    merge is "best row per key" over the union: one shuffle.
     """
     columns = target.columns
     both = target.withColumn("_from_batch", F.lit(0)).unionByName(
@@ -73,20 +66,86 @@ def merge_rows(target: DataFrame, batch: DataFrame, keys: Iterable[str], newest:
     return both.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") == 1).select(*columns)
 
 
+def _version(spark: SparkSession, path: str, version: str | None, schema) -> DataFrame:
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/data/{version}")
+
+
+def _merge_version(spark: SparkSession, path: str, version: str | None, batch: DataFrame, keys, schema) -> str:
+    """Write a table's next version beside the others; nothing reads it yet."""
+    merged = merge_rows(_version(spark, path, version, schema), batch, keys)
+    new = uuid.uuid4().hex
+    merged.write.option("compression", "zstd").parquet(f"{path}/data/{new}")
+    return new
+
+
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """The current version of a table written by ``upsert_table``; empty before the first."""
     last = _last(spark, f"{path}/versions")
-    if last is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/data/{last['value']}")
+    return _version(spark, path, last and last["value"], schema)
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Iterable[str], schema) -> None:
     """S7 for a table that is rewritten whole: a new version beside the old, then the pointer."""
-    version = uuid.uuid4().hex
-    merged = merge_rows(read_table(spark, path, schema), batch, keys)
-    merged.write.option("compression", "zstd").parquet(f"{path}/data/{version}")
-    _point(spark, f"{path}/versions", version)
+    last = _last(spark, f"{path}/versions")
+    _point(spark, f"{path}/versions", _merge_version(spark, path, last and last["value"], batch, keys, schema))
+    _sweep(spark, f"{path}/data", [e["value"] for e in _entries(spark, f"{path}/versions", 2)])
+
+
+# --- tables stored by day -------------------------------------------------------------------
+# <path>/data/run=<run>/day=<day>/. Days are bounded by the calendar, so a list of them may pass the driver.
+
+
+def _read_days(spark: SparkSession, path: str, days: Days, schema: StructType) -> DataFrame:
+    """The rows of ``days`` with their ``day``."""
+    full = StructType([*schema.fields, StructField("day", DateType())])
+    if not days:
+        return spark.createDataFrame([], full)
+    folders = [f"{path}/data/run={run}/day={day}" for day, run in sorted(days.items())]
+    read = spark.read.schema(full).option("basePath", f"{path}/data").parquet(*folders)
+    return read.select(*full.names)
+
+
+def _write_days(spark: SparkSession, path: str, rows: DataFrame, days: Iterable[date], before: Days) -> Days:
+    """``before`` with ``rows`` as the whole content of ``days``, written to a new run."""
+    days = sorted({d.isoformat() for d in days})
+    if not days:
+        return dict(before)
+    run = uuid.uuid4().hex
+    (
+        rows.where(F.col("day").isin([date.fromisoformat(d) for d in days]))
+        # One day goes to one task, or to several when it is large.
+        .hint("rebalance", "day")
+        .write.option("compression", "zstd")
+        .partitionBy("day")
+        .parquet(f"{path}/data/run={run}")
+    )
+    written = {n.removeprefix("day=") for n in files.children(spark, f"{path}/data/run={run}") if n.startswith("day=")}
+    return {d: r for d, r in before.items() if d not in days} | {d: run for d in written}
+
+
+def _days_of(spark: SparkSession, path: str) -> Days:
+    last = _last(spark, f"{path}/days")
+    return json.loads(last["value"]) if last else {}
+
+
+def _point_days(spark: SparkSession, path: str, days: Days) -> None:
+    _point(spark, f"{path}/days", json.dumps(days, sort_keys=True))
+    kept = [json.loads(e["value"]) for e in _entries(spark, f"{path}/days", 2)]
+    _sweep(spark, f"{path}/data", {run for state in kept for run in state.values()})
+
+
+def _merge_days(spark: SparkSession, path: str, before: Days, batch: DataFrame, unit: str) -> Days:
+    """Merge events into the days they touch: the batch's and those where its event ids already sit."""
+    columns = CONTRACTS["events"].columns
+    incoming = _with_day(batch.select(*columns), "occurred_at", unit)
+    stored = _read_days(spark, path, before, CONTRACTS["events"].schema)
+    known = stored.select("event_id", "day").join(incoming.select("event_id"), "event_id", "left_semi")
+    days = [r["day"] for r in incoming.select("day").union(known.select("day")).distinct().collect()]
+    touched = {d.isoformat(): before[d.isoformat()] for d in days if d.isoformat() in before}
+    old = _read_days(spark, path, touched, CONTRACTS["events"].schema)
+    return _write_days(spark, path, merge_rows(old, incoming, ["event_id"], "ingested_at"), days, before)
 
 
 def _with_day(df: DataFrame, column: str, unit: str = "day") -> DataFrame:
@@ -95,82 +154,72 @@ def _with_day(df: DataFrame, column: str, unit: str = "day") -> DataFrame:
     return df.withColumn("day", day if unit == "day" else F.trunc(day, unit))
 
 
+def read_days(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The current rows, with their ``day``, of a table written by ``upsert_events`` or ``refresh_events``."""
+    return _read_days(spark, path, _days_of(spark, path), schema)
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    schema = StructType([*CONTRACTS["events"].schema.fields, StructField("day", DateType())])
-    if not any(name.startswith("day=") for name in files.children(spark, path)):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return read_days(spark, path, CONTRACTS["events"].schema)
 
 
 def upsert_events(spark: SparkSession, path: str, batch: DataFrame, unit: str = "day") -> None:
     """S7 for the event table, stored by day of occurrence; rewrites only the days it must.
 
-    ``unit="month"`` stores by month instead, for tables too small to fill daily files.
-
-    Those are the batch's days and the days where its event ids already sit, since a correction
-    may move an event to another day. A crash halfway leaves old and new days mixed; repeating
-    the same batch completes it, because the merge picks one row per id over all those days.
+    ``unit="month"`` stores by month instead, for tables too small to fill daily files. A correction may
+    move an event to another day: both days are rewritten and appear together.
     """
-    columns = CONTRACTS["events"].columns
-    incoming = _with_day(batch.select(*columns), "occurred_at", unit)
-    stored = read_events(spark, path)
-    known = stored.select("event_id", "day").join(incoming.select("event_id"), "event_id", "left_semi")
-    # A list of days: bounded by the calendar, not by the events.
-    days = [r["day"] for r in incoming.select("day").union(known.select("day")).distinct().collect()]
-    merged = merge_rows(stored.where(F.col("day").isin(days)), incoming, ["event_id"], "ingested_at")
-    _replace_days(spark, path, merged, days)
+    _point_days(spark, path, _merge_days(spark, path, _days_of(spark, path), batch, unit))
 
 
-def _replace_days(spark: SparkSession, path: str, rows: DataFrame, days: Iterable[date]) -> None:
-    """Make ``rows`` the whole content of ``days``.
+# --- the accumulated tables -----------------------------------------------------------------
+
+
+def _state(entry) -> dict:
+    return json.loads(entry["value"]) if entry else {"versions": {}, "days": {}}
 
-    Dynamic overwrite stages everything before it swaps folders, so ``rows`` may be computed from
-    the same path. Days left without rows are removed afterwards.
-    """
-    days = sorted(set(days))
-    if not days:
-        return
-    written = Observation()
-    (
-        rows.where(F.col("day").isin(days))
-        .observe(written, F.collect_set("day").alias("days"))
-        # One day goes to one task, or to several when it is large.
-        .hint("rebalance", "day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("day")
-        .parquet(path)
-    )
-    for day in set(days) - set(observed(written, "days", [])):
-        files.remove(spark, f"{path}/day={day.isoformat()}")
 
+def load_merge(spark: SparkSession, landing_dir: str, batch_id: str, warehouse: str, unit: str = "day") -> None:
+    """Merge a verified batch into the six accumulated tables and note the load, all at once.
 
-def load_merge(spark: SparkSession, landing_dir: str, batch_id: str, warehouse: str) -> None:
-    """Merge a verified batch into the accumulated tables and note the load."""
+    Every table's new data are written first; one log entry then names them and the batch. Loading a batch again
+    merges it again, which changes no row, and leaves its first time in the audit.
+    """
     landing.verify(spark, landing_dir, batch_id)
+    before = _state(_last(spark, f"{warehouse}/loads"))
+    versions, days = dict(before["versions"]), before["days"]
     for name, frame in landing.read_batch(spark, landing_dir, batch_id).items():
-        path = f"{warehouse}/{name}"
+        path, contract = f"{warehouse}/{name}", CONTRACTS[name]
         if name == "events":
-            upsert_events(spark, path, frame)
+            days = _merge_days(spark, path, days, frame, unit)
         else:
-            upsert_table(spark, path, frame, CONTRACTS[name].key, CONTRACTS[name].schema)
-    record_load(spark, f"{warehouse}/load_audit", batch_id)
+            versions[name] = _merge_version(spark, path, versions.get(name), frame, contract.key, contract.schema)
+    now = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").cast("string")).first()[0]
+    state = {"batch_id": batch_id, "loaded_at": now, "versions": versions, "days": days}
+    _point(spark, f"{warehouse}/loads", json.dumps(state, sort_keys=True))
+    kept = [_state(e) for e in _entries(spark, f"{warehouse}/loads", 2)]
+    for name in CONTRACTS:
+        named = [set(s["days"].values()) if name == "events" else {s["versions"][name]} for s in kept]
+        _sweep(spark, f"{warehouse}/{name}/data", set().union(*named))
 
 
 def merged_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """The six tables of one state."""
+    state = _state(_last(spark, f"{warehouse}/loads"))
     return {
-        name: read_events(spark, f"{warehouse}/{name}").select(*c.columns)
+        name: _read_days(spark, f"{warehouse}/{name}", state["days"], c.schema).select(*c.columns)
         if name == "events"
-        else read_table(spark, f"{warehouse}/{name}", c.schema)
+        else _version(spark, f"{warehouse}/{name}", state["versions"].get(name), c.schema)
         for name, c in CONTRACTS.items()
     }
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    if not files.exists(spark, path):
+def read_audit(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Each loaded batch once, with the time of its first load."""
+    if not files.exists(spark, f"{warehouse}/loads"):
         return spark.createDataFrame([], AUDIT)
-    return spark.read.schema(AUDIT).parquet(path)
+    loads = spark.read.schema(LOG).json(f"{warehouse}/loads").select(F.from_json("value", AUDIT).alias("load"))
+    return loads.groupBy("load.batch_id").agg(F.min("load.loaded_at").alias("loaded_at"))
 
 
 def unrecorded_loads(loads: DataFrame, audit: DataFrame) -> DataFrame:
@@ -178,13 +227,6 @@ def unrecorded_loads(loads: DataFrame, audit: DataFrame) -> DataFrame:
     return loads.dropDuplicates(["batch_id"]).join(audit.select("batch_id"), "batch_id", "left_anti")
 
 
-def record_load(spark: SparkSession, path: str, batch_id: str) -> None:
-    """Note batch id and time once, however often the batch is loaded."""
-    now = F.current_timestamp().cast("timestamp_ntz")
-    load = spark.createDataFrame([(batch_id,)], "batch_id string").withColumn("loaded_at", now)
-    unrecorded_loads(load, read_audit(spark, path)).coalesce(1).write.mode("append").parquet(path)
-
-
 # --- rolling refresh ------------------------------------------------------------------------
 KEEP_MONTHS = 36
 RELOAD_DAYS = 7
@@ -213,12 +255,11 @@ def refresh_events(
     """Reload recent days of the event fact from ``source`` and drop days past retention.
 
     ``source`` is filtered on ``date_day`` before anything else, so a day-partitioned or sorted
-    source is read only for those days. Older corrections need ``extra_days``.
+    source is read only for those days. Older corrections need ``extra_days``. Reloaded and dropped days
+    change together.
     """
     oldest = first_kept_day(as_of, keep_months)
     days = [d for d in refresh_days(as_of, reload_days, extra_days) if d >= oldest]
     slice_ = source.where(F.col("date_day").isin(days)).withColumn("day", F.col("date_day"))
-    _replace_days(spark, store, slice_, days)
-    for name in files.children(spark, store):
-        if name.startswith("day=") and name < f"day={oldest.isoformat()}":
-            files.remove(spark, f"{store}/{name}")
+    kept = {d: run for d, run in _days_of(spark, store).items() if d >= oldest.isoformat()}
+    _point_days(spark, store, _write_days(spark, store, slice_, days, kept))

@@ -22,7 +22,10 @@ def spark():
 
 
 def golden_rows() -> dict[str, list[dict]]:
-    """Twelve accounts, six months, three hand-made balance paths (yearly contracts)."""
+    """Twelve accounts, six months, three hand-made balance paths (yearly contracts).
+
+    Fixed values: the three paths.
+    """
     start, days = date(2024, 1, 1), 182
     accounts = [f"A{i:04d}" for i in range(12)]
     segments, regions = ("SMB", "Mid-market", "Enterprise"), ("AMER", "EMEA", "APAC")

@@ -149,3 +149,24 @@ def test_calendar_gap_is_reported(golden):
     gap = golden.dim_date.where(F.col("date_day") != date(2024, 2, 10))
     row = checks.calendar_contiguous(gap).first()
     assert (row["days"], row["expected_days"]) == (181, 182)
+
+
+def test_failing_check_leaves_the_earlier_build(spark, rows, tmp_path):
+    from subspan.operators.validation import with_faults
+    from subspan.plans.build import BuildError, build, built
+    from subspan.sources import feeds
+    from subspan.sources.contracts import CONTRACTS
+
+    def raw():
+        frames = feeds.from_rows(spark, rows)
+        return {n: with_faults(n, frames[n]).select(*CONTRACTS[n].columns) for n in CONTRACTS}
+
+    folder = str(tmp_path / "marts")
+    build(spark, raw(), folder)
+    before = built(spark, folder)["dim_user"].count()
+    rows["users"].append(dict(rows["users"][0]))
+    with pytest.raises(BuildError) as e:
+        build(spark, raw(), folder)
+    assert set(e.value.failing) == {"unique dim_user.user_id"}
+    assert built(spark, folder)["dim_user"].count() == before
+    assert len(list((tmp_path / "marts" / "builds").iterdir())) == 1

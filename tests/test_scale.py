@@ -154,7 +154,7 @@ def test_no_model_needs_a_nested_loop_or_python(models, no_broadcast):
     frames = {
         **models.marts(),
         "drivers": analysis.expansion_drivers(models.fct_account_month, models.fct_product_event, models.dim_date),
-        "risk": analysis.churn_risk(models.fct_account_month, models.usage, models.dim_date),
+        "risk": analysis.churn_risk(models.fct_account_month, models.dim_account, models.usage, models.dim_date),
     }
     for name, df in frames.items():
         text = plan(df)

@@ -2,7 +2,9 @@
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from subspan.sources import exports, feeds, files, landing, warehouse
 from subspan.sources.contracts import CONTRACTS
@@ -48,25 +50,76 @@ def test_correction_moves_an_event_to_another_day(spark, tmp_path):
     warehouse.upsert_events(spark, path, frame(spark, event("a", 1, 5), event("b", 7, 5)))
     warehouse.upsert_events(spark, path, frame(spark, event("a", 4, 6)))
     assert stored(spark, path) == {"a": (4, "login", 4), "b": (7, "login", 7)}
-    assert files.children(spark, path)[-2:] == ["day=2024-01-04", "day=2024-01-07"]
+    assert sorted(warehouse._days_of(spark, path)) == ["2024-01-04", "2024-01-07"]
 
 
 def test_untouched_days_are_not_rewritten(spark, tmp_path):
     path = f"{tmp_path}/events"
     warehouse.upsert_events(spark, path, frame(spark, event("a", 1, 5), event("b", 7, 5)))
-    before = files.children(spark, f"{path}/day=2024-01-07")
+    before = warehouse._days_of(spark, path)
     warehouse.upsert_events(spark, path, frame(spark, event("a", 1, 6, "export")))
-    assert files.children(spark, f"{path}/day=2024-01-07") == before
+    after = warehouse._days_of(spark, path)
+    assert after["2024-01-07"] == before["2024-01-07"] and after["2024-01-01"] != before["2024-01-01"]
 
 
-def test_repeating_a_half_finished_upsert_completes_it(spark, tmp_path):
-    """The new day is in place, the old day still holds the earlier version."""
+def test_upsert_that_stops_before_the_entry_changes_nothing(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/events"
+    warehouse.upsert_events(spark, path, frame(spark, event("a", 1, 5), event("b", 1, 5)))
+    batch = frame(spark, event("a", 4, 6))
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "_point", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            warehouse.upsert_events(spark, path, batch)
+    assert stored(spark, path) == {"a": (1, "login", 1), "b": (1, "login", 1)}
+    warehouse.upsert_events(spark, path, batch)
+    assert stored(spark, path) == {"a": (4, "login", 4), "b": (1, "login", 1)}
+
+
+def test_the_state_before_stays_readable_and_older_folders_go(spark, tmp_path):
     path = f"{tmp_path}/events"
     warehouse.upsert_events(spark, path, frame(spark, event("a", 1, 5)))
-    half = frame(spark, event("a", 4, 6)).withColumn("day", F.lit(date(2024, 1, 4)))
-    half.write.mode("append").partitionBy("day").parquet(path)
-    warehouse.upsert_events(spark, path, frame(spark, event("a", 4, 6)))
-    assert stored(spark, path) == {"a": (4, "login", 4)} and warehouse.read_events(spark, path).count() == 1
+    old = warehouse.read_events(spark, path)
+    for ingested in (6, 7, 8):
+        warehouse.upsert_events(spark, path, frame(spark, event("a", 1, ingested, f"export{ingested}")))
+        if ingested == 6:
+            assert old.first()["event_name"] == "login"
+    assert len(files.children(spark, f"{path}/data")) == 2
+
+
+@pytest.mark.parametrize("stop_at", ["table", "entry"])
+def test_merge_load_moves_all_tables_or_none(spark, rows, tmp_path, monkeypatch, stop_at):
+    store = f"{tmp_path}/store"
+
+    def publish():
+        return landing.publish(spark, feeds.from_rows(spark, rows), str(tmp_path)).batch_id
+
+    def content():
+        return {n: sorted(map(str, df.collect())) for n, df in warehouse.merged_tables(spark, store).items()}
+
+    warehouse.load_merge(spark, str(tmp_path), publish(), store)
+    before = content()
+    rows["accounts"][0]["segment"] = "Enterprise"
+    rows["events"][0]["occurred_at"] += timedelta(days=1)
+    rows["events"][0]["ingested_at"] += timedelta(days=1)
+    rows["marketing"][0]["spend_cents"] += 5
+    second = publish()
+    real, calls = getattr(warehouse, "_merge_version" if stop_at == "table" else "_point"), []
+
+    def stopping(*args):
+        calls.append(args)
+        if len(calls) == (4 if stop_at == "table" else 1):
+            raise RuntimeError("stopped")
+        return real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, real.__name__, stopping)
+        with pytest.raises(RuntimeError):
+            warehouse.load_merge(spark, str(tmp_path), second, store)
+    assert content() == before and warehouse.read_audit(spark, store).count() == 1
+    warehouse.load_merge(spark, str(tmp_path), second, store)
+    after = content()
+    assert {n for n in after if after[n] != before[n]} == {"accounts", "events", "marketing"}
+    assert len(after["events"]) == len(before["events"]) and warehouse.read_audit(spark, store).count() == 2
 
 
 def test_merge_load_accumulates_batches_and_audits_once(spark, rows, tmp_path):
@@ -85,7 +138,7 @@ def test_merge_load_accumulates_batches_and_audits_once(spark, rows, tmp_path):
     assert tables["accounts"].count() == 12
     kept = tables["subscriptions"].where(F.col("account_id") == removed["account_id"]).where(F.col("month") == removed["month"])
     assert kept.count() == 1  # absent from the batch, still stored
-    audit = warehouse.read_audit(spark, f"{tmp_path}/store/load_audit").collect()
+    audit = warehouse.read_audit(spark, f"{tmp_path}/store").collect()
     assert sorted(r["batch_id"] for r in audit) == sorted([first, second])
 
 
@@ -107,7 +160,8 @@ def test_refresh_reloads_a_week_and_drops_old_months(spark, tmp_path):
         return spark.createDataFrame([(f"{tag}{d}", d) for d in days], "event_id string, date_day date")
 
     def content():
-        return sorted((r["event_id"][0], r["day"]) for r in spark.read.parquet(path).collect())
+        found = warehouse.read_days(spark, path, StructType.fromDDL("event_id string, date_day date"))
+        return sorted((r["event_id"][0], r["day"]) for r in found.collect())
 
     old, edge, early, gone = date(2021, 5, 31), date(2021, 6, 1), date(2024, 6, 1), as_of - timedelta(days=6)
     warehouse.refresh_events(
