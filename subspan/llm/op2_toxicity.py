@@ -1,7 +1,7 @@
 """Toxicity (2): a bidirectional gated recurrent network with attention pooling over word and character inputs, in numpy.
 
 Words are the alphanumeric runs of the lower-cased text. A word's input is the embedding of its hash beside the mean
-embedding of its character (byte) trigrams, so unseen inflections share what is known of their stems. Windows of ``LENGTH`` words
+embedding of its character (byte) trigrams and beginnings, so unseen inflections share what is known of their stems. Windows of ``LENGTH`` words
 overlap by half and cover the whole text; in each, a gated recurrent unit reads forwards and another backwards, attention
 weighs the states of both and a logistic unit judges their sum. A document counts with its highest window, calibrated.
 
@@ -31,8 +31,10 @@ from subspan.llm.words import ALPHANUMERIC, Words, mix, slices, span_hashes, wor
 
 PER_CLASS, PREFIX = 1500, 8000
 LENGTH, STRIDE = 16, 8
-WORDS, GRAMS, EMBEDDED, HIDDEN, ATTENDED = 1 << 14, 1 << 13, 10, 10, 8
-BATCH, FIRST_ROUNDS, MORE_ROUNDS, RATE = 512, 2, 5, 0.01
+WORDS, GRAMS, EMBEDDED, HIDDEN, ATTENDED = 1 << 14, 1 << 14, 10, 10, 8
+BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that are inputs besides its trigrams
+BATCH, RATE, DECAY, WORD_SHARE = 512, 0.01, 0.1, 0.6
+FIRST_STEPS, ROUNDS, ROUND_STEPS = 120, 8, 30  # as many for few labels as for many
 
 
 class Inputs:
@@ -42,7 +44,7 @@ class Inputs:
         hashes = span_hashes(w.data, w.starts, w.ends)
         distinct, first, self.ids = np.unique(hashes, return_index=True, return_inverse=True)
         self.word = (distinct >> np.uint64(40)).astype(np.int64) % WORDS
-        self.grams, self.gram_starts = self._trigrams(w, first)
+        self.grams, self.gram_starts = self._characters(w, first)
         counts = np.diff(w.first)
         windows = np.where(counts > 0, np.maximum(0, -(-(counts - LENGTH) // STRIDE)) + 1, 0)
         self.rows = np.repeat(np.arange(len(counts)), windows)
@@ -51,17 +53,27 @@ class Inputs:
         self.lengths = np.minimum(LENGTH, w.first[1:][self.rows] - self.starts)
 
     @staticmethod
-    def _trigrams(w: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the trigrams of each distinct word between two marks, word after word."""
+    def _characters(w: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the trigrams of each distinct word between two marks, and of its beginnings; word after word."""
         lengths = (w.ends - w.starts)[first]
         ends = np.cumsum(lengths + 2)
-        framed = np.full(int(ends[-1]) if len(ends) else 0, 1, dtype=np.uint64)
+        framed = np.full(int(ends[-1]) + 8 if len(ends) else 8, 1, dtype=np.uint64)
         starts = ends - lengths - 2
         inner = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         framed[np.repeat(starts + 1, lengths) + inner] = w.data[np.repeat(w.starts[first], lengths) + inner]
-        three = framed[:-2] | framed[1:-1] << np.uint64(8) | framed[2:] << np.uint64(16) if len(framed) > 2 else framed[:0]
-        at = np.repeat(starts, lengths) + inner  # a word of n bytes has n trigrams
-        return (mix(three[at]) >> np.uint64(40)).astype(np.int64) % GRAMS, np.cumsum(lengths) - lengths
+        three = framed[:-2] | framed[1:-1] << np.uint64(8) | framed[2:] << np.uint64(16)
+        found, owners = [three[np.repeat(starts, lengths) + inner]], [np.repeat(np.arange(len(first)), lengths)]  # n bytes, n trigrams
+        for n in BEGINNINGS:
+            long = np.flatnonzero(lengths >= n)
+            head = np.zeros(len(long), dtype=np.uint64)
+            for k in range(n):
+                head |= framed[starts[long] + 1 + k] << np.uint64(8 * k)
+            found.append(head + np.uint64(n << 59 | n * 0x9E3779B97F4A7C1))
+            owners.append(long)
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        grams = (mix(np.concatenate(found)[order]) >> np.uint64(40)).astype(np.int64) % GRAMS
+        return grams, np.searchsorted(owner[order], np.arange(len(first)))
 
     def tokens(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct-word numbers of the chosen windows, and which places are filled."""
@@ -130,7 +142,8 @@ class Network:
         odds = pooled @ self.p["o"] + self.p["b"]
         return odds, (states, keys, weights, pooled, traces)
 
-    def gradients(self, x: Inputs, chosen: np.ndarray, labels: np.ndarray, importance: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, x: Inputs, chosen: np.ndarray, labels: np.ndarray, importance: np.ndarray, rng=None) -> dict[str, np.ndarray]:
+        """rng: leaves out the hash embeddings of random words, so that their characters are learned from, too."""
         tokens, filled = x.tokens(chosen)
         used, ids = np.unique(tokens, return_inverse=True)
         ids = ids.reshape(tokens.shape)
@@ -138,6 +151,8 @@ class Network:
         begins = np.cumsum(lengths) - lengths
         grams = x.grams[np.repeat(x.gram_starts[used], lengths) + np.arange(int(lengths.sum())) - np.repeat(begins, lengths)]
         vectors = self.embedded(x.word[used], grams, begins)
+        seen = np.ones(len(used), np.float32) if rng is None else (rng.random(len(used)) < WORD_SHARE).astype(np.float32)
+        vectors[:, :EMBEDDED] *= seen[:, None]
         odds, (states, keys, weights, pooled, traces) = self.forward(vectors, ids, filled, keep=True)
         h, p = HIDDEN, self.p
         d_odds = ((sigmoid(odds) - labels) * importance).astype(np.float32)
@@ -172,7 +187,7 @@ class Network:
             out |= {f"x{d}": vectors.T @ by_word, f"c{d}": by_word.sum(axis=0), f"h{d}": d_u, f"d{d}": d_c}
             d_vectors += by_word @ p[f"x{d}"].T
         out["word"], out["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
-        np.add.at(out["word"], x.word[used], d_vectors[:, :EMBEDDED])
+        np.add.at(out["word"], x.word[used], d_vectors[:, :EMBEDDED] * seen[:, None])
         np.add.at(out["gram"], grams, np.repeat(d_vectors[:, EMBEDDED:] / lengths[:, None], lengths, axis=0))
         return out
 
@@ -206,23 +221,23 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network:
     x = Inputs(words(pa.array(texts, pa.string()), ALPHANUMERIC))
     owner, rng, adam = labels[x.rows], np.random.default_rng(seed), Adam(net.p, RATE)
 
-    def fit(chosen: np.ndarray) -> None:
-        own = owner[chosen]
-        share = np.where(own > 0, 0.5 / max(own.mean(), 1e-6), 0.5 / max(1 - own.mean(), 1e-6))
-        order = rng.permutation(len(chosen))
-        for i in range(0, len(order), BATCH):
-            part = order[i : i + BATCH]
-            adam.step(net.gradients(x, chosen[part], own[part], share[part] / len(part)))
-
-    for _ in range(FIRST_ROUNDS):
-        fit(rng.permutation(len(owner))[: 60 * BATCH])
-    for _ in range(MORE_ROUNDS):
+    def fit(chosen: np.ndarray, steps: int) -> None:
+        """Steps over windows of which half stand in documents of either label."""
+        pools = [chosen[owner[chosen] == c] for c in (0, 1)]
+        for _ in range(steps):
+            part = np.concatenate([rng.choice(p, BATCH // 2) for p in pools])
+            adam.step(net.gradients(x, part, owner[part], np.full(BATCH, 1 / BATCH), rng))
+            for name in ("word", "gram"):
+                net.p[name] *= 1 - RATE * DECAY
+
+    fit(np.arange(len(owner)), FIRST_STEPS)
+    for _ in range(ROUNDS):
         odds = net.windows(x)
         order = np.lexsort((-odds, x.rows))
-        place = np.arange(len(order)) - np.searchsorted(x.rows, x.rows)
-        top = order[place < 3]  # rows ascend, so the order within a row starts at its first window
+        place = np.arange(len(order)) - np.searchsorted(x.rows, x.rows)  # rows ascend, so a row's order begins at its first window
+        top = order[place < 3]
         rest = rng.permutation(np.flatnonzero(owner == 0))[: len(top)]
-        fit(np.concatenate((top, rest)))
+        fit(np.concatenate((top, rest)), ROUND_STEPS)
     some = np.unique(x.rows)
     best = np.maximum.reduceat(net.windows(x), np.searchsorted(x.rows, some)).astype(np.float64)
     net.slope, net.shift = calibrated(best, labels[some])

@@ -175,6 +175,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFr
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the hit words cut out of their texts, with what stands between two hit words."""
+    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -190,7 +191,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
                         at = int(w.ends[first + x["end"] - 1] - base[r])
                     texts[r] = b"".join([*kept, raw[at:]]).decode()
             kept = {n: c for n, c in zip(batch.schema.names, batch.columns, strict=True)} | {text: pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([kept[c] for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([kept[c] for c in names], names=names)
 
     return scan(docs, benchmark, text=text, **options).mapInArrow(cut, docs.schema)
 
