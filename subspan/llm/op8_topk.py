@@ -1,17 +1,18 @@
 """Exact top-k search (8): a pivot-distance index whose annuli are expanded under triangle-inequality bounds.
 
-Vectors become integers floor(256 x). The index keys each by its nearest of ``PIVOTS`` pivots (means of a bounded sample) and by its
-distance to it, cut into ``ANNULI`` rings. A cell is one ring of one pivot; it is stored as blocks of up to
-``BLOCK`` vectors with the smallest and largest distance and the largest norm that it holds, and hot cells are salted.
+Vectors become integers floor(256 x). The index keys each by its nearest of ``PIVOTS`` pivots (means of a bounded sample) and its
+distance to it. Range partitioning by that key and sorting within it gives blocks of up to ``BLOCK`` vectors; each is an annulus of
+one pivot, with the smallest and largest distance and the largest norm that it holds. However many vectors share a
+pivot or a distance, ranges also split by a hash of the id.
 
-For a query q at distance d from a pivot p, a vector x of the cell has distance at least g = max(0, lo - d, d - hi), so
+For a query q at distance d from a pivot p, a vector x of an annulus has distance at least g = max(0, lo - d, d - hi), so
 q.x = (|q|^2 + |x|^2 - |q-x|^2) / 2 is at most (|q|^2 + norm^2 - g^2) / 2, and also at most q.p + |q| hi.
-A query first searches its own cell; its k-th best score there is a floor. Then the cells whose bound reaches the floor
-are searched, the others are skipped, and the best k of both are the answer. Equal scores go to the smaller id, so a cell whose
-bound equals the floor is searched. Queries travel in blocks to the cells' blocks; a task compares two
-blocks by one matrix product and passes on k rows of a query. The queries are a stated set against all rows.
+A query first searches the annuli of its own pivot that hold its own distance; its k-th best score there is a floor. Then it goes to
+all pivots and there to the annuli whose bound reaches the floor; the others are skipped. Equal scores go to the smaller id, so an
+annulus whose bound equals the floor is searched. Queries travel in blocks to pivots; a task compares a block of queries with an
+annulus by one matrix product and passes on k rows of a query. The queries are a stated set against all rows.
 
-Scores are exact: products are summed in float64 where all sums stay below 2**53, else as Python integers and
+Scores are exact: sums are made in floating-point numbers where none can pass their whole numbers, else in Python integers and
 limited to 64 bits.
 
 Nulls and odd input: a vector that is null or holds a null or non-finite component takes no part. Vectors of other lengths
@@ -31,11 +32,10 @@ from pyspark.sql import functions as F
 from subspan.llm.registry import query
 from subspan.llm.tables import stored, table
 
-PIVOTS, ANNULI, SAMPLE, ROUNDS = 64, 16, 4096, 4
+PIVOTS, SAMPLE, ROUNDS = 64, 4096, 4
 BLOCK, QUERIES = 1024, 256
-SALTS = 16  # parts of a cell that are packed by different tasks
-_SLACK = 1e-6  # bounds are floating-point numbers; they are widened by this share
-_CELLS = "cell int, lo double, hi double, norm double, n int, ids binary, vectors binary"
+_SLACK = 1e-5  # bounds are floating-point numbers; they are widened by this share
+_BLOCKS = "pivot int, lo double, hi double, norm double, ids binary, vectors binary"
 
 
 def integers(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,92 +44,88 @@ def integers(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     values = column.values.slice(column.offsets[0].as_py(), int(lengths.sum()))
     flat = values.cast(pa.float64()).to_numpy(zero_copy_only=False)
     rows = np.repeat(np.arange(len(column)), lengths)
-    bad = np.bincount(rows[~np.isfinite(flat)], minlength=len(column)) > 0
-    bad |= np.array(column.is_null())
-    out = np.zeros((len(column), width))
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     with np.errstate(over="ignore", invalid="ignore"):
         whole = np.floor(256 * flat)
-    bad |= np.bincount(rows[~np.isfinite(whole)], minlength=len(column)) > 0
-    out[rows, place] = whole
+    bad = np.bincount(rows[~np.isfinite(whole)], minlength=len(column)) > 0
+    out = np.zeros((len(column), width))
+    out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = whole
     good = np.flatnonzero(~bad)
     return good, out[good]
 
 
-def _usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """Rows whose arrays can be read: id, v. Null arrays and ids are left out here."""
-    return vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("v")).where(
-        "id is not null and v is not null"
-    )
-
-
-def fit(vectors: DataFrame, width: int, pivots: int = PIVOTS, annuli: int = ANNULI, sample: int = SAMPLE):
-    """Pivots, and the inner edges of the rings, from the ``sample`` rows of smallest id hash."""
+class Model:
+    """Pivots and the form in which vectors are stored."""
+
+    def __init__(self, centres: np.ndarray, width: int, dtype: str) -> None:
+        self.centres, self.width, self.dtype = centres, width, np.dtype(dtype)
+
+    def read(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, dtype=self.dtype).reshape(-1, self.width)
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        x, c = x.astype(np.float64), self.centres
+        squares = (x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * x @ c.T
+        return np.sqrt(np.maximum(squares, 0))
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest pivot of each vector and the distance to it."""
+        d = self.distances(x)
+        own = d.argmin(axis=1)
+        return own, d[np.arange(len(x)), own]
+
+    def reach(self, q: np.ndarray, pivots: np.ndarray, lo: np.ndarray, hi: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """The most that each query's product with a vector of each annulus can be."""
+        q = q.astype(np.float64)
+        squares = (q * q).sum(axis=1)[:, None]
+        d = self.distances(q)[:, pivots]
+        gap = np.maximum(0, np.maximum(lo - d, d - hi))
+        bound = np.minimum((squares + norm**2 - gap**2) / 2, (q @ self.centres.T)[:, pivots] + np.sqrt(squares) * hi)
+        return bound + _SLACK * (1 + squares + norm**2)
+
+
+def fit(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> Model:
+    """Pivots from the ``sample`` rows of smallest id hash."""
+    size = F.max(F.size("v")).alias("width")
+    finite = F.filter("v", lambda x: F.abs(x) < 1e30)
+    most = F.max(F.greatest(F.array_max(finite), -F.array_min(finite))).alias("most")
+    form = vectors.agg(size, most).first()
+    width = max(form["width"] or 1, 1)
+    dtype = "<f4" if 256 * (form["most"] or 0) < 2**23 else "<f8"
     rows = vectors.orderBy(F.xxhash64("id"), "id", "v").limit(sample).select("v").toArrow()
     _, x = integers(rows.column("v").combine_chunks(), width)
     if not len(x):
-        return np.zeros((1, width)), np.zeros(0)
-    centres = x[:: max(1, len(x) // pivots)][:pivots].copy()
+        return Model(np.zeros((1, width)), width, dtype)
+    model = Model(x[:: max(1, len(x) // pivots)][:pivots].copy(), width, dtype)
     for _ in range(ROUNDS):
-        own = _distances(x, centres).argmin(axis=1)
-        for k in range(len(centres)):
+        own, _ = model.place(x)
+        for k in range(len(model.centres)):
             if (own == k).any():
-                centres[k] = x[own == k].mean(axis=0)
-    near = _distances(x, centres).min(axis=1)
-    return centres, np.unique(np.quantile(near, np.arange(1, annuli) / annuli))
-
-
-def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    squares = (x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * x @ centres.T
-    return np.sqrt(np.maximum(squares, 0))
-
-
-def _place(x: np.ndarray, centres: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each vector and its distance to the cell's pivot."""
-    d = _distances(x, centres)
-    own = d.argmin(axis=1)
-    near = d[np.arange(len(x)), own]
-    return own * (len(edges) + 1) + np.searchsorted(edges, near, side="right"), near
+                model.centres[k] = x[own == k].mean(axis=0)
+    return model
 
 
-def _keyed(model, width: int):
+def _keyed(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, edges = model.value
+        model = shared.value
         for batch in batches:
-            good, x = integers(batch.column("v"), width)
-            cells, near = _place(x, centres, edges)
-            rows = pa.array([r.tobytes() for r in x], pa.binary())
-            ids = batch.column("id").take(pa.array(good))
+            good, x = integers(batch.column("v"), model.width)
+            pivots, near = model.place(x)
             norm = np.sqrt((x * x).sum(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(cells.astype(np.int32)), pa.array(near), pa.array(norm), rows],
-                names=["id", "cell", "near", "norm", "row"],
-            )
+            rows = pa.array([r.tobytes() for r in x.astype(model.dtype)], pa.binary())
+            columns = [batch.column("id").take(pa.array(good)), pa.array(pivots.astype(np.int32)), pa.array(near), pa.array(norm), rows]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "pivot", "near", "norm", "row"])
 
     return run
 
 
-def _packed(block: int):
-    """Consecutive rows of a cell as blocks."""
-
-    def row(held: list) -> pa.RecordBatch:
-        near = [x[1] for x in held]
-        columns = [
-            pa.array([held[0][0]], pa.int32()),
-            pa.array([min(near)]),
-            pa.array([max(near)]),
-            pa.array([max(x[2] for x in held)]),
-            pa.array([len(held)], pa.int32()),
-            pa.array([np.array([x[3] for x in held], dtype="<i8").tobytes()], pa.binary()),
-            pa.array([b"".join(x[4] for x in held)], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["cell", "lo", "hi", "norm", "n", "ids", "vectors"])
+def _packed(names: tuple[str, ...], size: int, row):
+    """Consecutive rows with the same first column, up to ``size``, as one row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
-            for x in zip(*(batch.column(c).to_pylist() for c in ("cell", "near", "norm", "id", "row")), strict=True):
-                if held and (held[0][0] != x[0] or len(held) == block):
+            for x in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if held and (held[0][0] != x[0] or len(held) == size):
                     yield row(held)
                     held = []
                 held.append(x)
@@ -139,123 +135,125 @@ def _packed(block: int):
     return run
 
 
-def _route(model, cells, width: int, own: bool):
-    """Query blocks to the cells that they must search: their own ones, or all others that their bounds reach."""
+def _ids(held: list, at: int) -> pa.Array:
+    return pa.array([np.array([x[at] for x in held], dtype="<i8").tobytes()], pa.binary())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, edges = model.value
-        numbers, lo, hi, norm = cells.value
-        rings = len(edges) + 1
-        for batch in batches:
-            for ids, vectors, floors in zip(*(batch.column(c).to_pylist() for c in ("ids", "vectors", "floors")), strict=True):
-                q = np.frombuffer(vectors).reshape(-1, width)
-                who, least = np.frombuffer(ids, dtype="<i8"), np.frombuffer(floors)
-                home, _ = _place(q, centres, edges)
-                if own:
-                    reach = home[:, None] == numbers
-                else:
-                    size = np.sqrt((q * q).sum(axis=1))
-                    pivot = numbers // rings
-                    d = _distances(q, centres)[:, pivot]
-                    gap = np.maximum(0, np.maximum(lo - d, d - hi))
-                    bound = np.minimum((size[:, None] ** 2 + norm**2 - gap**2) / 2, (q @ centres.T)[:, pivot] + size[:, None] * hi)
-                    slack = _SLACK * (1 + size[:, None] ** 2 + norm**2)
-                    reach = (bound + slack >= least[:, None]) & (home[:, None] != numbers)
-                for k in np.flatnonzero(reach.any(axis=0)):
-                    some = reach[:, k]
-                    columns = [pa.array([int(numbers[k])], pa.int32()), *(pa.array([v[some].tobytes()], pa.binary()) for v in (who, q, least))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["cell", "q_ids", "q_vectors", "floors"])
 
-    return run
+def _annulus(held: list) -> pa.RecordBatch:
+    """held: pivot, near, norm, id, row."""
+    near = [x[1] for x in held]
+    columns = [pa.array([held[0][0]], pa.int32()), pa.array([min(near)]), pa.array([max(near)]), pa.array([max(x[2] for x in held)])]
+    columns += [_ids(held, 3), pa.array([b"".join(x[4] for x in held)], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["pivot", "lo", "hi", "norm", "ids", "vectors"])
 
 
-def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    most = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1]
-    if most < 2**53:
-        return (q @ x.T).astype(np.int64)
-    whole = np.vectorize(int, otypes=[object])
-    exact = whole(q).dot(whole(x).T)
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+def _asked(held: list) -> pa.RecordBatch:
+    """held: pivot, id, row, floor."""
+    columns = [pa.array([held[0][0]], pa.int32()), _ids(held, 1), pa.array([b"".join(x[2] for x in held)], pa.binary())]
+    columns.append(pa.array([np.array([x[3] for x in held], dtype="<f8").tobytes()], pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names=["pivot", "q_ids", "q_vectors", "floors"])
+
 
+def _routed(shared, pivots):
+    """Query blocks to the pivots that hold anything within a query's reach."""
 
-def _searched(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, (numbers, lo, hi, norm) = shared.value, pivots.value
         for batch in batches:
-            found: list[list] = [[], [], []]
-            names = ("ids", "vectors", "q_ids", "q_vectors", "floors")
-            for ids, vectors, q_ids, q_vectors, floors in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                ids, who = np.frombuffer(ids, dtype="<i8"), np.frombuffer(q_ids, dtype="<i8")
-                order = np.argsort(ids, kind="stable")  # equal scores then stand in order of their ids
-                ids = ids[order]
-                scores = _products(np.frombuffer(q_vectors).reshape(-1, width), np.frombuffer(vectors).reshape(-1, width)[order])
-                fits = (scores >= np.frombuffer(floors)[:, None]) & (who[:, None] != ids)
-                for r in np.flatnonzero(fits.any(axis=1)):
-                    at = np.flatnonzero(fits[r])
-                    best = at[np.argsort(-scores[r, at], kind="stable")[:k]] if scores[r, at].min() > -(2**63) else at
-                    found[0] += [int(who[r])] * len(best)
-                    found[1] += ids[best].tolist()
-                    found[2] += scores[r, best].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], names=["query_id", "vec_id", "score"])
+            for ids, vectors, floors in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_vectors", "floors")), strict=True):
+                q, who, least = model.read(vectors), np.frombuffer(ids, dtype="<i8"), np.frombuffer(floors, dtype="<f8")
+                near = model.reach(q, numbers, lo, hi, norm) >= least[:, None]
+                for k in np.flatnonzero(near.any(axis=0)):
+                    some = near[:, k]
+                    parts = [pa.array([v[some].tobytes()], pa.binary()) for v in (who, q, least)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(numbers[k])], pa.int32()), *parts], names=["pivot", "q_ids", "q_vectors", "floors"]
+                    )
 
     return run
 
 
-def _blocks_of_queries(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
+    if most < 2**24:
+        return (q.astype(np.float32) @ x.astype(np.float32).T).astype(np.int64)
+    if most < 2**53:
+        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    whole = np.vectorize(int, otypes=[object])
+    return np.clip(whole(q).dot(whole(x).T), -(2**63), 2**63 - 1).astype(np.int64)
+
 
-        def row() -> pa.RecordBatch:
-            ids = np.array([x[0] for x in held], dtype="<i8").tobytes()
-            floors = np.array([x[2] for x in held]).tobytes()
-            columns = [pa.array([v], pa.binary()) for v in (ids, b"".join(x[1] for x in held), floors)]
-            return pa.RecordBatch.from_arrays(columns, names=["ids", "vectors", "floors"])
+def _searched(shared, k: int, home: bool):
+    """The best k of each query in each annulus that its bound reaches; home: in those that hold its own distance."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        names = ("pivot", "lo", "hi", "norm", "ids", "vectors", "q_ids", "q_vectors", "floors")
         for batch in batches:
-            for x in zip(*(batch.column(c).to_pylist() for c in ("id", "row", "floor")), strict=True):
-                held.append(x)
-                if len(held) == size:
-                    yield row()
-                    held = []
-        if held:
-            yield row()
+            found: list[np.ndarray] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                pivot, lo, hi, norm, ids, vectors, q_ids, q_vectors, floors = row
+                q, who, least = model.read(q_vectors), np.frombuffer(q_ids, dtype="<i8"), np.frombuffer(floors, dtype="<f8")
+                if home:
+                    d = model.distances(q)[:, pivot]
+                    some = (d >= lo - _SLACK * (1 + lo)) & (d <= hi + _SLACK * (1 + hi))
+                else:
+                    some = model.reach(q, np.array([pivot]), lo, hi, norm)[:, 0] >= least
+                if not some.any():
+                    continue
+                q, who, least = q[some], who[some], least[some]
+                ids = np.frombuffer(ids, dtype="<i8")
+                order = np.argsort(ids, kind="stable")  # equal scores then stand in order of their ids
+                ids, scores = ids[order], products(q, model.read(vectors)[order])
+                scores = np.where(who[:, None] == ids, np.iinfo(np.int64).min, scores)
+                if len(ids) > k:
+                    # The k-th best score of a row, and of those that equal it the first ones.
+                    least_kept = -np.partition(-np.maximum(scores, -(2**63) + 1), k - 1, axis=1)[:, k - 1]
+                    over, equal = scores > least_kept[:, None], scores == least_kept[:, None]
+                    kept = over | (equal & (np.cumsum(equal, axis=1) <= k - over.sum(axis=1)[:, None]))
+                else:
+                    kept = np.ones(scores.shape, dtype=bool)
+                kept &= (who[:, None] != ids) & (scores >= least[:, None])
+                r, c = np.nonzero(kept)
+                found.append(np.stack((who[r], ids[c], scores[r, c])))
+            every = np.concatenate(found, axis=1) if found else np.empty((3, 0), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in every], names=["query_id", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the rows where ``is_query`` (an expression over ``id``) holds, against all rows."""
-    spark = vectors.sparkSession
-    usable = _usable(vectors, vec_id, embedding)
-    width = usable.agg(F.max(F.size("v"))).first()[0] or 1
-    model = spark.sparkContext.broadcast(fit(usable, width))
-    keyed = usable.mapInArrow(_keyed(model, width), "id long, cell int, near double, norm double, row binary")
-    keyed = stored(keyed, "keyed")
-    spread = keyed.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(SALTS))).sortWithinPartitions("cell")
-    index = stored(spread.select("cell", "near", "norm", "id", "row").mapInArrow(_packed(BLOCK), _CELLS), "index")
-    # One row a cell, PIVOTS * ANNULI at most.
-    known = index.groupBy("cell").agg(F.min("lo"), F.max("hi"), F.max("norm")).orderBy("cell").collect()
-    cells = spark.sparkContext.broadcast(tuple(np.array([r[c] for r in known]) for c in range(4)) if known else (np.zeros(0, int),) + (np.zeros(0),) * 3)
-    asked = keyed.where(is_query).groupBy("id").agg(F.min(F.struct("row", "cell")).alias("x")).select("id", "x.row", "x.cell")
+    share = vectors.sparkSession.sparkContext.broadcast
+    usable = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("v"))
+    usable = usable.where("id is not null and v is not null")
+    model = share(fit(usable))
+    keyed = stored(usable.mapInArrow(_keyed(model), "id long, pivot int, near double, norm double, row binary"), "keyed")
+    ordered = keyed.withColumn("spread", F.xxhash64("id")).repartitionByRange("pivot", "near", "spread").sortWithinPartitions("pivot", "near")
+    index = ordered.mapInArrow(_packed(("pivot", "near", "norm", "id", "row"), BLOCK, _annulus), _BLOCKS)
+    index = stored(index.select("pivot", "lo", "hi", "norm", "ids", "vectors"), "index")
+    known = index.groupBy("pivot").agg(F.min("lo"), F.max("hi"), F.max("norm")).orderBy("pivot").collect()  # PIVOTS rows
+    pivots = share(tuple(np.array([r[c] for r in known], dtype=int if c == 0 else float) for c in range(4)))
+    asked = keyed.where(is_query).groupBy("id").agg(F.min(F.struct("row", "pivot")).alias("x")).select("id", "x.row", "x.pivot")
     asked = stored(asked, "queries")
 
-    def search(queries: DataFrame, own: bool) -> DataFrame:
-        near = queries.repartition("cell").sortWithinPartitions("cell").select("id", "row", "floor")
-        blocks = near.mapInArrow(_blocks_of_queries(QUERIES), "ids binary, vectors binary, floors binary")
-        routed = blocks.mapInArrow(_route(model, cells, width, own), "cell int, q_ids binary, q_vectors binary, floors binary")
-        routed = stored(routed, "routed")
-        met = index.select("cell", "ids", "vectors").join(routed, "cell").drop("cell")
-        return stored(_best(met.mapInArrow(_searched(width, k), "query_id long, vec_id long, score long"), k), "found")
-
-    at_home = search(asked.withColumn("floor", F.lit(float("-inf"))), True)
-    floors = at_home.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
-    raised = asked.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    away = search(raised, False)
-    return _best(at_home.unionByName(away).drop("rank"), k).select("query_id", "rank", "vec_id", "score")
-
-
-def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    def blocks(queries: DataFrame) -> DataFrame:
+        near = queries.repartitionByRange("pivot", "id").sortWithinPartitions("pivot")
+        form = "pivot int, q_ids binary, q_vectors binary, floors binary"
+        return near.mapInArrow(_packed(("pivot", "id", "row", "floor"), QUERIES, _asked), form)
+
+    def searched(routed: DataFrame, home: bool) -> DataFrame:
+        met = index.join(routed, "pivot")
+        found = met.mapInArrow(_searched(model, k, home), "query_id long, vec_id long, score long")
+        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    lowest = F.lit(float("-inf"))
+    first = stored(searched(blocks(asked.withColumn("floor", lowest)), True).where(F.col("rank") == k), "floors")
+    floors = first.select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
+    raised = blocks(asked.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", lowest)))
+    routed = raised.mapInArrow(_routed(model, pivots), raised.schema)
+    return searched(routed, False).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
