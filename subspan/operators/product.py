@@ -15,8 +15,7 @@ FEATURES = ("report_created", "export", "automation", "invite_sent")
 def usage_base(product_events: DataFrame) -> DataFrame:
     """Month x user x account x event name with the set of active days as a 31-bit mask.
 
-    Every product metric derives from this frame, so the event fact is read once and its one
-    aggregation combines map-side: however many events a hot account or user has, a task sends
+    Every product metric derives from this frame. Its aggregation combines map-side: however many events a hot account or user has, a task sends
     at most one row per key onward. User and account keys stay, so distinct counts stay exact.
     """
     return product_events.groupBy("month", "user_id", "account_id", "event_name").agg(
@@ -36,24 +35,28 @@ def mart_product_monthly(usage: DataFrame, calendar: DataFrame) -> DataFrame:
     """M2. Summed over a month, daily active users equal the users' active days, so the daily
     level needs neither a join with every event nor a distinct count."""
     months = calendar_masks(calendar)
-    # calendar_masks has one row per calendar month, so it is safe to broadcast at any scale.
-    users = (
-        usage.groupBy("month", "user_id")
+    # Users and accounts are counted by one aggregation, so the usage behind them is computed once.
+    who = F.array(
+        F.struct(F.lit(True).alias("is_user"), F.col("user_id").alias("id")),
+        F.struct(F.lit(False).alias("is_user"), F.col("account_id").alias("id")),
+    )
+    is_user = F.col("is_user")
+    active = (
+        usage.select("month", "day_mask", F.inline(who))
+        .groupBy("month", "is_user", "id")
         .agg(mask_union("day_mask").alias("days"))
-        .join(F.broadcast(months), "month")
+        # calendar_masks has one row per calendar month, so it is safe to broadcast at any scale.
+        .join(F.broadcast(months.select("month", "calendar_mask")), "month")
         .groupBy("month")
         .agg(
-            F.count(F.lit(1)).alias("mau"),
-            F.sum(mask_days(F.col("days").bitwiseAND(F.col("calendar_mask")))).alias("user_days"),
+            F.count_if(is_user).alias("mau"),
+            F.sum(F.when(is_user, mask_days(F.col("days").bitwiseAND(F.col("calendar_mask"))))).alias("user_days"),
+            F.count_if(~is_user).alias("active_accounts"),
         )
     )
-    accounts = (
-        usage.select("month", "account_id").distinct().groupBy("month").agg(F.count(F.lit(1)).alias("active_accounts"))
-    )
     average_dau = F.coalesce("user_days", F.lit(0)).cast("double") / F.col("calendar_days")
     return (
-        months.join(users, "month", "left")
-        .join(accounts, "month", "left")
+        months.join(active, "month", "left")
         .select(
             "month",
             average_dau.alias("average_dau"),
