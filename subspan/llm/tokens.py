@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-MEMO_WORDS = 400_000  # pieces that a Python worker remembers: about 80 MB
+MEMO_WORDS = 1_000_000  # pieces that a Python worker remembers: about 180 MB
 _LONG = 64  # longer pieces are not remembered
 
 _TWO_SPACES = re.compile(r"\s\s")
@@ -69,10 +69,15 @@ class Encoder:
             return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
+        get = self.memo.get
         cut = [self._pieces(t) if t else [] for t in texts]
-        new = [p for p in set().union(*cut) if p not in self.memo]
+        found = [list(map(get, pieces)) for pieces in cut]
+        gaps = [k for k, ids in enumerate(found) if None in ids]
+        new = {p for k in gaps for p, ids in zip(cut[k], found[k], strict=True) if ids is None}
         self._learn(new)
-        out = [b"".join(map(self.memo.__getitem__, pieces)) for pieces in cut]
+        for k in gaps:
+            found[k] = map(get, cut[k])
+        out = [b"".join(ids) for ids in found]
         for p in new:
             if len(p) > _LONG:
                 del self.memo[p]
@@ -86,14 +91,12 @@ class Encoder:
             return _ONE_SPACE.sub("\x00 ", text).split("\x00")
         return text.replace(" ", "\x00 ").split("\x00")
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
         memo = self.memo
         # A word and one mark after it are two tokens' worth of text: the pattern never joins letters and marks.
-        marked = [p for p in new if p[-1:] in (".", ",") and p[1:-1].isalpha()]
-        plain = {p[:-1] for p in marked}.difference(new)
-        plain = [p for p in plain if p not in memo] + [p for p in new if p not in set(marked)]
-        marks = [m for m in (".", ",") if m not in memo]
-        self._encode_pieces(plain + [m for m in marks if m not in plain])
+        marked = {p for p in new if p[-1:] in (".", ",") and p[1:-1].isalpha()}
+        plain = {p[:-1] for p in marked}.union((".", ","), (p for p in new if p not in marked))
+        self._encode_pieces([p for p in plain if p not in memo])
         for p in marked:
             memo[p] = memo[p[:-1]] + memo[p[-1]]
 
