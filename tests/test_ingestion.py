@@ -5,6 +5,9 @@ from copy import deepcopy
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from subspan.operators import validation
 from subspan.operators.validation import ContractError
@@ -203,3 +206,27 @@ def test_parquet_feed_round_trip(spark, rows, tmp_path):
     batch = publish(spark, rows, tmp_path)
     typed = feeds.read_parquet_feeds(spark, f"{tmp_path}/data/{batch.run}")
     assert landing.publish(spark, typed, f"{tmp_path}/again").batch_id == batch.batch_id
+
+
+def test_numbers_are_no_text(spark):
+    frame = spark.createDataFrame([(1, date(2024, 1, 1), "SMB", "AMER", "organic")], "account_id bigint, signup_date date, segment string, region string, channel string")
+    checked = validation.with_faults("accounts", frame)
+    assert [f["detail"] for f in checked.first()[validation.FAULTS]] == ["account_id is not a string"]
+
+
+def test_summary_has_one_line_for_all_unknown_fields(spark):
+    rows = [("accounts", "V3", f"A{k}", f"unknown field x{k}", 1) for k in range(50)] + [("accounts", "V4", "A1", "segment not allowed", 2)]
+    got = validation.summary(spark.createDataFrame(rows, validation.REPORT)).collect()
+    assert sorted((r["detail"], r["rows"], r["example"]) for r in got) == [("segment not allowed", 2, "A1"), ("unknown field", 50, "x0 in A0")]
+
+
+def test_a_feed_is_read_once(spark, rows, tmp_path):
+    seen = Observation()
+    raw = feeds.from_rows(spark, rows)["users"].observe(seen, F.count(F.lit(1)).alias("n"))
+    landing._land("users", raw, f"{tmp_path}/users", validation.DOMAINS)
+    assert seen.get["n"] == len(rows["users"]) == spark.read.parquet(f"{tmp_path}/users").count()
+
+
+def test_fingerprint_lanes_are_wide(spark):
+    kinds = spark.range(1).select(F.lit("x").alias("a")).agg(*landing.fingerprint_columns(StructType.fromDDL("a string"))).dtypes
+    assert {k for n, k in kinds if n.startswith("lane")} == {"decimal(38,0)"}

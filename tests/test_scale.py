@@ -164,8 +164,8 @@ def test_no_model_needs_a_nested_loop_or_python(models, no_broadcast):
 
 def test_scans_read_only_what_a_query_needs(models, no_broadcast):
     text = plan(models.dim_date)
-    assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate" in text
-    assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in text
+    assert text.count("Scan parquet") == 1 and "lineitem" not in text
+    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in text
 
 
 def test_written_models_give_the_same_marts(spark, models, tmp_path):
@@ -183,12 +183,27 @@ def test_shared_folder_comes_from_the_session():
 
     from subspan.session import shared_dir
 
-    def session(master, **conf):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)), sparkContext=SimpleNamespace(master=master)
-        )
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+
+    warehouse = {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}
+    assert shared_dir(session(**{"spark.checkpoint.dir": "hdfs:///shared"}, **warehouse)) == "hdfs:///shared"
+    assert shared_dir(session(**warehouse)) == "hdfs:///warehouse/subspan-shared"
+
+
+def test_late_dates_reach_the_marts(spark, tmp_path):
+    """The derived datasets have no end date."""
+    for name in ("region", "nation", "customer", "lineitem"):
+        spark.read.parquet(f"{TEST_TABLES}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = spark.read.parquet(f"{TEST_TABLES}/orders.parquet")
+    late = orders.orderBy("o_orderkey").limit(1).withColumn("o_orderdate", F.expr("timestamp_ntz '2031-05-07 00:00:00'"))
+    orders.unionByName(late.withColumn("o_orderkey", F.lit(10**9).cast("bigint"))).write.parquet(f"{tmp_path}/orders.parquet")
+    found = Models(DriverTables(spark, str(tmp_path)).datasets())
+    for mart in (found.mart_revenue_monthly, found.mart_product_monthly):
+        assert str(mart.agg(F.max("month")).first()[0]) == "2031-05-01"
+
 
-    assert shared_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared"})) == "hdfs:///shared"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(session("yarn"))
-    assert "subspan-shared-" in shared_dir(session("local[2]"))
+def test_churn_risk_drops_empty_rows_before_any_shuffle(spark, models, tmp_path, no_broadcast):
+    stored = Models(models.raw, str(tmp_path / "models"))
+    text = plan(analysis.churn_risk(stored.fct_account_month, stored.dim_account, stored.usage, stored.dim_date))
+    assert "Window [min(month" not in text and "GreaterThan(mrr,0.00)" in text
