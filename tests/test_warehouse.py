@@ -103,7 +103,8 @@ def test_merge_load_moves_all_tables_or_none(spark, rows, tmp_path, monkeypatch,
     rows["events"][0]["ingested_at"] += timedelta(days=1)
     rows["marketing"][0]["spend_cents"] += 5
     second = publish()
-    real, calls = getattr(warehouse, "_merge_version" if stop_at == "table" else "_point"), []
+    name = "_merge_version" if stop_at == "table" else "_point"
+    real, calls = getattr(warehouse, name), []
 
     def stopping(*args):
         calls.append(args)
@@ -112,7 +113,7 @@ def test_merge_load_moves_all_tables_or_none(spark, rows, tmp_path, monkeypatch,
         return real(*args)
 
     with monkeypatch.context() as m:
-        m.setattr(warehouse, real.__name__, stopping)
+        m.setattr(warehouse, name, stopping)
         with pytest.raises(RuntimeError):
             warehouse.load_merge(spark, str(tmp_path), second, store)
     assert content() == before and warehouse.read_audit(spark, store).count() == 1
