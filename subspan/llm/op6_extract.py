@@ -2,10 +2,15 @@
 
 Markup is stripped into lines, one for each block element's own text; whatever can't be part of an article (menus, headers, footers,
 side columns, notices, adverts, forms, scripts, styles, comments of readers) leaves a blank line, by element or by the words of its
-class, id or role. A line counts with the length of its text outside links, and 0 outside the page's ``<article>`` or ``<main>``
-where it has one. Over windows of ``WINDOW`` lines these lengths are summed. A region begins where the sum surges to ``SURGE`` (to
-anything inside an ``<article>`` or ``<main>``) and ends where it dives to 0; the lines of all regions are the text. Without any
-surge the largest run between two dives is.
+class, id or role. A line counts with the length of its text outside links. Over windows of ``WINDOW`` lines these lengths are
+summed. A region begins where the sum surges to ``SURGE`` and ends where it dives to 0 or at the edge of an ``<article>`` or
+``<main>``.
+
+These two elements are a weight. The length of the lines in one counts ``ARTICLE`` or ``MAIN`` times and is compared with the length of
+all regions outside. What is less than a ``SHARE``-th of the heaviest is left out: the regions outside where an element is
+heaviest, or each element by itself where they are. So a long text beside articles that are cards stays, and an article whose class, id
+or role marks it as a comment or an advert is excluded unless the page has no other text. Of an element that stays all lines do.
+Without any surge or element the largest run between two dives is the text.
 
 Character references are decoded after the tags are gone, white space inside a block becomes one space, ``<br>`` and table cells
 count as white space, blocks are trimmed and joined by two line feeds. Texts are whole whatever their length.
@@ -30,6 +35,7 @@ from subspan.llm.tables import table
 from subspan.llm.words import slices
 
 WINDOW, SURGE = 3, 86
+ARTICLE, MAIN, SHARE = 2, 512, 8
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -59,8 +65,8 @@ _EXCLUDED_WORDS = frozenset(
 _CONTENT_WORDS = frozenset("article content entry main post story".split())
 
 
-def _is_excluded(name: str, attributes: str, inside: int) -> bool:
-    if name in _BODY or name in ("body", "html"):
+def _is_excluded(name: str, attributes: str, inside: int, marked: bool) -> bool:
+    if name in ("main", "body", "html") or name == "article" and marked:
         return False
     if name in _EXCLUDED:
         return not (name == "header" and inside)
@@ -71,9 +77,14 @@ def _is_excluded(name: str, attributes: str, inside: int) -> bool:
     return False
 
 
-def _lines(page: str) -> list[tuple[str, int, bool]]:
-    """Text, length outside links and whether it is in the page's body, of each line; a blank one for what is excluded."""
-    lines: list[tuple[str, int, bool]] = []
+def _lines(page: str, marked: bool = False) -> tuple[list[tuple[str, int, int]], list[int]]:
+    """Text, length outside links and element of each line, a blank one for what is excluded; and the weight of each element.
+
+    Element 0 is what is outside of any ``<article>`` or ``<main>``; nested ones are one element. ``marked`` keeps articles whatever
+    their class, id or role.
+    """
+    lines: list[tuple[str, int, int]] = []
+    weights = [1]
     text: list[str] = []
     linked, in_link, inside, at = 0, 0, 0, 0
     skipping, depth = "", 0
@@ -89,7 +100,7 @@ def _lines(page: str) -> list[tuple[str, int, bool]]:
         nonlocal linked
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            lines.append((line, max(0, len(line) - linked), inside > 0))
+            lines.append((line, max(0, len(line) - linked), len(weights) - 1 if inside else 0))
         text.clear()
         linked = 0
 
@@ -111,52 +122,65 @@ def _lines(page: str) -> list[tuple[str, int, bool]]:
             continue
         if name == "a":
             in_link = max(0, in_link + (-1 if closing else 1))
-        if not closing and name not in _VOID and _is_excluded(name, m["attributes"], inside):
+        if not closing and name not in _VOID and _is_excluded(name, m["attributes"], inside, marked):
             if name not in _INLINE:
                 flush()
             if f"</{name}" in lower[at:]:
                 skipping, depth = name, 1
                 if name not in _INLINE:
-                    lines.append(("", 0, inside > 0))
+                    lines.append(("", 0, len(weights) - 1 if inside else 0))
                 continue
         if name in _SPACE:
             add(" ")
         elif name not in _INLINE:
             flush()
             if name in _BODY:
+                if not closing and not inside:
+                    weights.append(ARTICLE)
                 inside = max(0, inside + (-1 if closing else 1))
+                if not closing and name == "main":
+                    weights[-1] = MAIN
     if not skipping:
         add(page[at:])
     flush()
-    return lines
+    return lines, weights
 
 
 def extract(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    lines = _lines(page or "")
-    if any(inside and text for text, _, inside in lines):
-        sizes = [len(text) if inside else 0 for text, _, inside in lines]
-        surge = 1
-    else:
-        sizes = [size for _, size, _ in lines]
-    if not any(sizes):
-        return ""
-    padded = np.concatenate((sizes, np.zeros(window)))
-    sums = np.cumsum(padded)
-    sums = sums[window - 1 :] - np.concatenate(([0], sums[:-window]))  # of the lines i to i + window - 1
-    sums = sums[: len(sizes)]
-    regions, i = [], 0
-    while i < len(sizes):
-        if not sums[i]:
-            i += 1
-            continue
-        j = i
-        while j < len(sizes) and sums[j]:
-            j += 1
-        surges = np.flatnonzero(sums[i:j] >= surge)
-        regions.append((i + int(surges[0]) if len(surges) else i, j, bool(len(surges))))
-        i = j
-    kept = [r for r in regions if r[2]] or [max(regions, key=lambda r: sum(sizes[r[0] : r[1]]))]
-    return "\n\n".join(lines[k][0] for a, b, _ in kept for k in range(a, b) if sizes[k])
+    lines, weights = _lines(page or "")
+    if not any(text for text, _, _ in lines):
+        lines, weights = _lines(page or "", marked=True)
+    sizes = np.array([size for _, size, _ in lines], dtype=np.int64)
+    elements = np.array([element for _, _, element in lines], dtype=np.int64)
+    keep = elements > 0
+    if sizes.any():
+        masses = np.bincount(elements, sizes, len(weights)) * weights
+        regions = _regions(sizes, elements, window, surge)
+        kept = [r for r in regions if r[2]]
+        if not kept and not masses[1:].any():
+            kept = [max(regions, key=lambda r: sizes[r[0] : r[1]].sum())]
+        masses[0] = sum(sizes[a:b].sum() for a, b, _ in kept)
+        stays = SHARE * masses >= masses.max()
+        if masses[0] < masses.max():
+            stays[1:] = True
+        keep &= stays[elements]
+        for a, b, _ in kept if stays[0] else ():
+            keep[a:b] = sizes[a:b] > 0
+    return "\n\n".join(text for (text, _, _), k in zip(lines, keep, strict=True) if k and text)
+
+
+def _regions(sizes: np.ndarray, elements: np.ndarray, window: int, surge: int) -> list[tuple[int, int, bool]]:
+    """First line, line after the last and whether it surges, of each run outside of any element between two dives."""
+    regions = []
+    at = np.flatnonzero((sizes > 0) & (elements == 0))
+    # Lines further apart than a window have one of sum 0 between them.
+    for run in np.split(at, np.flatnonzero((np.diff(at) > window) | (np.diff(np.cumsum(elements)[at]) > 0)) + 1):
+        if len(run):
+            a, b = int(run[0]), int(run[-1]) + 1
+            sums = np.convolve(sizes[a:b], np.ones(window, dtype=np.int64))[window - 1 :]  # of the lines i to i + window - 1
+            surges = np.flatnonzero(sums >= surge)
+            regions.append((a + int(surges[0]) if len(surges) else a, b, bool(len(surges))))
+    return regions
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

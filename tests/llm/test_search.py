@@ -80,6 +80,18 @@ def test_extraction(spark):
     assert op6_extract.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_articles_are_a_weight():
+    body = "".join(f"<p>{'body ' * 30}{k}</p>" for k in range(20))
+    text = "\n\n".join("body " * 30 + str(k) for k in range(20))
+    cards = "".join(f"<article><h3>Teaser {k}</h3><p>{'more ' * 12}</p></article>" for k in range(30))
+    assert op6_extract.extract(f"<div>{body}</div>{cards}") == text
+    comment = f"<article class='comment'><p>{'rude ' * 400}</p></article>"
+    assert op6_extract.extract(f"<div>{body}</div>{comment * 3}") == text
+    assert op6_extract.extract(f"<article>{body}{comment}</article>{comment}") == text
+    assert op6_extract.extract(f"<article><p>{'long ' * 100}</p></article><article><p>short</p></article><p>{'aside ' * 9}</p>").endswith("\n\nshort")
+    assert op6_extract.extract("<article class='widget'><p>All there is</p></article>") == "All there is"
+
+
 # --- 9, 10 ----------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def coder():
