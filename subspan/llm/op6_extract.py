@@ -3,8 +3,9 @@
 Markup is stripped into lines, one for each block element's own text; whatever can't be part of an article (menus, headers, footers,
 side columns, notices, adverts, forms, scripts, styles, comments of readers) leaves a blank line, by element or by the words of its
 class, id or role. A line counts with the length of its text outside links. Over windows of ``WINDOW`` lines these lengths are
-summed. A region begins where the sum surges to ``SURGE`` and ends where it dives to 0 or at the edge of an ``<article>`` or
-``<main>``.
+summed. A region lies between two places where the sum dives to 0 or an ``<article>`` or ``<main>`` has its edge, and is text where the
+sum surges to ``SURGE`` anywhere in it. It stays from its first line to its last, with lines that are only links; a region
+without a surge stays where no more than ``NEAR`` lines outside of elements are between it and one that surges. Links alone between two regions are a menu.
 
 These two elements are a weight. The length of the lines in one counts ``ARTICLE`` or ``MAIN`` times and is compared with the length of
 all regions outside. What is less than a ``SHARE``-th of the heaviest is left out: the regions outside where an element is
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import slices
 
-WINDOW, SURGE = 3, 86
+WINDOW, SURGE, NEAR = 3, 86, 12
 ARTICLE, MAIN, SHARE = 2, 512, 8
 
 _MARKUP = re.compile(
@@ -164,13 +166,16 @@ def extract(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
         if masses[0] < masses.max():
             stays[1:] = True
         keep &= stays[elements]
-        for a, b, _ in kept if stays[0] else ():
-            keep[a:b] = sizes[a:b] > 0
+        place = np.cumsum(elements == 0)  # lines of elements don't part regions
+        for a, b, _ in regions if stays[0] else ():
+            i = bisect_left(kept, (a,))
+            if any(place[a] - place[d - 1] <= NEAR + 1 and place[c] - place[b - 1] <= NEAR + 1 for c, d, _ in kept[max(i - 1, 0) : i + 1]):
+                keep[a:b] = True
     return "\n\n".join(text for (text, _, _), k in zip(lines, keep, strict=True) if k and text)
 
 
 def _regions(sizes: np.ndarray, elements: np.ndarray, window: int, surge: int) -> list[tuple[int, int, bool]]:
-    """First line, line after the last and whether it surges, of each run outside of any element between two dives."""
+    """First line, line after the last and whether it surges, of each region outside of any element."""
     regions = []
     at = np.flatnonzero((sizes > 0) & (elements == 0))
     # Lines further apart than a window have one of sum 0 between them.
@@ -178,8 +183,7 @@ def _regions(sizes: np.ndarray, elements: np.ndarray, window: int, surge: int) -
         if len(run):
             a, b = int(run[0]), int(run[-1]) + 1
             sums = np.convolve(sizes[a:b], np.ones(window, dtype=np.int64))[window - 1 :]  # of the lines i to i + window - 1
-            surges = np.flatnonzero(sums >= surge)
-            regions.append((a + int(surges[0]) if len(surges) else a, b, bool(len(surges))))
+            regions.append((a, b, bool((sums >= surge).any())))
     return regions
 
 

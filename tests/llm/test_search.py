@@ -92,6 +92,17 @@ def test_articles_are_a_weight():
     assert op6_extract.extract("<article class='widget'><p>All there is</p></article>") == "All there is"
 
 
+def test_short_lines_and_links_near_a_surge_stay():
+    long, links = "word " * 100, "<p><a href='/x'>link</a></p>" * 4
+    page = f"<h1>{'t' * 20}</h1><p>{'a' * 30}</p><p>{'b' * 20}</p><p>{long}</p><p><a href='/y'>source</a></p><p>after</p>{links}<p>The end.</p>"
+    lines = ["t" * 20, "a" * 30, "b" * 20, long.strip(), "source", "after", "The end."]
+    assert op6_extract.extract(page) == "\n\n".join(lines)
+    cards = "<article><p>card</p></article>" * 20
+    assert op6_extract.extract(f"<p>{long}</p>{cards}<p>The end.</p>") == long.strip() + "\n\nThe end."
+    assert op6_extract.extract(f"<p>Begin</p>{links}<p>{long}</p>{links * 5}<p>far</p>") == "Begin\n\n" + long.strip()
+    assert op6_extract.extract(f"<p>{long}</p><nav><p>menu</p></nav><aside>x</aside><form>y</form><p>The end.</p>") == long.strip() + "\n\nThe end."
+
+
 # --- 9, 10 ----------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def coder():
