@@ -5,7 +5,8 @@ words than a shingle the whole sequence is one). Two documents are linked when t
 ``percent``; a component is everything that links reach.
 
 1. One pass over the texts gives each document a signature of ``coordinates`` minima, the size of its set and a
-   128-bit fingerprint. Equal sets are one class from here on, stood for by its smallest id.
+   128-bit fingerprint. Equal sets are one class from here on, known by its smallest document id and the fingerprint: a
+   document with several texts may head several classes. Links are between classes, and become documents at the end.
 2. Classes are posted under each (coordinate, value) pair. A pair of classes counts one collision for each pair that
    they share; linked classes have at least ``matches`` of them but for a chance of ``MISS`` at the threshold itself.
 3. *Prefix.* Values of one class alone can't collide. Of a class's m other values, the m - matches + 1 rarest hold
@@ -42,6 +43,7 @@ COORDINATES = 64
 MISS = 1e-5
 PARITY_BITS = 4096
 _SIGNATURES = "id long, n_shingles long, print_a long, print_b long, keys array<long>"
+_CLASS = "struct<doc:bigint,print_a:bigint,print_b:bigint>"  # ordered by document
 
 
 def match_threshold(coordinates: int, percent: int, miss: float = MISS) -> int:
@@ -71,6 +73,19 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
+def _prints(sets: list[np.ndarray]) -> np.ndarray:
+    """The two halves of each set's fingerprint; 0 for an empty set."""
+    counts = np.array([len(s) for s in sets], dtype=np.int64)
+    full = np.flatnonzero(counts)
+    prints = np.zeros((2, len(sets)), dtype=np.uint64)
+    if len(full):
+        every = np.concatenate(sets)
+        starts = np.concatenate(([0], np.cumsum(counts[full])[:-1]))
+        for k in range(2):
+            prints[k, full] = np.add.reduceat(mix(every + np.uint64(k + 1)), starts)
+    return prints.view(np.int64)
+
+
 def _signatures(size: int, coordinates: int):
     seeds = mix(np.arange(1, 2 * coordinates + 1, dtype=np.uint64) << np.uint64(20))
     flips, factors = seeds[:coordinates], seeds[coordinates:] | np.uint64(1)
@@ -80,13 +95,11 @@ def _signatures(size: int, coordinates: int):
             sets = shingle_sets(batch.column("text"), size)
             counts = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(counts)
-            prints = np.zeros((2, len(sets)), dtype=np.uint64)
+            prints = _prints(sets)
             keys = np.empty((len(full), coordinates), dtype=np.int64)
             if len(full):
                 every = np.concatenate(sets)
                 starts = np.concatenate(([0], np.cumsum(counts[full])[:-1]))
-                for k in range(2):
-                    prints[k, full] = np.add.reduceat(mix(every + np.uint64(k + 1)), starts)
                 for k in range(coordinates):
                     least = np.minimum.reduceat((every ^ flips[k]) * factors[k], starts)
                     keys[:, k] = (least >> np.uint64(32)).astype(np.int64) | (k << 32)
@@ -96,7 +109,7 @@ def _signatures(size: int, coordinates: int):
                 [
                     batch.column("id"),
                     pa.array(counts),
-                    *(pa.array(p.view(np.int64)) for p in prints),
+                    *(pa.array(p) for p in prints),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
                 ],
                 names=["id", "n_shingles", "print_a", "print_b", "keys"],
@@ -111,9 +124,8 @@ def _sets(size: int):
             sets = shingle_sets(batch.column("text"), size)
             ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             every = np.concatenate(sets).view(np.int64) if sets else np.empty(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(every))], names=["id", "shingles"]
-            )
+            own = pa.StructArray.from_arrays([batch.column("id"), *(pa.array(p) for p in _prints(sets))], names=["doc", "print_a", "print_b"])
+            yield pa.RecordBatch.from_arrays([own, pa.ListArray.from_arrays(pa.array(ends), pa.array(every))], names=["id", "shingles"])
 
     return run
 
@@ -148,8 +160,8 @@ class _Join:
         self.members = stored(found.join(classes.select("id", F.col("n_shingles").alias("n")), "id").dropDuplicates(["id"]), "members", self.under)
         prefix = F.slice("keys", 1, F.size("keys") - (self.matches - 1))
         self.lists = self.members.select("id", "central", F.explode(prefix).alias("key"))
-        texts = docs.join(self.members.select("id"), "id", "left_semi")
-        self.sets = stored(texts.mapInArrow(_sets(size), "id long, shingles array<long>"), "sets", self.under)
+        texts = docs.join(self.members.select(F.col("id.doc").alias("id")), "id", "left_semi")
+        self.sets = stored(texts.mapInArrow(_sets(size), f"id {_CLASS}, shingles array<long>"), "sets", self.under)
 
     def collide(self, a: str, b: str):
         """Enough collisions, and sizes that allow the similarity."""
@@ -178,13 +190,13 @@ class _Join:
         A list's leader is its most central class, that is the one whose values most others have. A text of which many
         differing copies exist is such a leader, even where no two copies are alike enough to be linked with each other.
         """
-        rank = F.struct("central", (-F.col("id")).alias("id"))
+        rank = F.struct("central", "id")
         leaders = self.lists.groupBy("key").agg(F.max(rank).alias("x"), F.count("*").alias("n")).where("n > 1")
-        leaders = stored(leaders.select("key", (-F.col("x.id")).alias("a")), "leaders", self.under)
+        leaders = stored(leaders.select("key", F.col("x.id").alias("a")), "leaders", self.under)
         to = self.lists.select("key", F.col("id").alias("b")).join(leaders, "key").where("a <> b")
         votes = to.groupBy("b", "a").agg(F.count("*").alias("votes"))
-        best = votes.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("a"))).alias("x"))
-        best = stored(best.select((-F.col("x.a")).alias("a"), "b"), "stars", self.under)
+        best = votes.groupBy("b").agg(F.max(F.struct("votes", "a")).alias("x"))
+        best = stored(best.select(F.col("x.a").alias("a"), "b"), "stars", self.under)
         return self.confirmed(self.with_members(best).where(self.collide("a_", "b_")).select("a", "b"))
 
     def rest_links(self, known: DataFrame) -> DataFrame:
@@ -198,7 +210,7 @@ class _Join:
         mixed = stored(mixed.select("key", F.col("x.component").alias("main")), "mixed", self.under)
         full = stored(lists.select("key", "id").join(mixed, "key"), "listed", self.under).join(labelled, "id")
         sets = self.sets.join(full.select("id").distinct(), "id")
-        full = full.join(stored(sets.mapInArrow(_parities, "id long, odd array<long>"), "parities", self.under), "id")
+        full = full.join(stored(sets.mapInArrow(_parities, f"id {_CLASS}, odd array<long>"), "parities", self.under), "id")
         names = ["id", "component", "n", "keys", "odd"]
         full = stored(full.select("key", "main", *names), "listed", self.under)
         left = full.where("component <> main").select("key", "main", *[F.col(c).alias(f"a_{c}") for c in names])
@@ -211,11 +223,16 @@ class _Join:
         on = (F.col("key") == F.col("b_key")) & meet & self.collide("a_", "b_") & first & possible
         return self.confirmed(stored(left.join(right, on).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")), "rest", self.under))
 
+
+def _class():
+    return F.struct(F.col("id").alias("doc"), "print_a", "print_b")
+
+
 def _repeated_ids(usable: DataFrame, classes: DataFrame, under: str) -> DataFrame:
     """Links between the classes of ids that several rows have."""
     repeated = usable.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
     heads = usable.join(repeated, "id").select("id", "print_a", "print_b").join(
-        classes.withColumnRenamed("id", "b"), ["print_a", "print_b"]
+        classes.select("print_a", "print_b", _class().alias("b")), ["print_a", "print_b"]
     )
     heads = stored(heads.select("id", "b").distinct(), "repeated", under)
     return heads.join(heads.groupBy("id").agg(F.min("b").alias("a")), "id").where("a <> b").select("a", "b")
@@ -230,18 +247,18 @@ def near_duplicates(
     signed = stored(docs.mapInArrow(_signatures(size, coordinates), _SIGNATURES), "signatures")
     usable = signed.where("id is not null and n_shingles > 0")
     classes = stored(usable.groupBy("print_a", "print_b").agg(F.min("id").alias("id")), "classes", under)
-    heads = stored(usable.join(classes, ["print_a", "print_b", "id"]).select("id", "n_shingles", "keys"), "heads", under)
+    heads = stored(usable.join(classes, ["print_a", "print_b", "id"]).select(_class().alias("id"), "n_shingles", "keys"), "heads", under)
     join = _Join(docs, heads, size, percent, coordinates, under)
     first = components(join.star_links().union(_repeated_ids(usable, classes, under)), under)
     links = stored(join.rest_links(first), "links", under)
     part = F.coalesce("component", "id").alias("part")
-    merged = classes.join(first, "id", "left").select("print_a", "print_b", "id", part)
+    merged = classes.select("print_a", "print_b", _class().alias("id")).join(first, "id", "left").select("print_a", "print_b", "id", part)
     if not links.isEmpty():
         for side in "ab":
             links = links.join(first.withColumnsRenamed({"id": side, "component": f"{side}_part"}), side, "left")
         above = components(links.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b")), under)
         merged = merged.join(above.withColumnRenamed("id", "part"), "part", "left").withColumn("part", F.coalesce("component", "part"))
-    found = stored(merged.select("print_a", "print_b", F.col("part").alias("component_id")), "found")
+    found = stored(merged.select("print_a", "print_b", F.col("part.doc").alias("component_id")), "found")
     remove(docs.sparkSession, under)
     some = usable.join(found, ["print_a", "print_b"]).select("id", "n_shingles", "component_id")
     none = signed.where("id is null or n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))

@@ -69,6 +69,18 @@ def test_near_duplicates_of_odd_input(odd, odd_rows, no_docs):
     assert op3_minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_an_id_with_texts_of_different_sizes_is_linked_by_each(spark):
+    rows = []
+    for k in range(0, 40, 10):
+        short, long = prose(60 + k, 100), prose(61 + k, 1000)
+        rows += [(k + 5, short), (k + 5, long), (k + 8, edited(short, [50])), (k + 9, edited(long, [300, 700])), (k + 7, prose(62 + k, 100))]
+    for part in (rows, rows[::-1]):
+        docs = spark.createDataFrame(part, "doc_id long, text string").repartition(3)
+        got = op3_minhash.near_duplicates(docs).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == components(rows, 5, 80)
+        assert sorted((r["doc_id"], r["n_shingles"]) for r in got) == sorted((d, len(shingles(t, 5))) for d, t in rows)
+
+
 def test_linked_pairs_miss_the_threshold_rarely():
     for percent in (80, 85):
         t = op3_minhash.match_threshold(op3_minhash.COORDINATES, percent)
