@@ -1,7 +1,8 @@
 """Language ID (7): compression with one raw-content dictionary a language; the smallest result names the language.
 
 A dictionary is up to ``DICTIONARY`` bytes of sample text of one language, from a sample of about ``ROWS`` labelled rows a language
-(a bound whatever the table's size; the sample is those of smallest id hash). A text is lower-cased, everything but letters and
+(a bound whatever the table's size; the sample is those of smallest id hash). A row of more than ``TAKEN`` characters gives
+``SPREAD`` pieces of them, spread evenly from its beginning to its end, so a common beginning doesn't stand for the rest. A text is lower-cased, everything but letters and
 digits between them becomes one space, and pieces of ``PIECE`` characters are compressed with every dictionary. A text's size under
 a language is the sum over all its pieces, so long texts are used whole and count with all that they hold.
 
@@ -9,7 +10,7 @@ a language is the sum over all its pieces, so long texts are used whole and coun
 ``margin`` to the second, and ``rejected`` where that is narrower than ``MARGIN``.
 
 Nulls and odd input: a text that is null or has no letter is ``und`` with score 0 and rejected; so is every text when nothing
-was learned. Ties go to the language that sorts first. Rows without id or language are not learned from. Null ids and
+was learned. A language whose sample has fewer than ``LEAST`` bytes of letters has no dictionary and is never predicted. Ties go to the language that sorts first. Rows without id or language are not learned from. Null ids and
 repeated rows are kept; extra columns pass through, but the names that are added must be free.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,8 @@ from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import slices
 
-ROWS, PREFIX, DICTIONARY = 300, 600, 96 << 10  # sampled rows a language, characters of each, bytes of a dictionary
+ROWS, TAKEN, DICTIONARY = 300, 600, 96 << 10  # sampled rows a language, characters of each, bytes of a dictionary
+SPREAD, LEAST = 4, 8
 PIECE, LEVEL, MARGIN = 4096, 3, 0.01
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -39,14 +41,22 @@ def cleaned(text: str | None) -> str:
     return _NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
 
 
-def dictionaries(labelled: DataFrame, rows: int = ROWS, prefix: int = PREFIX, size: int = DICTIONARY) -> dict[str, bytes]:
+def _spread(text: str, characters: int) -> Column:
+    """The whole text, or ``characters`` of it in ``SPREAD`` pieces."""
+    piece, length = max(1, characters // SPREAD), F.length(text)
+    starts = [F.floor(k * (length - piece) / (SPREAD - 1)).cast("int") + 1 for k in range(SPREAD)]
+    pieces = F.concat_ws(" ", *[F.substring(text, start, F.lit(piece)) for start in starts])
+    return F.when(length <= characters, F.col(text)).otherwise(pieces)
+
+
+def dictionaries(labelled: DataFrame, rows: int = ROWS, characters: int = TAKEN, size: int = DICTIONARY) -> dict[str, bytes]:
     """Sample text of each language from ``labelled`` (doc_id, text, lang)."""
     usable = labelled.where("lang is not null and doc_id is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     # A row's hash share must be below rows / count of its language: one read gives all samples.
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, rows / n)])[F.col("lang")] if counts else F.lit(0.0)
-    taken = usable.where(share < bound).select("lang", share.alias("share"), "doc_id", F.substring("text", 1, prefix).alias("text"))
+    taken = usable.where(share < bound).select("lang", share.alias("share"), "doc_id", _spread("text", characters).alias("text"))
     out: dict[str, list[str]] = {}
     for r in sorted(taken.collect(), key=lambda r: (r["lang"], r["share"], r["doc_id"], r["text"])):
         out.setdefault(r["lang"], []).append(cleaned(r["text"]))
@@ -55,7 +65,7 @@ def dictionaries(labelled: DataFrame, rows: int = ROWS, prefix: int = PREFIX, si
 
 class Compressors:
     def __init__(self, contents: dict[str, bytes], level: int = LEVEL) -> None:
-        self.languages = sorted(lang for lang, content in contents.items() if len(content) >= 8)
+        self.languages = sorted(lang for lang, content in contents.items() if len(content) >= LEAST)
         self.each = []
         for lang in self.languages:
             words = zstandard.ZstdCompressionDict(contents[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)

@@ -101,6 +101,16 @@ def test_scores_of_odd_input(odd, no_docs, labels, module, label):
         module.scored(odd, net, name="hash")
 
 
+def test_languages_are_learned_behind_a_common_beginning(spark):
+    header = "This page has the same words at its top in each of the languages. " * 12
+    body = {"de": "der hund und die katze schlafen nicht ", "fr": "le chien avec une souris mange toujours "}
+    rows = [(k, header + 40 * body[lang], lang) for k, lang in enumerate(["de", "fr"] * 5)] + [(99, "ab", "xx")]
+    learned = op7_language.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert "katze schlafen" in learned["de"].decode() and "souris mange" in learned["fr"].decode()
+    judge = op7_language.Compressors(learned)
+    assert [judge.judge(body[lang])[0] for lang in ("de", "fr")] == ["de", "fr"] and judge.languages == ["de", "fr"]
+
+
 def test_languages_of_odd_input(spark, odd, no_docs):
     rows = [(1, "der die das und nicht " * 20, "de"), (2, "the and of that with " * 20, "en"), (3, None, "fr"), (4, "x", None)]
     learned = op7_language.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
