@@ -9,5 +9,8 @@ import subspan.llm.op6_extract
 import subspan.llm.op7_language
 import subspan.llm.op8_topk
 import subspan.llm.op9_token_counts
-import subspan.llm.op10_token_output  # noqa: F401
+import subspan.llm.op10_token_output
+import subspan.llm.op11_runs
+import subspan.llm.op12_licenses
+import subspan.llm.op13_divergence  # noqa: F401
 from subspan.llm.registry import QUERIES, SQL  # noqa: F401
