@@ -12,18 +12,43 @@ def fold(doc_id: str, parts: int, held: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == held, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, prefix: int) -> tuple[list[str], np.ndarray]:
-    """Up to ``per_class`` documents of either label, those of smallest id hash, with the first ``prefix`` characters.
+def fitting(sizes: list[int], total: int) -> list[int]:
+    """Places of the rows that are taken in turn while they fit into ``total`` bytes together; one that doesn't fit is passed over."""
+    taken, left = [], total
+    for k, size in enumerate(sizes):
+        if size <= left:
+            taken.append(k)
+            left -= size
+    return taken
 
-    A document with several labels has the largest. Null ids, null labels and null texts are left out.
+
+def texts_of(docs: DataFrame, taken: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
+    """The whole texts of the rows with these ids and text hashes."""
+    if not taken:
+        return {}
+    keys = F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long, hash long"))  # a bounded sample
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash")).join(keys, ["doc_id", "hash"])
+    return {(r["doc_id"], r["hash"]): r["text"] for r in rows.dropDuplicates(["doc_id", "hash"]).collect()}
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, total: int) -> tuple[list[str], np.ndarray]:
+    """Up to ``per_class`` documents of either label, those of smallest id hash, each with its whole text.
+
+    ``total`` bounds the bytes of the texts of both labels together: in the order of the hash, a text that doesn't fit into what is left of its
+    label's half is passed over. A document with several labels has the largest. Null ids, null labels and null texts are left out.
     """
     each = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     some = [each.where(F.col("label") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
-    taken = F.broadcast(some[0].unionByName(some[1]))  # 2 * per_class rows at most
-    rows = docs.where("text is not null").select("doc_id", F.substring("text", 1, prefix).alias("text")).join(taken, "doc_id")
-    rows = rows.orderBy(*order, "text").limit(2 * per_class).select("text", "label").collect()
-    return [r["text"] for r in rows], np.array([r["label"] for r in rows], dtype=np.float32)
+    wanted = F.broadcast(some[0].unionByName(some[1]))  # 2 * per_class rows at most
+    found = docs.where("text is not null").select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash")).join(wanted, "doc_id")
+    rows = found.distinct().orderBy(*order, "hash").limit(2 * per_class).collect()
+    taken = []
+    for c in (0, 1):
+        own = [r for r in rows if r["label"] == c]
+        taken += [own[k] for k in fitting([r["size"] for r in own], total // 2)]
+    texts = texts_of(docs, [(r["doc_id"], r["hash"]) for r in taken])
+    return [texts[r["doc_id"], r["hash"]] for r in taken], np.array([r["label"] for r in taken], dtype=np.float32)
 
 
 class Adam:

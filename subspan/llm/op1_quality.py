@@ -4,7 +4,7 @@ A document is a bag of passages of ``PASSAGE`` words that cover its whole text.
 look like: shares of ``len(_GROUPS)`` classes of characters, lengths of words, how many words repeat the one before or any other of
 the passage. A layer makes an embedding of that, gated attention (tanh and sigmoid branches, multiplied) gives the passages' weights, and a
 logistic unit judges the weighted sum. Encoder, attention and unit are learned together from document labels alone, on the
-driver, in numpy, from a bounded sample (``PER_CLASS`` documents a label, ``PREFIX`` characters of each).
+driver, in numpy, from a bounded sample of whole texts (``PER_CLASS`` documents a label, ``TOTAL`` bytes of both).
 
 Scoring is one pass over the documents without a shuffle; memory is that of one slice of text. Language, source and ids are no inputs.
 
@@ -28,7 +28,7 @@ from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import NOT_SPACE, mix, slices, span_hashes, words
 
-PER_CLASS, PREFIX = 1500, 12_000
+PER_CLASS, TOTAL = 1500, 24 << 20
 PASSAGE, EMBEDDED, ATTENDED = 64, 16, 12
 BATCH, ROUNDS, RATE = 64, 25, 0.01
 
@@ -184,7 +184,7 @@ THRESHOLD = 0.7
 
 def learned(docs: DataFrame, labels: DataFrame, rows) -> Bags:
     """A classifier from those documents and labels that the expression ``rows`` admits."""
-    return train(*sample(docs.where(rows), labels.where(rows), "quality", PER_CLASS, PREFIX))
+    return train(*sample(docs.where(rows), labels.where(rows), "quality", PER_CLASS, TOTAL))
 
 
 @query("op1_quality")

@@ -5,7 +5,7 @@ embedding of its character (byte) trigrams and beginnings, so unseen inflections
 overlap by half and cover the whole text; in each, a gated recurrent unit reads forwards and another backwards, attention
 weighs the states of both and a logistic unit judges their sum. A document counts with its highest window, calibrated.
 
-Training, on the driver, uses a bounded sample (``PER_CLASS`` documents a label, ``PREFIX`` characters of each): first
+Training, on the driver, uses a bounded sample of whole texts (``PER_CLASS`` documents a label, ``TOTAL`` bytes of both): first
 every window under its document's label, then in each round the highest windows of each document, so windows that merely stand
 in toxic documents are unlearned. Scoring is one pass over the documents without a shuffle; memory is that of one slice of text.
 
@@ -29,7 +29,7 @@ from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import ALPHANUMERIC, Words, mix, slices, span_hashes, words
 
-PER_CLASS, PREFIX = 1500, 8000
+PER_CLASS, TOTAL = 1500, 12 << 20
 LENGTH, STRIDE = 16, 8
 WORDS, GRAMS, EMBEDDED, HIDDEN, ATTENDED = 1 << 14, 1 << 14, 10, 10, 8
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that are inputs besides its trigrams
@@ -262,6 +262,6 @@ def scored(docs: DataFrame, net: Network, text: str = "text", name: str = "toxic
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     learned = ~fold("doc_id", 5, 0)
-    net = train(*sample(docs.where(learned), table(spark, folder, "labels").where(learned), "toxic", PER_CLASS, PREFIX))
+    net = train(*sample(docs.where(learned), table(spark, folder, "labels").where(learned), "toxic", PER_CLASS, TOTAL))
     judged = scored(docs, net, name="score")
     return judged.select("doc_id", fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

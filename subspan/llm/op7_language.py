@@ -1,9 +1,8 @@
 """Language ID (7): compression with one raw-content dictionary a language; the smallest result names the language.
 
-A dictionary is up to ``DICTIONARY`` bytes of sample text of one language, from a sample of about ``ROWS`` labelled rows a language
-(a bound whatever the table's size; the sample is those of smallest id hash). A row of more than ``TAKEN`` characters gives
-``SPREAD`` pieces of them, spread evenly from its beginning to its end, so a common beginning doesn't stand for the rest. A text is lower-cased, everything but letters and
-digits between them becomes one space, and pieces of ``PIECE`` characters are compressed with every dictionary. A text's size under
+A dictionary is sample text of one language, from about ``ROWS`` labelled rows a language (a bound whatever the table's size; the sample is
+those of smallest id hash). The rows are taken whole, in the order of the hash, as far as they fit into ``DICTIONARY`` bytes; one that doesn't is
+passed over, and where none fits the smallest is the dictionary. A text is lower-cased, everything but letters and digits between them becomes one space, and pieces of ``PIECE`` characters are compressed with every dictionary. A text's size under
 a language is the sum over all its pieces, so long texts are used whole and count with all that they hold.
 
 ``predicted`` gives the smallest language, the share ``score`` of its likelihood 2**-bits among all languages, the relative
@@ -21,17 +20,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subspan.llm.learning import fold
+from subspan.llm.learning import fitting, fold, texts_of
 from subspan.llm.registry import query
 from subspan.llm.tables import table
 from subspan.llm.words import slices
 
-ROWS, TAKEN, DICTIONARY = 300, 600, 96 << 10  # sampled rows a language, characters of each, bytes of a dictionary
-SPREAD, LEAST = 4, 8
+ROWS, DICTIONARY = 300, 128 << 10  # sampled rows a language, bytes of a dictionary
+LEAST = 8
 PIECE, LEVEL, MARGIN = 4096, 3, 0.01
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -41,26 +40,23 @@ def cleaned(text: str | None) -> str:
     return _NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
 
 
-def _spread(text: str, characters: int) -> Column:
-    """The whole text, or ``characters`` of it in ``SPREAD`` pieces."""
-    piece, length = max(1, characters // SPREAD), F.length(text)
-    starts = [F.floor(k * (length - piece) / (SPREAD - 1)).cast("int") + 1 for k in range(SPREAD)]
-    pieces = F.concat_ws(" ", *[F.substring(text, start, F.lit(piece)) for start in starts])
-    return F.when(length <= characters, F.col(text)).otherwise(pieces)
-
-
-def dictionaries(labelled: DataFrame, rows: int = ROWS, characters: int = TAKEN, size: int = DICTIONARY) -> dict[str, bytes]:
+def dictionaries(labelled: DataFrame, rows: int = ROWS, size: int = DICTIONARY) -> dict[str, bytes]:
     """Sample text of each language from ``labelled`` (doc_id, text, lang)."""
     usable = labelled.where("lang is not null and doc_id is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     # A row's hash share must be below rows / count of its language: one read gives all samples.
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, rows / n)])[F.col("lang")] if counts else F.lit(0.0)
-    taken = usable.where(share < bound).select("lang", share.alias("share"), "doc_id", _spread("text", characters).alias("text"))
-    out: dict[str, list[str]] = {}
-    for r in sorted(taken.collect(), key=lambda r: (r["lang"], r["share"], r["doc_id"], r["text"])):
-        out.setdefault(r["lang"], []).append(cleaned(r["text"]))
-    return {lang: " ".join(texts).encode()[:size] for lang, texts in out.items()}
+    drawn = usable.where(share < bound).select("lang", share.alias("share"), "doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash"))
+    own: dict[str, list] = {}
+    for r in sorted(drawn.collect(), key=lambda r: (r["lang"], r["share"], r["doc_id"], r["hash"])):
+        own.setdefault(r["lang"], []).append(r)
+    taken = {}
+    for lang, its in own.items():
+        sizes = [r["size"] for r in its]
+        taken[lang] = [its[k] for k in fitting(sizes, size) or [sizes.index(min(sizes))]]
+    texts = texts_of(usable, sorted({(r["doc_id"], r["hash"]) for its in taken.values() for r in its}))
+    return {lang: " ".join(cleaned(texts[r["doc_id"], r["hash"]]) for r in its).encode() for lang, its in taken.items()}
 
 
 class Compressors:

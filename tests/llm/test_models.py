@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from subspan.llm import op1_quality, op2_toxicity, op7_language
 from subspan.llm.learning import fold, sample
 from subspan.llm.queries import QUERIES
+from tests.llm.conftest import prose
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -81,10 +82,26 @@ def labels(spark):
 
 
 def test_sample_is_bounded_and_takes_the_larger_label(odd, labels):
-    texts, y = sample(odd, labels, "quality", 10, 5)
-    assert {"one", "One"} < set(texts) and len(texts) == 4 and y.tolist() == [1, 1, 1, 1]  # both rows of 8; 5 has label 1, too
-    assert max(map(len, texts)) <= 5
-    assert len(sample(odd, labels, "quality", 1, 5)[0]) <= 2
+    texts, y = sample(odd, labels, "quality", 10, 10_000)
+    assert {"one", "One"} < set(texts) and len(texts) == 3 and y.tolist() == [1, 1, 1]  # the repeated row of 8 once; 5 has label 1, too
+    assert max(map(len, texts)) > 300  # whole texts
+    assert sorted(sample(odd, labels, "quality", 10, 12)[0]) == ["One", "one"]  # what fits
+    assert len(sample(odd, labels, "quality", 1, 10_000)[0]) <= 2
+
+
+def test_labels_are_learned_from_behind_a_long_beginning(spark):
+    """What makes the label stands behind 20,000 characters that say nothing."""
+    common = [prose(1000 + k, 3000) for k in range(24)]
+    assert min(map(len, common)) > 20_000
+    toxic, plain = "you worthless stinking maggot ", "you wonderful sparkling meadow "
+    rows = [(k, common[k] + " " + (toxic if k % 2 else plain) * 4, k % 2, 1 - k % 2) for k in range(24)]
+    docs = spark.createDataFrame([(k, t) for k, t, *_ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, a, b) for k, _, a, b in rows], "doc_id long, toxic int, quality int")
+    texts, y = sample(docs, labels, "toxic", 100, 12 << 20)
+    assert len(texts) == 24 and all(t.rstrip().endswith(("maggot", "meadow")) for t in texts)
+    net = op2_toxicity.train(texts, y)
+    found = net.documents(pa.array([prose(7, 3000) + " " + x * 4 for x in (toxic, plain)]))
+    assert found[0] > 0.5 > found[1]
 
 
 @pytest.mark.parametrize(("module", "label"), [(op1_quality, "quality"), (op2_toxicity, "toxic")])
