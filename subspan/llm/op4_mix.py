@@ -13,7 +13,8 @@ virtual time say in which range the budget ends and only that range is sorted.
 
 Nulls and odd input: null and empty texts have no words and are taken 0 times; a null source is a source; a null id is
 an id like others. Repeated rows are offered each for itself, equal ones in any order. Without words nothing is
-taken and targets are 0. Reruns agree: the shuffle is a hash of the id.
+taken and targets are 0. Reruns agree: the shuffle is a hash of the id and the text, so rows of one id, or without any, are spread, too. ``mixed``
+returns every column of its table as it is, whatever its name.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subspan.llm.registry import query
-from subspan.llm.tables import new_path, remove, stored, table
+from subspan.llm.tables import named, new_path, numbered, remove, stored, table
 
 WEIGHTS = (3, 1, 2)
 BUDGET, REPEATS = 1.5, 2
@@ -56,7 +57,8 @@ def taken(docs: DataFrame, budget: float = BUDGET, repeats: int = REPEATS, weigh
     """doc_id, text_hash, size, source_size, target and taken (words, repeats counted) of every row."""
     under = new_path(docs.sparkSession, "mix")
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    hashed = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    own = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    hashed = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), own))
     sized = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("text_hash"), hashed.alias("hash"))
     sized = stored(sized.withColumn("range", F.substring("hash", 1, _PLACES)), "sized", under)
     sums = stored(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "sums", under)
@@ -109,21 +111,21 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it does."""
     rows = taken(docs, **options).where("taken > 0")
     rows = rows.select("doc_id", "text_hash", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    names = {"its_id": F.coalesce("doc_id", F.lit(-1)), "its_null": F.col("doc_id").isNull(), "its_hash": F.col("text_hash")}
-    number = F.row_number().over(Window.partitionBy("its_id", "its_null", "its_hash").orderBy(F.col("copies").desc()))
-    rows = rows.select(*[c.alias(n) for n, c in names.items()], "copies").withColumn("its_row", number)
-    names["its_hash"] = F.xxhash64("text")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    numbered = docs.withColumns(names)
-    number = F.row_number().over(Window.partitionBy("its_id", "its_null", "its_hash").orderBy(F.lit(0)))
-    joined = numbered.withColumn("its_row", number).join(rows, ["its_id", "its_null", "its_hash", "its_row"])
-    return joined.withColumn("its_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*columns)
+    keys = ["its_id", "its_null", "its_hash"]
+    rows = rows.select(F.coalesce("doc_id", F.lit(-1)).alias("its_id"), F.col("doc_id").isNull().alias("its_null"), F.col("text_hash").alias("its_hash"), "copies")
+    rows = rows.withColumn("its_row", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("copies").desc())))
+    at = {c.lower(): f"c{k}" for k, c in enumerate(docs.columns)}
+    own = numbered(docs).withColumns(
+        {"its_id": F.coalesce(at["doc_id"], F.lit(-1)), "its_null": F.col(at["doc_id"]).isNull(), "its_hash": F.xxhash64(at["text"])}
+    )
+    own = own.withColumn("its_row", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    return named(own.join(rows, [*keys, "its_row"]).withColumn("its_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))), docs)
 
 
 ORACLE = f"""
 with sized as (
     select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
-           md5('{SEED}' || cast(doc_id as varchar)) as hash
+           md5('{SEED}' || cast(doc_id as varchar) || ':' || md5(coalesce(text, ''))) as hash
     from documents
 ),
 sources as (select source, cast(sum(size) as bigint) as source_size from sized group by source),

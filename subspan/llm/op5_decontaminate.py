@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subspan.llm.registry import query
-from subspan.llm.tables import table
+from subspan.llm.tables import named, numbered, table
 from subspan.llm.words import ALPHANUMERIC, Words, slices, span_hashes, window_hashes, words
 
 WINDOW = 13
@@ -169,8 +169,9 @@ def judged(scanned: DataFrame) -> DataFrame:
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the contaminated ones."""
-    return judged(scan(docs, benchmark, **options)).where(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the contaminated ones; its columns stay as they are, whatever their names."""
+    text = numbered(docs).columns[[c.lower() for c in docs.columns].index(options.pop("text", "text").lower())]
+    return named(judged(scan(numbered(docs), benchmark, text=text, **options)).where(~F.col("contaminated")), docs)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subspan.session import shared_dir
 
@@ -27,6 +28,16 @@ def stored(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The same rows with columns c0, c1, ..., so that no name clashes with one that is added."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
+def named(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` of rows that were ``numbered``."""
+    return df.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(like.columns)])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate tables that nothing reads any more."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

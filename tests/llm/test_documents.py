@@ -136,6 +136,11 @@ def test_hits_are_those_of_brute_force(spark, odd_rows, block_words):
 
 def test_removal_keeps_clean_documents_and_cuts_spans(spark, odd, odd_rows):
     benchmark = spark.createDataFrame([(1, odd_rows[7][1]), (2, "no such words here")], "item_id long, text string")
+    helpers = "n_words n_hit contaminated hit_spans hit_items its_row its_copy its_id its_null its_hash copies c0 c1 text_hash row".split()
+    named = odd.withColumns({c: F.lit(f"own {c}") for c in helpers})
+    for rows in (op5_decontaminate.remove_documents(named, benchmark), op4_mix.mixed(named)):
+        assert rows.columns == named.columns and rows.count() and rows.dtypes == named.dtypes
+        assert all(r[c] == f"own {c}" for r in rows.collect() for c in helpers)
     kept = op5_decontaminate.remove_documents(odd, benchmark)
     assert kept.columns == odd.columns
     gone = Counter(map(str, odd.collect())) - Counter(map(str, kept.collect()))
@@ -198,7 +203,7 @@ def test_mix_of_odd_input(spark, odd, odd_rows, no_docs):
     assert len(got) == len(odd_rows) and all(r["taken"] == 0 for r in got if not r["size"])
     assert sum(r["taken"] for r in got) <= 1.5 * sum(r["size"] for r in got)
     mixed = op4_mix.mixed(odd)
-    assert mixed.columns == odd.columns
+    assert mixed.columns == odd.columns and {str(r) for r in mixed.collect()} <= {str(r) for r in odd.collect()}
     assert sum(len(r["text"].split()) for r in mixed.collect()) == sum(r["taken"] for r in got)
     assert op4_mix.taken(no_docs).count() == 0 and op4_mix.mixed(no_docs).count() == 0
     assert [r["taken"] for r in op4_mix.taken(odd.where("doc_id < 4")).collect()] == [0, 0, 0]

@@ -4,10 +4,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
+
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from subspan.llm import op1_quality
-from subspan.llm.tokens import Encoder, tokenizer_json
+from subspan.llm.tokens import tokenizer_json
 from tests.llm.test_documents import components, contamination, water_level
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,10 +49,10 @@ def test_stages_do_what_they_say(spark, tmp_path):
     assert all(abs(taken[s] - target[s]) <= 2 * longest for s in sizes)
     assert max(Counter(rows[4]).values()) <= 2
 
-    coder = Encoder(tokenizer_json())
+    library = Tokenizer.from_str(tokenizer_json())
     want, start = [], 0
     for r in sorted(rows[4], key=lambda r: r[0]):
-        ids = coder.tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [0]
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids + [0]
         want.append((r[0], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(rows[5]) == want
@@ -58,3 +61,12 @@ def test_stages_do_what_they_say(spark, tmp_path):
 def test_threshold_is_the_operators(spark):
     assert op1_quality.THRESHOLD == 0.7 and [n for n, _ in corpus_pipeline.STAGES][1] == "near_duplicates"
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_keep_columns_of_any_name(spark, odd):
+    helpers = "quality kept row c0 its_row copies n_words n_hit contaminated hit_spans __row __quality".split()
+    docs = odd.withColumns({c: F.lit(f"own {c}") for c in helpers})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert all(r[c] == f"own {c}" for r in out.collect() for c in helpers), name
