@@ -1,8 +1,9 @@
 """HTML extraction (6): line-block distribution.
 
 Markup is stripped into lines, one for each block element's own text; whatever can't be part of an article (menus, headers, footers,
-side columns, notices, adverts, forms, scripts, styles, comments of readers) leaves a blank line, by element or by the words of its
-class, id or role. A line counts with the length of its text outside links. Over windows of ``WINDOW`` lines these lengths are
+side columns, notices, adverts, forms, scripts, styles, comments of readers) leaves a blank line, by element or by a class, id or role
+that begins or ends with such a word. Forms and elements known by these words alone hold the text all the same where the rest of the page has next to none
+(``_exempt``), so a wrapper named after its side column or its fixed header loses nothing. A line counts with the length of its text outside links. Over windows of ``WINDOW`` lines these lengths are
 summed. A region lies between two places where the sum dives to 0 or an ``<article>`` or ``<main>`` has its edge, and is text where the
 sum surges to ``SURGE`` anywhere in it. It stays from its first line to its last, with lines that are only links; a region
 without a surge stays where no more than ``NEAR`` lines outside of elements are between it and one that surges. Links alone between two regions are a menu.
@@ -26,6 +27,7 @@ import html
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ from subspan.llm.words import slices
 
 WINDOW, SURGE, NEAR = 3, 86, 12
 ARTICLE, MAIN, SHARE = 2, 512, 8
+LARGE = 512  # characters of a large element
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -57,7 +60,7 @@ _INLINE = frozenset(
 _SPACE = frozenset(("br", "td", "th"))
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BODY = frozenset(("article", "main"))
-_EXCLUDED = frozenset("aside button dialog footer form head header menu nav object select svg".split())
+_EXCLUDED = frozenset("aside button dialog footer head header menu nav object select svg".split())
 _EXCLUDED_WORDS = frozenset(
     "ad ads advert adverts advertisement alert banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie "
     "cookies copyright dialog disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice popup "
@@ -65,32 +68,80 @@ _EXCLUDED_WORDS = frozenset(
     "widget widgets".split()
 )
 _CONTENT_WORDS = frozenset("article content entry main post story".split())
+_STATES = frozenset("has is no not with without".split())  # a class that begins so says what a page has
+_HEADS = frozenset(("article", "h1", "main"))
 
 
-def _is_excluded(name: str, attributes: str, inside: int, marked: bool) -> bool:
-    if name in ("main", "body", "html") or name == "article" and marked:
-        return False
-    if name in _EXCLUDED:
-        return not (name == "header" and inside)
+def _named_so(attributes: str) -> bool:
+    """Whether a class, id or role begins or ends with a word for what is no article, and none is a word for one."""
+    found = False
     for _, *values in _ATTRIBUTE.findall(attributes):
-        words = set(_PARTS.split("".join(values).lower()))
-        if words & _EXCLUDED_WORDS and not words & _CONTENT_WORDS:
-            return True
-    return False
+        for token in "".join(values).lower().split():
+            parts = [x for x in _PARTS.split(token) if x]
+            if not parts or parts[0] in _STATES:
+                continue
+            if not _CONTENT_WORDS.isdisjoint(parts):
+                return False
+            found = found or parts[0] in _EXCLUDED_WORDS or parts[-1] in _EXCLUDED_WORDS
+    return found
+
+
+class _Soft:
+    """An element that is excluded unless the page's text is in it."""
+
+    def __init__(self, parent: int, name: str) -> None:
+        self.parent, self.name = parent, name
+        self.own = self.mass = 0  # weighted length of its lines, without and with those of such elements inside
+        self.heads = False
+
+
+def _exempt(softs: list[_Soft], rest: int) -> set[int]:
+    """Numbers of the elements that hold the text; ``rest``: the weighted length of the lines outside of all of them.
+
+    The longest comes first. It is the text where it holds a heading or a main element and more than all outside; where it is large and
+    ``SHARE`` times as much; or where nothing is outside and it is large, a form or holds an article. What is inside is judged then.
+    """
+    inside: dict[int, list[int]] = {}
+    for k in range(len(softs) - 1, 0, -1):
+        inside.setdefault(softs[k].parent, []).append(k)
+        if softs[k].parent:
+            above = softs[softs[k].parent]
+            above.mass, above.heads = above.mass + softs[k].mass, above.heads or softs[k].heads
+    out = set()
+    todo = [(-softs[k].mass, k) for k in inside.get(0, ())]
+    heapify(todo)
+    while todo:
+        mass, k = heappop(todo)
+        x, mass = softs[k], -mass
+        alone = not rest and (mass >= LARGE or x.name == "form" or x.heads)
+        if mass >= SURGE and (alone or (x.heads and mass > rest) or (mass >= LARGE and mass >= SHARE * rest)):
+            out.add(k)
+            rest += x.own
+            for c in inside.get(k, ()):
+                heappush(todo, (-softs[c].mass, c))
+    return out
 
 
 def _lines(page: str, marked: bool = False) -> tuple[list[tuple[str, int, int]], list[int]]:
     """Text, length outside links and element of each line, a blank one for what is excluded; and the weight of each element.
 
     Element 0 is what is outside of any ``<article>`` or ``<main>``; nested ones are one element. ``marked`` keeps articles whatever
-    their class, id or role.
+    their class, id or role. One pass over the page and one over its lines.
     """
-    lines: list[tuple[str, int, int]] = []
-    weights = [1]
+    lines: list[tuple[str, int, int, int]] = []  # the last: the innermost soft element
+    weights, softs = [1], [_Soft(0, "")]
     text: list[str] = []
     linked, in_link, inside, at = 0, 0, 0, 0
     skipping, depth = "", 0
-    lower = page.lower()
+    open_: list[list] = []  # soft elements: name, depth of that name, number, what was open outside
+    closed: dict[str, int] = {}
+
+    def closes(name: str, begin: int) -> bool:
+        """Whether an end tag of that name follows; a page is searched once for each name."""
+        if closed.get(name, 0) is not None and closed.get(name, 0) < begin:
+            found = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, begin)
+            closed[name] = found.start() if found else None
+        return closed[name] is not None
 
     def add(piece: str) -> None:
         nonlocal linked
@@ -102,10 +153,13 @@ def _lines(page: str, marked: bool = False) -> tuple[list[tuple[str, int, int]],
         nonlocal linked
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            lines.append((line, max(0, len(line) - linked), len(weights) - 1 if inside else 0))
+            place(line, max(0, len(line) - linked))
         text.clear()
         linked = 0
 
+    def place(line: str, size: int) -> None:
+        lines.append((line, size, len(weights) - 1 if inside else 0, open_[-1][2] if open_ else 0))
+
     for m in _MARKUP.finditer(page):
         if not skipping and m.start() > at:
             add(page[at : m.start()])
@@ -116,22 +170,37 @@ def _lines(page: str, marked: bool = False) -> tuple[list[tuple[str, int, int]],
                 flush()
             continue
         closing = bool(m["end"])
+        whole = m["attributes"].endswith("/")
         if skipping:
-            if name == skipping and not m["attributes"].endswith("/"):
+            if name == skipping and not whole:
                 depth += -1 if closing else 1
                 if not depth:
                     skipping = ""
             continue
         if name == "a":
             in_link = max(0, in_link + (-1 if closing else 1))
-        if not closing and name not in _VOID and _is_excluded(name, m["attributes"], inside, marked):
-            if name not in _INLINE:
-                flush()
-            if f"</{name}" in lower[at:]:
-                skipping, depth = name, 1
+        if not closing and name not in _VOID and name not in ("main", "body", "html") and not (name == "article" and marked):
+            hard = name in _EXCLUDED and not (name == "header" and inside)
+            soft = name == "form" or name not in _EXCLUDED and _named_so(m["attributes"])
+            if (hard or soft) and closes(name, at):
                 if name not in _INLINE:
-                    lines.append(("", 0, len(weights) - 1 if inside else 0))
+                    flush()
+                if hard or name in _INLINE:
+                    skipping, depth = name, 1
+                    if name not in _INLINE:
+                        place("", 0)
+                    continue
+                softs.append(_Soft(open_[-1][2] if open_ else 0, name))
+                open_.append([name, 0, len(softs) - 1, inside, in_link])
+                place("", 0)
+        if open_ and name == open_[-1][0] and not whole:
+            open_[-1][1] += -1 if closing else 1
+            if not open_[-1][1]:
+                flush()
+                *_, inside, in_link = open_.pop()
                 continue
+        if open_ and name in _HEADS and not (name == open_[-1][0] and open_[-1][1] == 1):
+            softs[open_[-1][2]].heads = True
         if name in _SPACE:
             add(" ")
         elif name not in _INLINE:
@@ -145,7 +214,27 @@ def _lines(page: str, marked: bool = False) -> tuple[list[tuple[str, int, int]],
     if not skipping:
         add(page[at:])
     flush()
-    return lines, weights
+    rest = 0
+    for _, size, element, cover in lines:
+        if cover:
+            softs[cover].own += size * weights[element]
+        else:
+            rest += size * weights[element]
+    for x in softs[1:]:
+        x.mass = x.own
+    exempt = _exempt(softs, rest)
+    outermost = [0] * len(softs)  # of the excluded elements that each stands in
+    for k in range(1, len(softs)):
+        outermost[k] = outermost[softs[k].parent] or (0 if k in exempt else k)
+    out, begun = [], set()
+    for line, size, element, cover in lines:
+        top = outermost[cover]
+        if not top and (line or not cover):
+            out.append((line, size, element))
+        elif top and top not in begun:
+            begun.add(top)
+            out.append(("", 0, element))
+    return out, weights
 
 
 def extract(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
