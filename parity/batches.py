@@ -6,6 +6,7 @@ import uuid
 from datetime import date, datetime
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -313,6 +314,64 @@ def _(m, t):
     return staging.stg_events(checked.where(F.size(validation.FAULTS) == 0))
 
 
+def _array_lines(batches):
+    """A JSON array of a task's records, line by line."""
+    yield pa.RecordBatch.from_pydict({"value": ["["]})
+    comma = ""
+    for batch in batches:
+        lines = []
+        for text in batch.column("value").to_pylist():
+            lines.append(comma + text)
+            comma = ","
+        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+    yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+
+def _landed_feeds(m, lines: bool):
+    """The six tables as JSON feeds on shared storage, read, landed, and read back."""
+    spark, root = m.raw["accounts"].sparkSession, f"{shared_dir(m.raw['accounts'].sparkSession)}/feeds-{uuid.uuid4().hex}"
+    for name, frame in m.raw.items():
+        frame = frame.orderBy(*frame.columns)  # feeds keep the first of equally new versions, the SQL the smallest
+        if lines:
+            frame.write.json(f"{root}/{name}.jsonl")
+        else:
+            frame.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(_array_lines, "value string").write.text(f"{root}/{name}.json")
+    batch = landing.publish(spark, feeds.read_feeds(spark, root, lines), f"{root}/landing", TABLE_DOMAINS)
+    return _fingerprints(landing.read_batch(spark, f"{root}/landing", batch.batch_id))
+
+
+@query("S1_json_array_feeds", fingerprint_sql(LANDED))
+def _(m, t):
+    """All six feeds as JSON arrays, which many tasks read."""
+    return _landed_feeds(m, lines=False)
+
+
+@query("S1_json_line_feeds", fingerprint_sql(LANDED))
+def _(m, t):
+    """All six feeds as JSON Lines."""
+    return _landed_feeds(m, lines=True)
+
+
+@query(
+    "V1_dataset_set",
+    """select cast(count(*) as bigint) as complete, sum(case when n > 0 then 1 else 0 end)::bigint as with_rows from (
+select count(*) as n from src_accounts union all select count(*) from src_users union all select count(*) from src_subscriptions
+union all select count(*) from src_events union all select count(*) from src_opportunities union all select count(*) from src_marketing)""",
+)
+def _(m, t):
+    """The six tables are the contracted datasets; each that is left out, or one too many, is refused by name."""
+    validation.check_datasets(m.raw)
+    for changed in ({n: f for n, f in m.raw.items() if n != "marketing"}, {**m.raw, "leads": m.raw["accounts"]}):
+        try:
+            validation.check_datasets(changed)
+        except validation.ContractError as e:
+            assert {f[0] for f in e.faults} == set(changed) ^ set(m.raw)
+        else:
+            raise AssertionError("a wrong set of datasets was taken")
+    counts = reduce(DataFrame.unionByName, (f.agg(F.count("*").alias("n")) for f in m.raw.values()))
+    return counts.agg(F.count("*").alias("complete"), F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("with_rows"))
+
+
 @query("S2_S5_published_batch", fingerprint_sql(LANDED))
 def _(m, t):
     """Land and verify; the rows that the files hold."""
