@@ -5,9 +5,10 @@ words of a benchmark item; an item of fewer words, but not none, is one window.
 hashes go to the executors as one sorted array behind a bitmap; document windows found in it are compared
 word by word before they count. Hit positions are unions over all windows.
 
-The broadcast is bounded: the windows are counted first and dealt to as many blocks as keep each
-block below ``block_words`` words; the scan passes the documents through one block after another, so a benchmark
-of any size is handled whole and no more than one block is broadcast at a time. Documents are never shuffled.
+The broadcast is bounded: windows with their items are measured first and dealt by hash to as many blocks as keep each at about
+``block_bytes``, the items of a window that very many share in several of them. With more than one block the documents pass through one
+after another and are written in between, so no more than one block is in the driver and in the tasks at a time and a benchmark of any
+size is handled whole. Documents are never shuffled.
 
 Nulls and odd input: a null or empty text has no words, no hits and is not contaminated. A null or empty
 item has no windows. Windows of items without id count as hits but name no item. Repeated items are one
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subspan.llm.registry import query
-from subspan.llm.tables import named, numbered, table
+from subspan.llm.tables import named, new_path, numbered, remove, stored, table
 from subspan.llm.words import ALPHANUMERIC, Words, slices, span_hashes, window_hashes, words
 
 WINDOW = 13
-BLOCK_WORDS = 20_000_000  # words of windows in one broadcast: 300 MB at most, 13 words a window
+BLOCK_BYTES = 256 << 20  # of the windows and items in one broadcast
+_ROW_BYTES = 200  # that a window or an item takes besides its text
 _BITS = 22
 
 _ADDED = "n_words bigint, hit_spans array<struct<start:bigint,end:bigint>>, hit_items array<string>"
@@ -62,11 +64,11 @@ def _benchmark_windows(size: int):
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The distinct windows with the items that hold them: hash, length, words, items."""
+    """The distinct windows of each item: hash, length, words, item_id."""
     found = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(
         _benchmark_windows(size), "hash long, length int, words string, item_id string"
     )
-    return found.groupBy("hash", "length", "words").agg(F.collect_set("item_id").alias("items"))
+    return found.distinct()
 
 
 class _Index:
@@ -140,23 +142,29 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def scan(
-    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text: str = "text", block_words: int = BLOCK_WORDS
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """``docs`` with its word count, hit word ranges and the items that occur."""
     spark: SparkSession = docs.sparkSession
     taken = {c.lower() for c in docs.columns} & {f.name for f in T.StructType.fromDDL(_ADDED).fields}
     if taken:
         raise ValueError(f"documents already have {sorted(taken)}")
-    known = windows(benchmark, size)
-    total = known.agg(F.sum("length")).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
+    under = new_path(spark, "windows")
+    known = stored(windows(benchmark, size), "known", under)
+    bytes_ = F.octet_length("words") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + _ROW_BYTES
+    blocks = max(1, -(-(known.agg(F.sum(bytes_)).first()[0] or 0) // block_bytes))
     out = docs.withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in T.StructType.fromDDL(_ADDED).fields}
     )
     for block in range(blocks):
-        part = known.where(F.pmod(F.col("hash"), F.lit(blocks)) == block) if blocks > 1 else known
+        part = known.where(F.pmod(F.xxhash64("hash", "item_id"), F.lit(blocks)) == block)
+        part = part.groupBy("hash", "length", "words").agg(F.collect_set("item_id").alias("items"))
         index = spark.sparkContext.broadcast(_Index(part.toLocalIterator()))
         out = out.mapInArrow(_scan(index, text), out.schema)
+        if blocks > 1:
+            out = stored(out, "scanned")
+            index.destroy()
+    remove(spark, under)
     return out
 
 

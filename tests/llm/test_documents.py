@@ -120,15 +120,15 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("block_words", [op5_decontaminate.BLOCK_WORDS, 40])
-def test_hits_are_those_of_brute_force(spark, odd_rows, block_words):
+@pytest.mark.parametrize("block_bytes", [op5_decontaminate.BLOCK_BYTES, 4000])
+def test_hits_are_those_of_brute_force(spark, odd_rows, block_bytes):
     x = prose(20, 40).split()
     docs = [(r[0], r[1]) for r in odd_rows if r[1] is None or len(r[1]) < 50_000]
     docs += [(50, prose(21, 30) + " " + " ".join(x[5:25]).upper() + ". " + prose(22, 500)), (51, " ".join(x[:12])), (52, ", ".join(x))]
     docs += [(53, "three, short  words " * 3), (54, "a nameless item é日本"), (55, " ".join(x[:13] + x[1:14]))]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = op5_decontaminate.judged(op5_decontaminate.scan(frame, benchmark, block_words=block_words)).collect()
+    got = op5_decontaminate.judged(op5_decontaminate.scan(frame, benchmark, block_bytes=block_bytes)).collect()
     got = [(r["doc_id"], r["n_words"], r["n_hit"], tuple(r["hit_items"] or ()), r["contaminated"]) for r in got]
     key = lambda r: str(r)
     assert sorted(got, key=key) == sorted(contamination(docs, ITEMS), key=key)
