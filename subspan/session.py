@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # So many values of an IN filter reach the files' statistics and Bloom filters one by one, not as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Long texts: a batch for a Python worker ends at this size, however few rows it has.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }

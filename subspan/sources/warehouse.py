@@ -27,8 +27,11 @@ from subspan.sources.pointers import point as _point
 from subspan.sources.pointers import sweep as _sweep
 
 AUDIT = "batch_id string, loaded_at timestamp_ntz"
+PUSHED_IDS = 1_000  # event ids of a batch that go to the scan of the stored ones as a filter
+SENT_IDS = 2_000_000  # that are broadcast: some 100 MB
 Days = dict[str, str]  # of a table stored by day: the run whose folder holds a day
 
+
 def load_snapshot(spark: SparkSession, landing_dir: str, batch_id: str, warehouse: str) -> None:
     """Make a verified batch the content of all raw tables at once.
 
@@ -113,14 +116,11 @@ def _write_days(spark: SparkSession, path: str, rows: DataFrame, days: Iterable[
     if not days:
         return dict(before)
     run = uuid.uuid4().hex
-    (
-        rows.where(F.col("day").isin([date.fromisoformat(d) for d in days]))
-        # One day goes to one task, or to several when it is large.
-        .hint("rebalance", "day")
-        .write.option("compression", "zstd")
-        .partitionBy("day")
-        .parquet(f"{path}/data/run={run}")
-    )
+    # One day goes to one task, or to several when it is large. Files are sorted by event and have a Bloom filter of them.
+    rows = rows.where(F.col("day").isin([date.fromisoformat(d) for d in days])).hint("rebalance", "day")
+    write = rows.sortWithinPartitions("day", "event_id").write.option("compression", "zstd").partitionBy("day")
+    blooms = {"parquet.bloom.filter.enabled#event_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    write.options(**blooms).parquet(f"{path}/data/run={run}")
     written = {n.removeprefix("day=") for n in files.children(spark, f"{path}/data/run={run}") if n.startswith("day=")}
     return {d: r for d, r in before.items() if d not in days} | {d: run for d in written}
 
@@ -136,13 +136,27 @@ def _point_days(spark: SparkSession, path: str, days: Days) -> None:
     _sweep(spark, f"{path}/data", {run for state in kept for run in state.values()})
 
 
+def days_with(stored: DataFrame, ids: DataFrame) -> set[date]:
+    """Days of ``stored`` (event_id, day) that hold any of the distinct ``ids`` (event_id).
+
+    Few ids are a filter that the scan gets: statistics and Bloom filters of the files skip what can't hold them. More are broadcast. Either
+    way the stored ids are not shuffled, as they are for a batch beyond ``SENT_IDS``.
+    """
+    few = [r[0] for r in ids.limit(PUSHED_IDS + 1).collect()]
+    if len(few) <= PUSHED_IDS:
+        return {r[0] for r in stored.where(F.col("event_id").isin(few)).select("day").collect()} if few else set()
+    if ids.limit(SENT_IDS + 1).count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+    return {r[0] for r in stored.join(ids, "event_id", "left_semi").select("day").distinct().collect()}
+
+
 def _merge_days(spark: SparkSession, path: str, before: Days, batch: DataFrame, unit: str) -> Days:
     """Merge events into the days they touch: the batch's and those where its event ids already sit."""
     columns = CONTRACTS["events"].columns
     incoming = _with_day(batch.select(*columns), "occurred_at", unit)
-    stored = _read_days(spark, path, before, CONTRACTS["events"].schema)
-    known = stored.select("event_id", "day").join(incoming.select("event_id"), "event_id", "left_semi")
-    days = [r["day"] for r in incoming.select("day").union(known.select("day")).distinct().collect()]
+    days = {r["day"] for r in incoming.select("day").distinct().collect()}
+    others = {d: run for d, run in before.items() if date.fromisoformat(d) not in days}
+    days |= days_with(_read_days(spark, path, others, CONTRACTS["events"].schema), incoming.select("event_id"))
     touched = {d.isoformat(): before[d.isoformat()] for d in days if d.isoformat() in before}
     old = _read_days(spark, path, touched, CONTRACTS["events"].schema)
     return _write_days(spark, path, merge_rows(old, incoming, ["event_id"], "ingested_at"), days, before)

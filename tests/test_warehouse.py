@@ -86,6 +86,48 @@ def test_the_state_before_stays_readable_and_older_folders_go(spark, tmp_path):
     assert len(files.children(spark, f"{path}/data")) == 2
 
 
+def scanned_rows(df):
+    """What the scan of a plan without exchanges gave out."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_stored_ids_are_looked_up_without_a_shuffle(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/events"
+    hours = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("id"), F.lit(20)) * 86400).cast("timestamp_ntz")
+    many = spark.range(40_000).select(
+        F.md5(F.col("id").cast("string")).alias("event_id"), F.lit("U").alias("user_id"), F.lit("A").alias("account_id"),
+        hours.alias("occurred_at"), F.lit("login").alias("event_name"), hours.alias("ingested_at"),
+    )
+    warehouse.upsert_events(spark, path, many)
+    state = warehouse._days_of(spark, path)
+    read = warehouse._read_days(spark, path, state, EVENTS)
+    ids = many.orderBy("event_id").limit(40).select("event_id")
+    some = [r[0] for r in ids.collect()]
+    found = read.where(F.col("event_id").isin(some[0], some[-1])).select("day")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "PushedFilters: [In(event_id" in plan
+    missing = read.where(F.col("event_id").isin([some[0][:16] + "0" * 16])).select("day")
+    assert scanned_rows(missing) == 0  # within the range of ids that a file holds, so a Bloom filter or the page index skipped it
+    want = {r["day"] for r in read.join(ids, "event_id").select("day").collect()}
+    seen = []
+    real = F.broadcast
+    monkeypatch.setattr(warehouse.F, "broadcast", lambda df: seen.append(df) or real(df))
+    for pushed, sent in ((1000, 1000), (5, 1000), (5, 20)):
+        monkeypatch.setattr(warehouse, "PUSHED_IDS", pushed)
+        monkeypatch.setattr(warehouse, "SENT_IDS", sent)
+        assert warehouse.days_with(read, ids) == want
+    assert len(seen) == 1
+    assert warehouse.days_with(read, ids.limit(0)) == set()
+    # A correction finds the day that its event leaves, and only days with one of its events are written again.
+    moved = many.where(F.col("event_id").isin(some[:1])).withColumn("ingested_at", F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz"))
+    moved = moved.withColumn("occurred_at", F.lit(datetime(2024, 2, 9)).cast("timestamp_ntz"))
+    warehouse.upsert_events(spark, path, moved)
+    after = warehouse._days_of(spark, path)
+    assert len({d for d in state if after[d] != state[d]}) == 1 and set(after) - set(state) == {"2024-02-09"}
+    assert warehouse.read_events(spark, path).count() == 40_000
+
+
 @pytest.mark.parametrize("stop_at", ["table", "entry"])
 def test_merge_load_moves_all_tables_or_none(spark, rows, tmp_path, monkeypatch, stop_at):
     store = f"{tmp_path}/store"
