@@ -11,11 +11,13 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subspan.functions.columns import MONEY_SUM, day_bit, mask_dates, mask_days, mask_union, ratio
 from subspan.operators.acquisition import spend_cents
+from subspan.operators.bitmaps import ATTRIBUTES, counted, users_and_days
 from subspan.operators.product import calendar_masks
 from subspan.operators.revenue import GROSS_MARGIN, LTV_MONTHS, MOVEMENTS
 
@@ -26,7 +28,7 @@ EVENT_COLUMNS = ("event_name",)
 
 @dataclass(frozen=True)
 class Star:
-    """The semantic model: two dimensions, four facts. ``usage`` stands for the event fact."""
+    """The semantic model: two dimensions, four facts. ``usage`` stands for the event fact, ``bits`` for its distinct users and accounts."""
 
     account: DataFrame
     calendar: DataFrame
@@ -34,9 +36,11 @@ class Star:
     usage: DataFrame
     funnel: DataFrame
     marketing: DataFrame
+    bits: DataFrame | None = None
 
     @classmethod
-    def of(cls, models) -> Star:
+    def of(cls, models, bits: bool = False) -> Star:
+        """The star of ``models``; with ``bits`` their bitmaps answer the product measures that they can."""
         return cls(
             models.dim_account,
             models.dim_date,
@@ -44,6 +48,7 @@ class Star:
             models.usage,
             models.fct_account_funnel,
             models.fct_marketing_spend,
+            models.usage_bits if bits else None,
         )
 
 
@@ -79,6 +84,18 @@ class Context:
     def event_rows(self) -> DataFrame:
         return self.star.usage if self.events is None else self.star.usage.where(self.events)
 
+    def bit_rows(self, all_events: bool = False) -> DataFrame | None:
+        """The filtered bitmaps; none where the query asks for more of an account than its attributes."""
+        rows = self.star.bits
+        if rows is None or not set(self.account_by) <= set(ATTRIBUTES):
+            return None
+        if self.accounts is not None:
+            try:
+                rows = rows.where(F.col("known") & self.accounts)
+            except AnalysisException:  # a column that the bitmaps lack
+                return None
+        return rows if self.events is None or all_events else rows.where(self.events)
+
     # A fact row whose account or day is missing from the dimension belongs to a blank (NULL)
     # member while nothing filters that dimension, hence left joins there.
 
@@ -163,6 +180,12 @@ def _trailing_churn(ctx: Context) -> DataFrame:
 
 def _active(ctx: Context) -> DataFrame:
     """Distinct users and accounts with an event on any day of the group."""
+    bits = ctx.bit_rows()
+    if bits is not None:
+        days = _between_months(ctx, bits, ctx.date_rows(), "month").withColumnRenamed("day", "_day").drop("month")
+        counts = counted(ctx.with_dates(days, "_day"), list(ctx.by))
+        none = (F.nullif(F.col(column), F.lit(0)).alias(name) for column, name in (("user_id", "active_users"), ("account_id", "retained_accounts")))
+        return counts.select(*ctx.by, *none)
     usage = ctx.event_rows()
     if "date_day" in ctx.date_by:
         usage = _between_months(ctx, usage, ctx.date_rows(), "month")
@@ -222,7 +245,7 @@ def _between_months(ctx: Context, usage: DataFrame, months: DataFrame, column: s
     return usage.where(F.col("month").between(*bounds))
 
 
-def _month_users(ctx: Context, usage: DataFrame, keys: list[str], names: tuple[str, str]) -> DataFrame:
+def _month_users(ctx: Context, all_events: bool, keys: list[str], names: tuple[str, str]) -> DataFrame:
     """Users of each group's reference month and the sum of their active days.
 
     Many date groups may refer to one month, as its days do: a month is counted once and its totals go to all of them.
@@ -230,17 +253,22 @@ def _month_users(ctx: Context, usage: DataFrame, keys: list[str], names: tuple[s
     anchors = _anchor_months(ctx)
     months = anchors.select("_anchor", "calendar_mask").distinct()
     others = [k for k in keys if k not in ctx.date_by]
-    rows = _between_months(ctx, usage, months, "_anchor").join(F.broadcast(months), F.col("month") == F.col("_anchor")).withColumn(
-        "_days", F.col("day_mask").bitwiseAND(F.col("calendar_mask"))
-    )
-    rows = rows.where(F.col("_days") != 0).select("user_id", "account_id", "event_name", "_days", "_anchor")
-    totals = (
-        ctx.with_account(rows)
-        .groupBy(*others, "_anchor", "user_id")
-        .agg(mask_union("_days").alias("_days"))
-        .groupBy(*others, "_anchor")
-        .agg(F.count(F.lit(1)).alias(names[0]), F.sum(mask_days("_days")).alias(names[1]))
-    )
+    bits, usage = ctx.bit_rows(all_events), ctx.star.usage if all_events else ctx.event_rows()
+    source = _between_months(ctx, usage if bits is None else bits, months, "_anchor")
+    rows = source.join(F.broadcast(months), F.col("month") == F.col("_anchor"))
+    if bits is not None:
+        rows = rows.where(day_bit("day").bitwiseAND(F.col("calendar_mask")) != 0)
+        totals = users_and_days(rows, [*others, "_anchor"], names)
+    else:
+        rows = rows.withColumn("_days", F.col("day_mask").bitwiseAND(F.col("calendar_mask")))
+        rows = rows.where(F.col("_days") != 0).select("user_id", "account_id", "event_name", "_days", "_anchor")
+        totals = (
+            ctx.with_account(rows)
+            .groupBy(*others, "_anchor", "user_id")
+            .agg(mask_union("_days").alias("_days"))
+            .groupBy(*others, "_anchor")
+            .agg(F.count(F.lit(1)).alias(names[0]), F.sum(mask_days("_days")).alias(names[1]))
+        )
     if not keys:
         return totals.agg(*(F.max(n).alias(n) for n in names))
     # Anchors: at most one row per calendar day.
@@ -248,13 +276,13 @@ def _month_users(ctx: Context, usage: DataFrame, keys: list[str], names: tuple[s
 
 
 def _mau(ctx: Context) -> DataFrame:
-    return _none_if_empty(_month_users(ctx, ctx.event_rows(), list(ctx.by), ("mau", "user_days")), "mau")
+    return _none_if_empty(_month_users(ctx, False, list(ctx.by), ("mau", "user_days")), "mau")
 
 
 def _mau_all_events(ctx: Context) -> DataFrame:
     keys = [*ctx.account_by, *ctx.date_by]
     return _none_if_empty(
-        _month_users(ctx, ctx.star.usage, keys, ("mau_all_events", "_unused")).drop("_unused"), "mau_all_events"
+        _month_users(ctx, True, keys, ("mau_all_events", "_unused")).drop("_unused"), "mau_all_events"
     )
 
 
@@ -274,7 +302,9 @@ def _grid(ctx: Context) -> DataFrame:
     few and come as one list each, so the accounts' groups unfold in place.
     """
     result = ctx.account_rows().select(*ctx.account_by).distinct() if ctx.account_by else ctx.star.account.sparkSession.range(1).select()
-    lists = [(ctx.date_by, _anchor_months(ctx)), (ctx.event_by, ctx.event_rows())]
+    bits = ctx.bit_rows()
+    events = ctx.event_rows() if bits is None or ctx.accounts is not None else bits
+    lists = [(ctx.date_by, _anchor_months(ctx)), (ctx.event_by, events)]
     for columns, frame in lists:
         if columns:
             groups = frame.select(*columns).distinct().agg(F.collect_list(F.struct(*columns))).scalar()

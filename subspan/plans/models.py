@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from subspan.operators import acquisition, product, revenue, staging
+from subspan.operators import acquisition, bitmaps, product, revenue, staging
 from subspan.session import written
 
 # The models that readers know by name.
@@ -87,6 +87,13 @@ class Models:
         # By month: a measure of one month reads one folder.
         return self._shared("usage", product.usage_base(self.fct_product_event), "month")
 
+    @cached_property
+    def usage_bits(self) -> DataFrame:
+        """Needs a folder: bitmaps are built once and read by many queries."""
+        if self.folder is None:
+            raise ValueError("bitmaps are written tables: give the models a folder")
+        return self._shared("usage_bits", bitmaps.usage_bits(self.usage, self.dim_account, self.folder), "month")
+
     @cached_property
     def fct_account_funnel(self) -> DataFrame:
         funnel = acquisition.fct_account_funnel(
