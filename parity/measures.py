@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from parity.core import query
 from subspan.operators import semantic
 from subspan.operators.measures import Star, measure_query
+from subspan.plans.models import Models
 from subspan.plans.pages import page
+from subspan.session import shared_dir
 
 # Blank members: a fact day outside the calendar has no date row, so its month is NULL.
 DATED_EVENTS = """
@@ -290,6 +294,39 @@ def _(s, m):
     return measure_query(s, ["active_users", "retained_accounts"], ["segment"])
 
 
+def bit_query(name: str, sql: str, **extra: str):
+    """A measure query over models that are written tables, with bitmaps of their usage."""
+
+    def register(fn):
+        def run(m, t):
+            folder = f"{shared_dir(t.spark)}/models-{uuid.uuid4().hex}"
+            return fn(Star.of(Models(m.raw, folder), bits=True))
+
+        query(name, sql, **extra)(run)
+        return fn
+
+    return register
+
+
+@bit_query(
+    "D18_D30_bitmaps_by_segment_and_event",
+    """select segment, event_name, count(distinct user_id) as active_users, count(distinct account_id) as retained_accounts
+       from dated_events group by segment, event_name""",
+    dated_events=DATED_EVENTS,
+)
+def _(s):
+    return measure_query(s, ["active_users", "retained_accounts"], ["segment", "event_name"])
+
+
+@bit_query(
+    "D19_bitmaps_by_segment_and_month",
+    """select segment, month, count(distinct user_id) as mau from dated_events where month is not null group by 1, 2""",
+    dated_events=DATED_EVENTS,
+)
+def _(s):
+    return measure_query(s, ["mau"], ["segment", "month"])
+
+
 @star_query(
     "D18_active_by_day_and_event",
     """select known_day as date_day, event_name, count(distinct user_id) as active_users

@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subspan.functions.columns import MONEY_SUM, day_bit, mask_dates, mask_days, mask_union, ratio
@@ -22,7 +22,8 @@ from subspan.operators.product import calendar_masks
 from subspan.operators.revenue import GROSS_MARGIN, LTV_MONTHS, MOVEMENTS
 
 ACCOUNT_COLUMNS = ("account_id", "signup_date", "segment", "region", "channel", "cohort_month")
-DATE_COLUMNS = ("date_day", "month", "year", "month_number")
+PERIOD = "_which"  # of a day that stands for two periods: see semantic.period_comparison
+DATE_COLUMNS = ("date_day", "month", "year", "month_number", PERIOD)
 EVENT_COLUMNS = ("event_name",)
 
 
@@ -59,6 +60,7 @@ class Context:
     accounts: Column | None = None
     dates: Column | None = None
     events: Column | None = None
+    days: DataFrame | None = None  # the calendar's days as the groups see them, if otherwise
 
     def _of(self, columns: Iterable[str]) -> list[str]:
         return [c for c in self.by if c in columns]
@@ -79,7 +81,8 @@ class Context:
         return self.star.account if self.accounts is None else self.star.account.where(self.accounts)
 
     def date_rows(self) -> DataFrame:
-        return self.star.calendar if self.dates is None else self.star.calendar.where(self.dates)
+        days = self.star.calendar if self.days is None else self.days
+        return days if self.dates is None else days.where(self.dates)
 
     def event_rows(self) -> DataFrame:
         return self.star.usage if self.events is None else self.star.usage.where(self.events)
@@ -127,52 +130,41 @@ class Context:
 # --- revenue --------------------------------------------------------------------------------
 BALANCES = ("mrr", "beginning_mrr", *MOVEMENTS)
 ACCOUNT_FLAGS = ("paying_account", "beginning_account", "churned_account")
+TRAILING = {"churned": "churned_account", "beginning": "beginning_account"}
 
 
-def _revenue_sums(fact: DataFrame, keys: list[str]) -> DataFrame:
-    return fact.groupBy(*keys).agg(
-        *(F.sum(c).cast(MONEY_SUM).alias(c) for c in BALANCES), *(F.sum(c).alias(c) for c in ACCOUNT_FLAGS)
+def _monthly(ctx: Context) -> DataFrame:
+    """Sums of the accounts' groups by month, all months: every date column is a function of the month's first day."""
+    revenue = ctx.star.revenue.withColumn("_period", F.col("month")).withColumnRenamed("month", "_day")
+    return (
+        ctx.with_account(revenue)
+        .groupBy(*ctx.account_by, "_period")
+        .agg(*(F.sum(c).cast(MONEY_SUM).alias(c) for c in BALANCES), *(F.sum(c).alias(c) for c in ACCOUNT_FLAGS))
+        .withColumn("_day", F.col("_period"))
     )
 
 
-def _latest_revenue(ctx: Context) -> DataFrame:
+def _latest(ctx: Context, monthly: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Balances are not additive over months: each group shows its last month's sums."""
-    monthly = _revenue_sums(ctx.with_dates(_with_period(ctx), "_day"), [*ctx.by, "_period"])
-    return monthly.groupBy(*ctx.by).agg(
-        F.max_by(F.struct(*BALANCES, *ACCOUNT_FLAGS), "_period").alias("_last"), F.max("_period").alias("_period")
-    )
-
-
-def _with_period(ctx: Context) -> DataFrame:
-    revenue = ctx.star.revenue.withColumn("_period", F.col("month")).withColumnRenamed("month", "_day")
-    return ctx.with_account(revenue)
+    last = F.max_by(F.struct(*columns), "_period").alias("_last")
+    return ctx.with_dates(monthly, "_day").groupBy(*ctx.by).agg(last).select(*ctx.by, "_last.*")
 
 
 def _revenue(ctx: Context) -> DataFrame:
-    return _latest_revenue(ctx).select(*ctx.by, "_last.*")
+    return _latest(ctx, _monthly(ctx), (*BALANCES, *ACCOUNT_FLAGS))
 
 
-def _trailing_churn(ctx: Context) -> DataFrame:
-    """Churned and beginning accounts over the calendar months ending at the group's last month.
+def _revenue_and_churn(ctx: Context) -> DataFrame:
+    """The revenue family with churned and beginning accounts over the calendar months ending at the group's last month.
 
-    Date filters are lifted for it, account filters stay. The window is joined by equality on
-    each of its months.
+    The trailing sums are a frame over the groups' months, a row each, before any date filter; account filters apply.
     """
-    everything = replace(ctx, by=tuple(ctx.account_by), dates=None)
-    in_calendar = F.broadcast(ctx.star.calendar.select(F.col("date_day").alias("_day")))
-    monthly = (
-        _with_period(everything)
-        .join(in_calendar, "_day", "left_semi")
-        .groupBy(*ctx.account_by, "_period")
-        .agg(F.sum("churned_account").alias("churned"), F.sum("beginning_account").alias("starting"))
-    )
-    window = F.array(*(F.add_months("_period", -i) for i in range(LTV_MONTHS)))
-    wanted = _latest_revenue(ctx).select(*ctx.by, F.explode(window).alias("_period"))
-    return (
-        null_safe_join(wanted, monthly, [*ctx.account_by, "_period"], "inner")
-        .groupBy(*ctx.by)
-        .agg(F.sum("churned").alias("trailing_churned"), F.sum("starting").alias("trailing_beginning"))
-    )
+    month = F.year("_period") * 12 + F.month("_period")
+    trailing = Window.partitionBy(*ctx.account_by).orderBy(month).rangeBetween(1 - LTV_MONTHS, 0)
+    known = F.broadcast(ctx.star.calendar.select(F.col("date_day").alias("_day"), F.lit(True).alias("_known")))
+    sums = {f"trailing_{name}": F.sum(F.when(F.col("_known"), F.col(column))).over(trailing) for name, column in TRAILING.items()}
+    monthly = _monthly(ctx).join(known, "_day", "left").withColumns(sums)
+    return _latest(ctx, monthly, (*BALANCES, *ACCOUNT_FLAGS, *sums))
 
 
 # --- product --------------------------------------------------------------------------------
@@ -182,7 +174,9 @@ def _active(ctx: Context) -> DataFrame:
     """Distinct users and accounts with an event on any day of the group."""
     bits = ctx.bit_rows()
     if bits is not None:
-        days = _between_months(ctx, bits, ctx.date_rows(), "month").withColumnRenamed("day", "_day").drop("month")
+        if ctx.date_by or ctx.dates is not None:
+            bits = _between_months(ctx, bits, ctx.date_rows(), "month")
+        days = bits.withColumnRenamed("day", "_day").drop("month")
         counts = counted(ctx.with_dates(days, "_day"), list(ctx.by))
         none = (F.nullif(F.col(column), F.lit(0)).alias(name) for column, name in (("user_id", "active_users"), ("account_id", "retained_accounts")))
         return counts.select(*ctx.by, *none)
@@ -369,7 +363,7 @@ class Family:
 
 FAMILIES = {
     "revenue": Family(_revenue, ACCOUNT_COLUMNS + DATE_COLUMNS),
-    "trailing": Family(_trailing_churn, ACCOUNT_COLUMNS + DATE_COLUMNS),
+    "revenue_and_churn": Family(_revenue_and_churn, ACCOUNT_COLUMNS + DATE_COLUMNS),
     "active": Family(_active, ACCOUNT_COLUMNS + DATE_COLUMNS + EVENT_COLUMNS),
     "mau": Family(_mau, ACCOUNT_COLUMNS + DATE_COLUMNS + EVENT_COLUMNS),
     "mau_all_events": Family(_mau_all_events, ACCOUNT_COLUMNS + DATE_COLUMNS),
@@ -431,7 +425,7 @@ MEASURES: dict[str, Measure] = {
     "logo_churn": Measure(("revenue",), lambda: ratio("churned_account", "beginning_account")),
     "arpa": Measure(("revenue",), _arpa),
     "modeled_ltv": Measure(
-        ("revenue", "trailing"),
+        ("revenue_and_churn",),
         lambda: ratio(_arpa() * GROSS_MARGIN, ratio("trailing_churned", "trailing_beginning")),
     ),
     "mrr_reconciliation": Measure(("revenue",), _reconciliation),
@@ -486,19 +480,22 @@ def measure_query(
     accounts: Column | None = None,
     dates: Column | None = None,
     events: Column | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """``by`` columns and one column per measure; groups where all are blank are left out.
 
     ``accounts``, ``dates`` and ``events`` filter the account dimension, the calendar and the
-    event names. A measure that some ``by`` column does not reach repeats over that column, for
+    event names. ``days`` are the calendar's days with other date columns, several rows a day if a day belongs to several groups. A measure that some ``by`` column does not reach repeats over that column, for
     the groups the other measures have.
     """
     by, measures = tuple(by), list(measures)
     unknown = [c for c in by if c not in ACCOUNT_COLUMNS + DATE_COLUMNS + EVENT_COLUMNS]
     if unknown:
         raise ValueError(f"not a column of the star: {unknown}")
-    ctx = Context(star, by, accounts, dates, events)
+    ctx = Context(star, by, accounts, dates, events, days)
     needed = [f for f in FAMILIES if any(f in MEASURES[m].families for m in measures)]
+    if "revenue_and_churn" in needed:  # it has all of the other
+        needed = [f for f in needed if f != "revenue"]
     reached = {f: [c for c in by if c in FAMILIES[f].reach] for f in needed}
     whole = [f for f in needed if len(reached[f]) == len(by)]
     if not whole:

@@ -9,24 +9,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subspan.functions.columns import ratio
-from subspan.operators.measures import DATE_COLUMNS, Star, measure_query, merge_groups
+from subspan.operators.measures import DATE_COLUMNS, PERIOD, Star, measure_query
 
 # The metrics of the selector, in its order.
 SELECTABLE = ("mrr", "arr", "nrr", "mau")
 
 
-def _month_before(calendar: DataFrame, shown: Column | None) -> DataFrame:
-    """The calendar as the month before sees it: a day bears the year and month number of the month after its own.
-
-    ``_shown`` marks the days whose following month is shown. ``month`` stays the day's own, since facts meet it.
-    """
+def _two_periods(calendar: DataFrame, shown: Column | None) -> DataFrame:
+    """The shown days, and the days of the month before each shown month as that month sees them: a day bears the year and month number of the
+    month after its own. ``month`` stays the day's own, since facts meet it."""
+    current = calendar if shown is None else calendar.where(shown)
     after = F.add_months("month", 1)
-    months = (calendar if shown is None else calendar.where(shown)).select(F.add_months("month", -1).alias("_before")).distinct()
-    return (
-        calendar.join(months, F.col("month") == F.col("_before"), "left")  # Spark sees that months are few
-        .withColumns({"year": F.year(after), "month_number": F.month(after), "_shown": F.col("_before").isNotNull()})
-        .drop("_before")
-    )
+    months = current.select(F.add_months("month", -1).alias("_before")).distinct()
+    before = calendar.join(months, F.col("month") == F.col("_before"), "left_semi")  # Spark sees that months are few
+    before = before.withColumns({"year": F.year(after), "month_number": F.month(after)})
+    return current.withColumn(PERIOD, F.lit(0)).unionByName(before.withColumn(PERIOD, F.lit(1)))
 
 
 def period_comparison(star: Star, measure: str, by: Iterable[str] = ("month",), **filters: Column) -> DataFrame:
@@ -35,24 +32,28 @@ def period_comparison(star: Star, measure: str, by: Iterable[str] = ("month",),
     The earlier value of a group is the measure over the group's months moved back by one, within the calendar. So a year's
     is that of December to November, and without date columns all shown months move. A date filter says which months are
     shown; the month before may lie outside of it. Months move whole, so single days can't be compared.
+
+    One measure query gives both: a day is in its own period and, moved, in the next one, and the period is one more column of the grouping.
     """
     by = list(by)
     if "date_day" in by:
         raise ValueError("periods are whole months: group by month, month_number or year")
     shown = filters.pop("dates", None)
-    current = measure_query(star, [measure], by, dates=shown, **filters).withColumnRenamed(measure, "current")
-    earlier = replace(star, calendar=_month_before(star.calendar, shown))
-    previous = measure_query(earlier, [measure], by, dates=F.col("_shown"), **filters)
-    if "month" in by:
-        previous = previous.withColumn("month", F.add_months("month", 1))
-    previous = previous.withColumnRenamed(measure, "previous_month")
     dated = [c for c in by if c in DATE_COLUMNS]
-    both = merge_groups([current, previous], by)
-    if dated:  # facts outside the calendar have no period
-        both = both.where(F.col(dated[0]).isNotNull())
+    days = _two_periods(star.calendar, shown)
+    # Facts outside the calendar have no period, but count in a total that no date limits.
+    within = F.lit(True) if dated or shown is not None else F.col(PERIOD) == 1
+    found = measure_query(star, [measure], [*by, PERIOD], dates=within, days=days, **filters)
+    if "month" in by:
+        found = found.withColumn("month", F.when(F.col(PERIOD) == 1, F.add_months("month", 1)).otherwise(F.col("month")))
+    if not dated and shown is None:
+        total = measure_query(star, [measure], by, **filters).withColumn(PERIOD, F.lit(0))
+        found = found.unionByName(total)
+    periods = {"current": 0, "previous_month": 1}
+    both = found.groupBy(*by).agg(*(F.max(F.when(F.col(PERIOD) == k, F.col(measure))).alias(name) for name, k in periods.items()))
     value, before = F.col("current"), F.col("previous_month")
     change = ratio(F.coalesce(value, F.lit(0)) - before, before)
-    return both.select(*by, "current", "previous_month", change.alias("mom_change"))
+    return both.select(*by, *periods, change.alias("mom_change"))
 
 
 def metric_selector(star: Star, by: Iterable[str] = ("month",), metrics: Iterable[str] = SELECTABLE, **filters) -> DataFrame:

@@ -23,7 +23,7 @@ def stars(spark, tmp_path_factory):
     odd = [
         {**first, "event_id": "X1", "account_id": "A0001"},  # a user of two accounts
         {**first, "event_id": "X2", "account_id": "missing", "user_id": "stranger"},
-        {**first, "event_id": "X3", "occurred_at": datetime(2023, 12, 5), "ingested_at": datetime(2023, 12, 6)},  # before the calendar
+        {**first, "event_id": "X3", "user_id": "early", "occurred_at": datetime(2023, 12, 5), "ingested_at": datetime(2023, 12, 6)},  # before the calendar
         {**first, "event_id": "X4", "occurred_at": datetime(2024, 3, 31, 5), "user_id": "other"},
     ]
     rows["events"] = rows["events"] + odd

@@ -145,3 +145,23 @@ def test_every_page_runs(star, name):
     for visual, (by, measures) in PAGES[name].items():
         df = page(star, name, visual)
         assert df.columns == [*by, *measures] and df.count() >= 1
+
+
+def leaves(df):
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_both_periods_come_of_one_aggregation(star):
+    shown = F.col("month_number") > 2
+    for measure, filters in (("mrr", {}), ("mau", {}), ("mrr", {"dates": shown})):
+        one = leaves(measure_query(star, [measure], ["segment", "month"], **filters))
+        # The calendar is read for the shown months, the months before and the list of those.
+        calendar = leaves(star.calendar)
+        assert leaves(semantic.period_comparison(star, measure, ["segment", "month"], **filters)) <= one + 6 * calendar
+    assert leaves(semantic.period_comparison(star, "mrr", ["segment", "month"])) < 2 * leaves(measure_query(star, ["mrr"], ["segment", "month"])) + 3 * leaves(star.calendar)
+
+
+def test_churn_over_months_reads_revenue_once(star):
+    plan = measure_query(star, ["modeled_ltv", "mrr", "nrr"], ["segment"])._jdf.queryExecution().optimizedPlan().toString()
+    fact = star.revenue._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == fact.count("Window [") + 1  # and the frame of trailing months
