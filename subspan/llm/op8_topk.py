@@ -1,7 +1,7 @@
 """Exact top-k search (8): a pivot-distance index whose annuli are expanded under triangle-inequality bounds.
 
-Vectors become integers floor(256 x). The index keys each by its nearest of ``PIVOTS`` pivots (means of a bounded sample) and its
-distance to it. Range partitioning by that key and sorting within it gives blocks of up to ``BLOCK`` vectors; each is an annulus of
+Vectors become integers floor(256 x). The index keys each by its nearest pivot (means of a bounded sample; one for ``PER_PIVOT`` vectors, ``PIVOTS``
+at least and ``MOST_PIVOTS`` at most) and its distance to it. Range partitioning by that key and sorting within it gives blocks of up to ``BLOCK`` vectors; each is an annulus of
 one pivot, with the smallest and largest distance and the largest norm that it holds. However many vectors share a
 pivot or a distance, ranges also split by a hash of the id.
 
@@ -16,8 +16,8 @@ Scores are exact: sums are made in floating-point numbers where none can pass th
 limited to 64 bits.
 
 Nulls and odd input: a vector that is null or holds a null or non-finite component takes no part. Vectors of other lengths
-are padded with zeros. Rows of the query's own id are no candidates. A repeated id is a candidate with each of its rows;
-as a query it is one query with its smallest vector. Fewer than k candidates: all. Extra columns are not read.
+are padded with zeros. Rows of the query's own id are no candidates. A repeated id is a candidate with each of its rows, and a query with
+each: its ranks then occur once for each row. Fewer than k candidates: all. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from subspan.llm.registry import query
 from subspan.llm.tables import stored, table
 
 PIVOTS, SAMPLE, ROUNDS = 64, 4096, 4
+PER_PIVOT, MOST_PIVOTS = 16_384, 1024
 BLOCK, QUERIES = 1024, 256
 _SLACK = 1e-5  # bounds are floating-point numbers; they are widened by this share
 _BLOCKS = "pivot int, lo double, hi double, norm double, ids binary, vectors binary"
@@ -83,12 +84,14 @@ class Model:
         return bound + _SLACK * (1 + squares + norm**2)
 
 
-def fit(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> Model:
-    """Pivots from the ``sample`` rows of smallest id hash."""
+def fit(vectors: DataFrame, pivots: int | None = None, sample: int = SAMPLE) -> Model:
+    """Pivots from the ``sample`` rows of smallest id hash, or eight for a pivot if that is more."""
     size = F.max(F.size("v")).alias("width")
     finite = F.filter("v", lambda x: F.abs(x) < 1e30)
     most = F.max(F.greatest(F.array_max(finite), -F.array_min(finite))).alias("most")
-    form = vectors.agg(size, most).first()
+    form = vectors.agg(size, most, F.count(F.lit(1)).alias("n")).first()
+    pivots = pivots or min(max(form["n"] // PER_PIVOT, PIVOTS), MOST_PIVOTS)
+    sample = max(sample, 8 * pivots)
     width = max(form["width"] or 1, 1)
     dtype = "<f4" if 256 * (form["most"] or 0) < 2**23 else "<f8"
     rows = vectors.orderBy(F.xxhash64("id"), "id", "v").limit(sample).select("v").toArrow()
@@ -148,10 +151,10 @@ def _annulus(held: list) -> pa.RecordBatch:
 
 
 def _asked(held: list) -> pa.RecordBatch:
-    """held: pivot, id, row, floor."""
-    columns = [pa.array([held[0][0]], pa.int32()), _ids(held, 1), pa.array([b"".join(x[2] for x in held)], pa.binary())]
-    columns.append(pa.array([np.array([x[3] for x in held], dtype="<f8").tobytes()], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, names=["pivot", "q_ids", "q_vectors", "floors"])
+    """held: pivot, id, number, row, floor."""
+    columns = [pa.array([held[0][0]], pa.int32()), _ids(held, 1), _ids(held, 2), pa.array([b"".join(x[3] for x in held)], pa.binary())]
+    columns.append(pa.array([np.array([x[4] for x in held], dtype="<f8").tobytes()], pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names=["pivot", "q_ids", "q_numbers", "q_vectors", "floors"])
 
 
 def _routed(shared, pivots):
@@ -160,14 +163,15 @@ def _routed(shared, pivots):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (numbers, lo, hi, norm) = shared.value, pivots.value
         for batch in batches:
-            for ids, vectors, floors in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_vectors", "floors")), strict=True):
+            for ids, asked, vectors, floors in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_numbers", "q_vectors", "floors")), strict=True):
                 q, who, least = model.read(vectors), np.frombuffer(ids, dtype="<i8"), np.frombuffer(floors, dtype="<f8")
+                asked = np.frombuffer(asked, dtype="<i8")
                 near = model.reach(q, numbers, lo, hi, norm) >= least[:, None]
                 for k in np.flatnonzero(near.any(axis=0)):
                     some = near[:, k]
-                    parts = [pa.array([v[some].tobytes()], pa.binary()) for v in (who, q, least)]
+                    parts = [pa.array([v[some].tobytes()], pa.binary()) for v in (who, asked, q, least)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(numbers[k])], pa.int32()), *parts], names=["pivot", "q_ids", "q_vectors", "floors"]
+                        [pa.array([int(numbers[k])], pa.int32()), *parts], names=["pivot", "q_ids", "q_numbers", "q_vectors", "floors"]
                     )
 
     return run
@@ -188,12 +192,13 @@ def _searched(shared, k: int, home: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        names = ("pivot", "lo", "hi", "norm", "ids", "vectors", "q_ids", "q_vectors", "floors")
+        names = ("pivot", "lo", "hi", "norm", "ids", "vectors", "q_ids", "q_numbers", "q_vectors", "floors")
         for batch in batches:
             found: list[np.ndarray] = []
             for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                pivot, lo, hi, norm, ids, vectors, q_ids, q_vectors, floors = row
+                pivot, lo, hi, norm, ids, vectors, q_ids, q_numbers, q_vectors, floors = row
                 q, who, least = model.read(q_vectors), np.frombuffer(q_ids, dtype="<i8"), np.frombuffer(floors, dtype="<f8")
+                asked = np.frombuffer(q_numbers, dtype="<i8")
                 if home:
                     d = model.distances(q)[:, pivot]
                     some = (d >= lo - _SLACK * (1 + lo)) & (d <= hi + _SLACK * (1 + hi))
@@ -201,7 +206,7 @@ def _searched(shared, k: int, home: bool):
                     some = model.reach(q, np.array([pivot]), lo, hi, norm)[:, 0] >= least
                 if not some.any():
                     continue
-                q, who, least = q[some], who[some], least[some]
+                q, who, asked, least = q[some], who[some], asked[some], least[some]
                 ids = np.frombuffer(ids, dtype="<i8")
                 order = np.argsort(ids, kind="stable")  # equal scores then stand in order of their ids
                 ids, scores = ids[order], products(q, model.read(vectors)[order])
@@ -215,9 +220,9 @@ def _searched(shared, k: int, home: bool):
                     kept = np.ones(scores.shape, dtype=bool)
                 kept &= (who[:, None] != ids) & (scores >= least[:, None])
                 r, c = np.nonzero(kept)
-                found.append(np.stack((who[r], ids[c], scores[r, c])))
-            every = np.concatenate(found, axis=1) if found else np.empty((3, 0), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in every], names=["query_id", "vec_id", "score"])
+                found.append(np.stack((who[r], asked[r], ids[c], scores[r, c])))
+            every = np.concatenate(found, axis=1) if found else np.empty((4, 0), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in every], names=["query_id", "number", "vec_id", "score"])
 
     return run
 
@@ -234,40 +239,39 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embe
     index = stored(index.select("pivot", "lo", "hi", "norm", "ids", "vectors"), "index")
     known = index.groupBy("pivot").agg(F.min("lo"), F.max("hi"), F.max("norm")).orderBy("pivot").collect()  # PIVOTS rows
     pivots = share(tuple(np.array([r[c] for r in known], dtype=int if c == 0 else float) for c in range(4)))
-    asked = keyed.where(is_query).groupBy("id").agg(F.min(F.struct("row", "pivot")).alias("x")).select("id", "x.row", "x.pivot")
-    asked = stored(asked, "queries")
+    asked = stored(keyed.where(is_query).select("id", F.monotonically_increasing_id().alias("number"), "row", "pivot"), "queries")
 
     def blocks(queries: DataFrame) -> DataFrame:
         near = queries.repartitionByRange("pivot", "id").sortWithinPartitions("pivot")
-        form = "pivot int, q_ids binary, q_vectors binary, floors binary"
-        return near.mapInArrow(_packed(("pivot", "id", "row", "floor"), QUERIES, _asked), form)
+        form = "pivot int, q_ids binary, q_numbers binary, q_vectors binary, floors binary"
+        return near.mapInArrow(_packed(("pivot", "id", "number", "row", "floor"), QUERIES, _asked), form)
 
     def searched(routed: DataFrame, home: bool) -> DataFrame:
         met = index.join(routed, "pivot")
-        found = met.mapInArrow(_searched(model, k, home), "query_id long, vec_id long, score long")
-        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        found = met.mapInArrow(_searched(model, k, home), "query_id long, number long, vec_id long, score long")
+        order = Window.partitionBy("number").orderBy(F.col("score").desc(), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     lowest = F.lit(float("-inf"))
     first = stored(searched(blocks(asked.withColumn("floor", lowest)), True).where(F.col("rank") == k), "floors")
-    floors = first.select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
-    raised = blocks(asked.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", lowest)))
+    floors = first.select("number", F.col("score").cast("double").alias("floor"))
+    raised = blocks(asked.join(floors, "number", "left").withColumn("floor", F.coalesce("floor", lowest)))
     routed = raised.mapInArrow(_routed(model, pivots), raised.schema)
     return searched(routed, False).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
 with v as (
-    select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+    select row_number() over () as number, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
     from embeddings
     where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 scored as (
-    select q.vec_id as query_id, x.vec_id,
+    select q.number, q.vec_id as query_id, x.vec_id,
            cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * x.e[i])) as bigint) as score
     from v q join v x on q.vec_id % 50 = 0 and q.vec_id <> x.vec_id
 ),
-ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+ranked as (select *, row_number() over (partition by number order by score desc, vec_id) as rank from scored)
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
 """
 
