@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -38,9 +38,10 @@ class Models:
 
     raw: Mapping[str, DataFrame]
     folder: str | None = None
+    watch: Callable[[str, DataFrame], DataFrame] = lambda name, df: df  # sees a shared model before it is written
 
     def _shared(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        return written(df, f"{self.folder}/{name}", partition_by) if self.folder else df
+        return written(self.watch(name, df), f"{self.folder}/{name}", partition_by) if self.folder else df
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:

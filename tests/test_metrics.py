@@ -170,3 +170,34 @@ def test_failing_check_leaves_the_earlier_build(spark, rows, tmp_path):
     assert set(e.value.failing) == {"unique dim_user.user_id"}
     assert built(spark, folder)["dim_user"].count() == before
     assert len(list((tmp_path / "marts" / "builds").iterdir())) == 1
+
+
+def test_counts_of_a_build_are_those_of_the_single_checks(spark, golden, rows, tmp_path):
+    """All 22 checks, on marts that break every rule: metrics of writes and one aggregate of keys against the failing rows of each."""
+    from types import SimpleNamespace
+
+    from subspan.plans.models import MARTS
+
+    def twice(df, **changed):
+        return df.unionByName(df.limit(2).withColumns({c: F.expr(v).cast(df.schema[c].dataType) for c, v in changed.items()}))
+
+    bad = {name: getattr(golden, name) for name in MARTS}
+    bad["dim_date"] = twice(bad["dim_date"], date_day="null").where("date_day is null or date_day <> date'2024-02-10'")
+    bad["dim_user"] = twice(twice(bad["dim_user"]), account_id="'none'")
+    bad["fct_product_event"] = twice(twice(twice(bad["fct_product_event"], account_id="null"), account_id="'gone'"), event_id="null")
+    bad["fct_account_funnel"] = twice(bad["fct_account_funnel"], qualified="2", account_id="'lost'")
+    bad["fct_account_month"] = twice(twice(bad["fct_account_month"], mrr="-5"))
+    bad["mart_revenue_monthly"] = twice(bad["mart_revenue_monthly"], grr="1.5")
+    bad["mart_product_monthly"] = twice(bad["mart_product_monthly"], stickiness="-1")
+    bad["mart_feature_adoption"] = twice(bad["mart_feature_adoption"], adoption_rate="2")
+    bad["mart_cohort_retention"] = twice(bad["mart_cohort_retention"], cohort_age="-1")
+    for models in (golden, SimpleNamespace(**bad)):
+        single = {r["check"]: r["failing"] for r in checks.failure_counts(checks.all_checks(models)).collect()}
+        found = checks.key_counts(models).first().asDict()
+        for name in MARTS:
+            metrics = checks.row_metrics(name)
+            if metrics:
+                for check, n in getattr(models, name).agg(*metrics).first().asDict().items():
+                    found[check] = found.get(check, 0) + n
+        assert found == single and len(found) == 22
+        assert models is golden or sum(n > 0 for n in found.values()) >= 16
