@@ -1,5 +1,6 @@
 """The trained operators: gradients, held-out accuracy, odd input."""
 
+import re
 import zlib
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from subspan.llm import op1_quality, op2_toxicity, op7_language
 from subspan.llm.learning import fold, sample
 from subspan.llm.queries import QUERIES
+from subspan.llm.words import mix, span_hashes
 from tests.llm.conftest import prose
 
 FOLDER = "/root/testdata/sf0.01"
@@ -146,3 +148,112 @@ def test_languages_of_odd_input(spark, odd, no_docs):
 def test_folds(spark):
     got = spark.createDataFrame([(7,), (None,)], "doc_id long").select(fold("doc_id", 3, zlib.crc32(b"7") % 3).alias("f")).collect()
     assert [r["f"] for r in got] == [True, False]
+
+
+# --- the same scores by loops over passages, windows and languages -----------------------------
+def hash_of(word: bytes) -> int:
+    return int(span_hashes(np.frombuffer(word, dtype=np.uint8), np.array([0]), np.array([len(word)]))[0])
+
+
+TEXTS = [None, "", " \n", "One word", prose(3, 200), "Und, noch! 123 ÄÖ é日本 &&& " * 40, "same same same " * 50, prose(4, 64), prose(5, 65), "x" * 3000]
+
+
+def slow_quality(net, text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    if not words:
+        return 0.0
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text.encode())]
+    embedded, raw = [], []
+    for i in range(0, len(words), op1_quality.PASSAGE):
+        own, at = words[i : i + op1_quality.PASSAGE], spans[i : i + op1_quality.PASSAGE]
+        whole = text.encode()[at[0][0] : at[-1][1]]
+        shares = [0.0] * op1_quality._CLASSES
+        for byte in whole:
+            kind = next((k for k, group in enumerate(op1_quality._GROUPS) if byte in group), op1_quality._CLASSES - 1)
+            shares[kind] += 1 / len(whole)
+        lengths = [len(w) for w in own]
+        mean = sum(lengths) / len(own)
+        spread = (sum(n * n for n in lengths) / len(own) - mean**2) ** 0.5 if len(set(lengths)) > 1 else 0.0
+        same = sum(a == b for a, b in zip(own, own[1:], strict=False)) / len(own)
+        x = np.array([s**0.5 for s in shares] + [np.log1p(mean), np.log1p(spread), same, len(set(own)) / len(own), np.log(len(own))])
+        e = np.tanh(((x - net.centre) / net.spread) @ net.p["w"] + net.p["b"])
+        embedded.append(e)
+        gate = 1 / (1 + np.exp(-(e @ net.p["g"])))
+        raw.append(float((np.tanh(e @ net.p["t"]) * gate) @ net.p["a"]))
+    weights = np.exp(np.array(raw) - max(raw))
+    pooled = sum(w * e for w, e in zip(weights / weights.sum(), embedded, strict=True))
+    odds = float(pooled @ net.p["o"] + net.p["c"][0])
+    return 1 / (1 + np.exp(-(net.slope * odds + net.shift)))
+
+
+def slow_toxicity(net, text):
+    words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()))
+    if not words:
+        return 0.0
+    h, e = op2_toxicity.HIDDEN, op2_toxicity.EMBEDDED
+
+    def embedded(word):
+        framed = b"\x01" + word + b"\x01"
+        grams = [framed[i] | framed[i + 1] << 8 | framed[i + 2] << 16 for i in range(len(word))]
+        for n in op2_toxicity.BEGINNINGS:
+            if len(word) >= n:
+                grams.append((int.from_bytes(word[:n], "little") + (n << 59 | n * 0x9E3779B97F4A7C1)) % 2**64)
+        at = [int(mix(np.array([g], dtype=np.uint64))[0]) >> 40 for g in grams]
+        mean = np.mean([net.p["gram"][k % op2_toxicity.GRAMS] for k in at], axis=0)
+        return np.concatenate((net.p["word"][(hash_of(word) >> 40) % op2_toxicity.WORDS], mean))
+
+    def sigma(x):
+        return 1 / (1 + np.exp(-x))
+
+    best = None
+    for start in range(0, max(1, len(words) - op2_toxicity.LENGTH + op2_toxicity.STRIDE), op2_toxicity.STRIDE):
+        inputs = [embedded(w) for w in words[start : start + op2_toxicity.LENGTH]]
+        states = [np.zeros(0)] * len(inputs)
+        for d in "fb":
+            state, own = np.zeros(h), {}
+            for t in range(len(inputs)) if d == "f" else reversed(range(len(inputs))):
+                g, u = inputs[t] @ net.p[f"x{d}"] + net.p[f"c{d}"], state @ net.p[f"h{d}"] + net.p[f"d{d}"]
+                r, z = sigma(g[:h] + u[:h]), sigma(g[h : 2 * h] + u[h : 2 * h])
+                new = np.tanh(g[2 * h :] + r * u[2 * h :])
+                state = (1 - z) * new + z * state
+                own[t] = state
+            states = [np.concatenate((s, own[t])) for t, s in enumerate(states)]
+        scores = np.array([float(np.tanh(s @ net.p["a"] + net.p["k"]) @ net.p["v"]) for s in states])
+        weights = np.exp(scores - scores.max())
+        pooled = sum(w * s for w, s in zip(weights / weights.sum(), states, strict=True))
+        odds = float(pooled @ net.p["o"] + net.p["b"][0])
+        best = odds if best is None else max(best, odds)
+    assert len(inputs[0]) == 2 * e
+    return float(sigma(net.slope * best + net.shift))
+
+
+@pytest.mark.parametrize(("module", "slow"), [(op1_quality, slow_quality), (op2_toxicity, slow_toxicity)])
+def test_scores_are_those_of_brute_force(spark, module, slow):
+    learned = [prose(100 + k, 90) for k in range(12)] + ["bad word " * 30 + prose(200 + k, 30) for k in range(12)]
+    net = module.train(learned, np.array([1.0] * 12 + [0.0] * 12))
+    docs = spark.createDataFrame(list(enumerate(TEXTS + learned[:3])), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["p"] for r in module.scored(docs, net, name="p").collect()}
+    for k, text in enumerate(TEXTS + learned[:3]):
+        assert got[k] == pytest.approx(slow(net, text), rel=2e-3, abs=1e-4), k
+
+
+def test_languages_are_those_of_brute_force(spark):
+    import zstandard
+
+    body = {"de": "der hund und die katze schlafen nicht ", "fr": "le chien avec une souris mange toujours ", "en": "the dog and the mouse never sleep "}
+    learned = op7_language.dictionaries(spark.createDataFrame([(k, b * 20, lang) for k, (lang, b) in enumerate(body.items())], "doc_id long, text string, lang string"))
+    texts = [*body.values(), "the hund avec " * 9, "", None, "12 34", "DER Hund!", "the dog " * 3000, "é"]
+    rows = op7_language.predicted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), learned).collect()
+    for r in rows:
+        words = " ".join("".join(c if c.isalpha() else " " for c in (texts[r["doc_id"]] or "").lower()).split())
+        if not words:
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        sizes = {}
+        for lang in sorted(learned):
+            content = zstandard.ZstdCompressionDict(learned[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            own = zstandard.ZstdCompressor(level=op7_language.LEVEL, dict_data=content, write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes[lang] = sum(len(own.compress(words[i : i + op7_language.PIECE].encode())) for i in range(0, len(words), op7_language.PIECE))
+        least = sorted(sizes.values())
+        assert sizes[r["lang_pred"]] == least[0] and r["margin"] == pytest.approx((least[1] - least[0]) / least[1])
+        assert r["rejected"] == (r["margin"] < op7_language.MARGIN)
