@@ -4,6 +4,8 @@ import json
 from copy import deepcopy
 from datetime import date, datetime, timedelta
 
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -143,6 +145,27 @@ def test_tampered_batch_is_rejected_before_load(spark, rows, tmp_path):
     assert not files.exists(spark, store)
 
 
+def test_the_changed_file_is_named(spark, rows, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        batch = publish(spark, rows, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    folder = tmp_path / "data" / batch.run / "subscriptions"
+    parts = sorted(folder.glob("*.parquet"))
+    assert len(parts) > 2 and landing.verify(spark, str(tmp_path), batch.batch_id) == batch
+    lanes = spark.read.parquet(f"{tmp_path}/lanes/{batch.run}").where("dataset = 'subscriptions'")
+    assert lanes.count() == sum(pq.read_metadata(f).num_rows > 0 for f in parts) and lanes.agg(F.sum("rows")).first()[0] == len(rows["subscriptions"])
+    changed = max(parts, key=lambda f: pq.read_metadata(f).num_rows)
+    table = pq.read_table(changed)
+    cents = pc.add(table.column("amount_cents"), 1)
+    for extra in folder.glob(".*.crc"):
+        extra.unlink()
+    pq.write_table(table.set_column(table.schema.get_field_index("amount_cents"), "amount_cents", cents), changed)
+    with pytest.raises(ChecksumError, match=f"^checksum mismatch: subscriptions .1 files, e.g. {changed.name}.$"):
+        landing.verify(spark, str(tmp_path), batch.batch_id)
+
+
 def as_json(rows):
     return {n: [{k: v.isoformat() if hasattr(v, "isoformat") else v for k, v in r.items()} for r in data] for n, data in rows.items()}
 
