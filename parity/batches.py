@@ -533,8 +533,13 @@ def _exported(m, t, name):
     return exports.read_export(t.spark, f"{folder}/{name}", mart.schema)
 
 
-# The six tables that reports read back with their types.
+# Every table that is exported, back with its types; the monthly revenue mart is above.
 for _name, _part in {
+    "dim_user": "src_users",
+    "mart_product_monthly": "product_mart",
+    "mart_feature_adoption": "adoption_mart",
+    "mart_cohort_retention": "retention_mart",
+    "mart_acquisition": "acquisition_mart",
     "dim_account": "account_dim",
     "dim_date": "date_dim",
     "fct_account_month": "revenue_fact",
@@ -601,19 +606,31 @@ def _(m, t):
     return reduce(DataFrame.unionByName, each)
 
 
-@query(
-    "S10_latest_summary",
+SUMMARY = (
     "select r.month as latest_month, (select count(*) from account_dim) as accounts, (select count(*) from event_fact) as events, "
     + ", ".join(f"r.{c} as revenue_{c}" for c in exports.REVENUE_FIELDS)
     + ", "
     + ", ".join(f"p.{c} as product_{c}" for c in exports.PRODUCT_FIELDS)
     + """ from (select * from revenue_mart order by month desc limit 1) r
-          cross join (select * from product_mart order by month desc limit 1) p""",
+          cross join (select * from product_mart order by month desc limit 1) p"""
 )
+
+
+def _summary(m):
+    return exports.latest_summary(m.dim_account, m.fct_product_event, m.mart_revenue_monthly, m.mart_product_monthly)
+
+
+@query("S10_latest_summary", SUMMARY)
 def _(m, t):
-    return exports.latest_summary(
-        m.dim_account, m.fct_product_event, m.mart_revenue_monthly, m.mart_product_monthly
-    )
+    return _summary(m)
+
+
+@query("S10_written_summary", SUMMARY)
+def _(m, t):
+    """The summary as its file has it."""
+    path, summary = f"{shared_dir(t.spark)}/summary-{uuid.uuid4().hex}", _summary(m)
+    exports.write_summary(summary, path)
+    return t.spark.read.schema(summary.schema).json(path)
 
 
 @query(

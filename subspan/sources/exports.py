@@ -8,11 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+# The fields of the summary, in its order.
 REVENUE_FIELDS = (
-    "month mrr beginning_mrr new_mrr reactivation_mrr expansion_mrr contraction_mrr churn_mrr paying_accounts "
-    "beginning_accounts churned_accounts arr nrr grr logo_churn_rate arpa modeled_ltv"
-).split()
-PRODUCT_FIELDS = "month average_dau mau active_accounts stickiness".split()
+    "month",
+    "mrr",
+    "beginning_mrr",
+    "new_mrr",
+    "reactivation_mrr",
+    "expansion_mrr",
+    "contraction_mrr",
+    "churn_mrr",
+    "paying_accounts",
+    "beginning_accounts",
+    "churned_accounts",
+    "arr",
+    "nrr",
+    "grr",
+    "logo_churn_rate",
+    "arpa",
+    "modeled_ltv",
+)
+PRODUCT_FIELDS = ("month", "average_dau", "mau", "active_accounts", "stickiness")
 
 
 def export_csv(marts: Mapping[str, DataFrame], folder: str) -> None:
@@ -39,7 +55,7 @@ def latest_summary(
 ) -> DataFrame:
     """One row with the account and event counts and the latest month of both marts."""
 
-    def latest(df: DataFrame, fields: list[str], prefix: str):
+    def latest(df: DataFrame, fields: tuple[str, ...], prefix: str):
         newest = df.agg(F.max_by(F.struct(*fields), "month").alias("row"))
         return newest.select(F.struct(*(F.col(f"row.{f}").alias(f"{prefix}_{f}") for f in fields)).alias("row"))
 
