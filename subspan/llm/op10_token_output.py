@@ -8,6 +8,8 @@ parallel by segment or by block, and each task holds one segment (or one longer
 
 Order: segments by (part, segment), documents by ``doc_id``, null first; rows of one id by a hash of the text.
 
+Strings of special tokens in a text become these tokens, as the library does by default.
+
 Nulls and odd input: a null or empty text is the end id alone. A null id is kept as null and comes first. Repeated rows
 are written as often as they occur. Extra columns are not written. An empty table gives an empty file.
 """
@@ -62,7 +64,7 @@ def _segment_row(part: int, segment: int, parts: list[bytes], doc_ids: list, len
 
 def _encoded(content, end_id: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(content.value)
+        coder = encoder(content.value, special=True)
         end = np.array([end_id], dtype=coder.dtype).tobytes()
         part, segment, held = TaskContext.get().partitionId(), 0, 0
         parts, doc_ids, lengths = [], [], []

@@ -20,6 +20,7 @@ BLOCK = LANES * STEPS
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _BITS = np.uint64(SCALE)
+_DENSE = 1 << 20  # ids below it are counted and numbered by a table
 
 
 class Block(NamedTuple):
@@ -31,7 +32,12 @@ class Block(NamedTuple):
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids and their frequencies, which sum to 2**SCALE; each is 1 at least."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    if len(ids) and int(ids.max()) < _DENSE:
+        every = np.bincount(ids)
+        symbols = np.flatnonzero(every)
+        counts, symbols = every[symbols], symbols.astype(ids.dtype)
+    else:
+        symbols, counts = np.unique(ids, return_counts=True)
     total = 1 << SCALE
     if len(symbols) > total // 2:
         raise ValueError(f"{len(symbols)} distinct ids; a table holds {total // 2}")
@@ -58,7 +64,12 @@ def encode(ids: np.ndarray, symbols: np.ndarray, freqs: np.ndarray) -> list[Bloc
     steps = _steps(n)
     size = steps * LANES
     blocks = -(-n // size)
-    dense = np.searchsorted(symbols, ids).astype(np.int64)
+    if int(symbols[-1]) < _DENSE:
+        place = np.zeros(int(symbols[-1]) + 1, dtype=np.int64)
+        place[symbols] = np.arange(len(symbols))
+        dense = place[ids]
+    else:
+        dense = np.searchsorted(symbols, ids).astype(np.int64)
     padded = np.full(blocks * size, int(np.argmax(freqs)), dtype=np.int64)
     padded[:n] = dense
     by_step = np.ascontiguousarray(padded.reshape(blocks, steps, LANES).transpose(1, 0, 2)).reshape(steps, -1)

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
 
-MEMO_WORDS = 1_000_000  # pieces that a Python worker remembers: about 180 MB
+MEMO_WORDS = 600_000  # pieces after which a Python worker begins a new memory; it keeps the one before: about 200 MB
 _LONG = 64  # longer pieces are not remembered
 
 _TWO_SPACES = re.compile(r"\s\s")
 _ONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_encoders: dict[str, Encoder] = {}
+# One space, then anything without a space or white space at its end: in a row of such pieces each begins with a space.
+_SPACED = re.compile(r" [^\s](?:[^ ]*\S)?")
+_TOGETHER = 500  # of them are encoded as one text
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -28,28 +32,30 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
-def encoder(content: str) -> Encoder:
+def encoder(content: str, special: bool = False) -> Encoder:
     """The encoder of this Python worker, with what it remembers from earlier tasks."""
-    if content not in _encoders:
+    if (content, special) not in _encoders:
         _encoders.clear()
-        _encoders[content] = Encoder(content)
-    return _encoders[content]
+        _encoders[content, special] = Encoder(content, special)
+    return _encoders[content, special]
 
 
 class Encoder:
-    """Encodes texts without adding special tokens; their strings in a text are ordinary text.
+    """Encodes texts without adding special tokens. With ``special`` their strings in a text are those tokens, as is the library's
+    default; else they are ordinary text.
 
     A byte-level tokenizer that splits by its own pattern and normalises nothing never joins what stands on both sides of a
     space between two other characters: a token may begin with that space and doesn't cross it. So texts are
-    cut there, the library encodes each distinct piece once and the pieces' ids are joined. Any other tokenizer
-    gets whole texts.
+    cut there, the library encodes each distinct piece once and the pieces' ids are joined. New pieces are encoded many
+    at a time as one text, whose ids are cut where a token begins with a space. Any other tokenizer gets whole texts.
     """
 
-    def __init__(self, content: str) -> None:
+    def __init__(self, content: str, special: bool = False) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         model = json.loads(content)
@@ -60,7 +66,14 @@ class Encoder:
             and split.get("use_regex", True)
             and not model.get("normalizer")
         )
+        # Strings that are found before a text is split.
+        self.added = [t["content"] for t in model.get("added_tokens") or ()]
+        self.by_piece &= not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in model.get("added_tokens") or ())
+        self.begins = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, dtype=bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.begins[k] = token.startswith("\u0120")  # a space in the library's byte alphabet
         self.memo: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: none) as little-endian numbers of ``dtype``."""
@@ -68,16 +81,17 @@ class Encoder:
             found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
             return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        get = self.memo.get
+            self.earlier, self.memo = self.memo, {}
         cut = [self._pieces(t) if t else [] for t in texts]
-        found = [list(map(get, pieces)) for pieces in cut]
-        gaps = [k for k, ids in enumerate(found) if None in ids]
-        new = {p for k in gaps for p, ids in zip(cut[k], found[k], strict=True) if ids is None}
-        self._learn(new)
-        for k in gaps:
-            found[k] = map(get, cut[k])
-        out = [b"".join(ids) for ids in found]
+        every = set().union(*cut)
+        new = every.difference(self.memo)
+        unknown = new.difference(self.earlier) if self.earlier else new
+        known = new - unknown
+        self.memo.update(zip(known, map(self.earlier.__getitem__, known), strict=True))
+        self._learn(unknown)
+        # A dictionary of the batch alone is small enough to stay near the core that reads it for every word.
+        own = dict(zip(every, map(self.memo.__getitem__, every), strict=True))
+        out = [b"".join(map(own.__getitem__, pieces)) for pieces in cut]
         for p in new:
             if len(p) > _LONG:
                 del self.memo[p]
@@ -95,18 +109,32 @@ class Encoder:
         memo = self.memo
         # A word and one mark after it are two tokens' worth of text: the pattern never joins letters and marks.
         marked = {p for p in new if p[-1:] in (".", ",") and p[1:-1].isalpha()}
-        plain = {p[:-1] for p in marked}.union((".", ","), (p for p in new if p not in marked))
-        self._encode_pieces([p for p in plain if p not in memo])
+        plain = {p[:-1] for p in marked}.union((".", ","), new - marked)
+        self._encode_pieces(plain.difference(memo))
         for p in marked:
             memo[p] = memo[p[:-1]] + memo[p[-1]]
 
-    def _encode_pieces(self, pieces: list[str]) -> None:
-        if not pieces:
-            return
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        raw = np.array(found.ids, dtype=self.dtype).tobytes()
-        owner = np.array(found.word_ids, dtype=np.int64)
-        cuts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(pieces))))) * self.dtype.itemsize
-        cuts = cuts.tolist()
+    def _encode_pieces(self, pieces: set[str]) -> None:
+        spaced = list(filter(_SPACED.fullmatch, pieces))
+        rest = list(pieces.difference(spaced))
+        parts = [spaced[i : i + _TOGETHER] for i in range(0, len(spaced), _TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(["".join(part) for part in parts], add_special_tokens=False)  # without the places in the text
+        for part, encoded in zip(parts, found, strict=True):
+            ids = np.array(encoded.ids, dtype=self.dtype)
+            cuts = np.flatnonzero(self.begins[ids])
+            if len(cuts) == len(part) and cuts[0] == 0 and not any(t in piece for t in self.added if t in "".join(part) for piece in part):
+                self._remember(part, ids, np.append(cuts, len(ids)))
+            else:
+                rest += part
+        if rest:
+            self._encode_apart(rest)
+
+    def _remember(self, pieces: list[str], ids: np.ndarray, cuts: np.ndarray) -> None:
+        raw, cuts = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
         for p, a, b in zip(pieces, cuts, cuts[1:], strict=False):
             self.memo[p] = raw[a:b]
+
+    def _encode_apart(self, pieces: list[str]) -> None:
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        owner = np.array(found.word_ids, dtype=np.int64)
+        self._remember(pieces, np.array(found.ids, dtype=self.dtype), np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(pieces))))))

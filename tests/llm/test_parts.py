@@ -3,10 +3,12 @@
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from subspan.llm import rans
 from subspan.llm.tokens import Encoder, tokenizer_json
@@ -73,19 +75,42 @@ def test_blocks_decode_alone_and_checksums_catch_changes():
 
 @pytest.fixture(scope="module")
 def coder():
-    return Encoder(tokenizer_json())
+    return Encoder(tokenizer_json(), special=True)
 
 
-@settings(max_examples=150, deadline=None)
-@given(texts=st.lists(st.none() | st.text(alphabet=st.sampled_from(list("abZ .,!'\t\n\x00é日12")), max_size=30), max_size=5))
-def test_ids_are_those_of_the_library(coder, texts):
+@pytest.fixture(scope="module")
+def library():
+    """The library's tokenizer as it comes."""
+    return Tokenizer.from_str(tokenizer_json())
+
+
+def same_ids(coder, library, texts):
     for t, raw in zip(texts, coder.encode(texts), strict=True):
-        assert np.frombuffer(raw, coder.dtype).tolist() == coder.tokenizer.encode(t or "", add_special_tokens=False).ids
+        assert np.frombuffer(raw, coder.dtype).tolist() == library.encode(t or "", add_special_tokens=False).ids, t
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(st.none() | st.text(alphabet=st.sampled_from(list("abZ .,!'\t\n\x00é日12<|>\u00a0\u2003\u0120")), max_size=30), max_size=5))
+def test_ids_are_those_of_the_library(coder, library, texts):
+    same_ids(coder, library, texts)
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.text(max_size=60), max_size=8), parts=st.lists(st.sampled_from(["<|endoftext|>", " ", "word", "\n", "'s", "9"]), max_size=8))
+def test_ids_of_any_characters_and_special_strings(coder, library, texts, parts):
+    same_ids(coder, library, [*texts, "".join(parts), " ".join([*texts, *parts])])
 
 
-def test_special_strings_are_text_and_long_pieces_are_forgotten(coder):
+def test_ids_of_the_table_are_those_of_the_library(coder, library):
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    same_ids(coder, library, texts)
+
+
+def test_special_strings_are_text_where_asked_for_and_long_pieces_are_forgotten(library):
     texts = ["a <|endoftext|> b", "x" * 500, "don't, won't.  two  spaces \n"]
-    for t, raw in zip(texts, coder.encode(texts), strict=True):
-        ids = np.frombuffer(raw, coder.dtype).tolist()
-        assert ids == coder.tokenizer.encode(t, add_special_tokens=False).ids and 50256 not in ids
+    coder = Encoder(tokenizer_json())
+    library = Tokenizer.from_str(tokenizer_json())
+    library.encode_special_tokens = True
+    same_ids(coder, library, texts)
+    assert 50256 not in np.frombuffer(coder.encode(texts)[0], coder.dtype) and 50256 in np.frombuffer(Encoder(tokenizer_json(), special=True).encode(texts)[0], coder.dtype)
     assert max(map(len, coder.memo)) <= 64

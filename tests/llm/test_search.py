@@ -1,14 +1,16 @@
 """Exact search, HTML extraction, token files."""
 
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from subspan.llm import op6_extract, op8_topk, op9_token_counts, op10_token_output
 from subspan.llm.tables import new_path
-from subspan.llm.tokens import Encoder, tokenizer_json
+from subspan.llm.tokens import tokenizer_json
 
 
 # --- 8 --------------------------------------------------------------------------------------
@@ -18,11 +20,10 @@ def best(rows, k=5, every=50):
 
     usable = [(d, whole(v)) for d, v in rows if d is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in sorted({d for d, _ in usable if d % every == 0}):
-        own = min(v for d, v in usable if d == q)
+    for q, own in ((d, v) for d, v in usable if d % every == 0):
         scores = [(-sum(a * b for a, b in zip(own, v, strict=False)), d) for d, v in usable if d != q]
         out += [(q, i + 1, d, -s) for i, (s, d) in enumerate(sorted(scores)[:k])]
-    return out
+    return sorted(out)
 
 
 def searched(spark, rows, **options):
@@ -32,6 +33,7 @@ def searched(spark, rows, **options):
 
 def test_search_is_exact(spark, monkeypatch):
     monkeypatch.setattr(op8_topk, "PIVOTS", 8)
+    monkeypatch.setattr(op8_topk, "PER_PIVOT", 30)
     monkeypatch.setattr(op8_topk, "BLOCK", 16)
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((6, 12))
@@ -46,6 +48,8 @@ def test_search_of_odd_vectors(spark):
     padded = [(d, v + [0.0] * (3 - len(v))) for d, v in few]
     assert searched(spark, few) == best(padded)
     assert searched(spark, []) == [] and searched(spark, [(50, [1.0])]) == [] and searched(spark, [(50, None)]) == []
+    twice = [(0, [1.0, 2.0]), (0, [-1.0, 5.0]), (0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5, 4.0]), (50, [1.0, 1.0])]
+    assert searched(spark, twice) == best(twice) and len(best(twice)) == 3 * 3 + 5
     large = [(0, [3e9, 1.0]), (1, [2e9, 1.0]), (2, [-2e9, 5.0])]
     limited = [(q, r, d, max(-(2**63), min(2**63 - 1, s))) for q, r, d, s in best(large)]
     assert searched(spark, large) == limited
@@ -103,14 +107,68 @@ def test_short_lines_and_links_near_a_surge_stay():
     assert op6_extract.extract(f"<p>{long}</p><nav><p>menu</p></nav><aside>x</aside><form>y</form><p>The end.</p>") == long.strip() + "\n\nThe end."
 
 
+def test_wrappers_named_after_their_side_column_lose_nothing():
+    article = f"<article><h1>Title</h1><p>{'word ' * 40}</p><p>{'more ' * 30}</p></article>"
+    text = "\n\n".join(["Title", ("word " * 40).strip(), ("more " * 30).strip()])
+    side, rude = f"<div class='sidebar'><p>{'side ' * 40}</p></div>", f"<div class='comments'><p>{'rude ' * 100}</p></div>"
+    for page in (
+        f"<div class='layout sidebar-right'>{article}{side}</div>",
+        f"<div class='page has-sidebar'>{article}{rude}</div>",
+        f"<div id=wrap class='header-fixed'>{article}</div>",
+        f"<div class='comments-open'>{article}{rude}</div>",
+        f"<form><div class='sidebar-left'>{side}</div>{article}<footer>x</footer></form>",
+        f"<div class='widget'><div class='header-fixed'><form>{side}{article}</form></div></div>",
+    ):
+        assert op6_extract.extract(page) == text, page
+    plain = "<p>" + "word " * 40 + "</p>"
+    assert op6_extract.extract(f"<form>{plain}</form>") == ("word " * 40).strip()
+    assert op6_extract.extract("<div class='cookie-notice'><p>We use cookies.</p></div><nav>menu</nav>") == ""
+    assert op6_extract.extract(f"{plain}<form><p>{'mail ' * 40}</p></form>{rude}") == ("word " * 40).strip()
+
+
+def test_extraction_is_linear():
+    def seconds(n):
+        page = "".join(f"<div class='ad'>x</div><section class='sidebar-on'><p>{'w' * 50} {k}\u0130</p></section><aside>never closed" for k in range(n))
+        begin = time.process_time()
+        op6_extract.extract(page)
+        return time.process_time() - begin
+
+    few, many = min(seconds(2000) for _ in range(3)), seconds(20_000)
+    assert many < 30 * few
+
+
+def slow_regions(sizes, elements, window, surge):
+    """Line by line: sums of the windows that begin at each line; where they dive to 0, or an element stands, regions part."""
+    out, begin, last = [], None, None
+    for i in [*[k for k in range(len(sizes)) if sizes[k] and not elements[k]], None]:
+        parted = i is None or last is None or any(elements[last:i]) or any(sum(sizes[j : j + window]) == 0 and j + window <= i for j in range(last + 1, i))
+        if parted:
+            if last is not None:
+                own = sizes[begin : last + 1]
+                out.append((begin, last + 1, any(sum(own[j : j + window]) >= surge for j in range(len(own)))))
+            begin = i
+        last = i
+    return out
+
+
+def test_regions_are_those_of_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        sizes = np.where(rng.random(n) < 0.5, 0, rng.integers(1, 60, n))
+        elements = np.where(rng.random(n) < 0.15, 1, 0)
+        window = int(rng.integers(1, 5))
+        assert op6_extract._regions(sizes, elements, window, 86) == slow_regions(sizes.tolist(), elements.tolist(), window, 86)
+
+
 # --- 9, 10 ----------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def coder():
-    return Encoder(tokenizer_json())
+    return Tokenizer.from_str(tokenizer_json())
 
 
 def ids_of(coder, text):
-    return coder.tokenizer.encode(text or "", add_special_tokens=False).ids
+    return coder.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("size", [op10_token_output.SEGMENT, 100])
