@@ -102,13 +102,17 @@ class Context:
     # A fact row whose account or day is missing from the dimension belongs to a blank (NULL)
     # member while nothing filters that dimension, hence left joins there.
 
-    def with_account(self, fact: DataFrame) -> DataFrame:
-        """Account columns for the grouping, and the account filter. No join if neither."""
+    def with_account(self, fact: DataFrame, hashed: bool = False) -> DataFrame:
+        """Account columns for the grouping, and the account filter. No join if neither.
+
+        ``hashed`` is for facts with many rows of each account: a task looks up its accounts in a table of them and never sorts the fact.
+        """
         wanted = [c for c in self.account_by if c != "account_id"]
         if not wanted and self.accounts is None:
             return fact
         # The account dimension grows with the business: Spark picks the join by its size.
         members = self.account_rows().select("account_id", *wanted)
+        members = members.hint("shuffle_hash") if hashed else members
         clash = [c for c in wanted if c in fact.columns]
         return fact.drop(*clash).join(members, "account_id", "left" if self.accounts is None else "inner")
 
@@ -137,7 +141,7 @@ def _monthly(ctx: Context) -> DataFrame:
     """Sums of the accounts' groups by month, all months: every date column is a function of the month's first day."""
     revenue = ctx.star.revenue.withColumn("_period", F.col("month")).withColumnRenamed("month", "_day")
     return (
-        ctx.with_account(revenue)
+        ctx.with_account(revenue, hashed=True)
         .groupBy(*ctx.account_by, "_period")
         .agg(*(F.sum(c).cast(MONEY_SUM).alias(c) for c in BALANCES), *(F.sum(c).alias(c) for c in ACCOUNT_FLAGS))
         .withColumn("_day", F.col("_period"))
@@ -150,7 +154,21 @@ def _latest(ctx: Context, monthly: DataFrame, columns: Iterable[str]) -> DataFra
     return ctx.with_dates(monthly, "_day").groupBy(*ctx.by).agg(last).select(*ctx.by, "_last.*")
 
 
+def _last_months(ctx: Context) -> DataFrame:
+    """Each account's revenue rows of its last shown month, so that a group by account does not hold all of its months.
+
+    Rows without an account can't be looked up and all stay.
+    """
+    revenue = ctx.star.revenue
+    shown = ctx.with_dates(revenue.select(F.col("account_id").alias("_who"), "month", F.col("month").alias("_day")), "_day")
+    last = shown.groupBy("_who").agg(F.max("month").alias("_last"))
+    joined = revenue.join(last.hint("shuffle_hash"), F.col("account_id") == F.col("_who"), "left")
+    return joined.where(F.col("account_id").isNull() | (F.col("month") == F.col("_last"))).select(*revenue.columns)
+
+
 def _revenue(ctx: Context) -> DataFrame:
+    if "account_id" in ctx.by and not ctx.date_by:
+        ctx = replace(ctx, star=replace(ctx.star, revenue=_last_months(ctx)))
     return _latest(ctx, _monthly(ctx), (*BALANCES, *ACCOUNT_FLAGS))
 
 

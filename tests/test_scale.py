@@ -207,3 +207,33 @@ def test_churn_risk_drops_empty_rows_before_any_shuffle(spark, models, tmp_path,
     stored = Models(models.raw, str(tmp_path / "models"))
     text = plan(analysis.churn_risk(stored.fct_account_month, stored.dim_account, stored.usage, stored.dim_date))
     assert "Window [min(month" not in text and "GreaterThan(mrr,0.00)" in text
+
+
+@pytest.mark.parametrize("by", [["segment"], ["account_id"], ["account_id", "segment"]])
+def test_months_of_accounts_are_neither_sorted_nor_held(spark, no_broadcast, by):
+    """Revenue rows of odd accounts (repeated, missing, null, repeated months) against a recount, and the plan's joins."""
+    months = [date(2024, m, 1) for m in range(1, 7)]
+    rng, facts = random.Random(3), []
+    for account in ["a0", "a1", "a2", "gone", None]:
+        for month in months[: 6 if account == "a0" else rng.randrange(1, 7)]:
+            facts += [(account, month, rng.randrange(100))] * (2 if account in ("a1", None) else 1)
+    other = ("beginning_mrr", "new_mrr", "reactivation_mrr", "expansion_mrr", "contraction_mrr", "churn_mrr")
+    flags = ("paying_account", "beginning_account", "churned_account")
+    fact = spark.createDataFrame(facts, "account_id string, month date, mrr int").withColumn("mrr", F.col("mrr").cast("decimal(18,2)"))
+    fact = fact.withColumns({c: F.lit(0).cast("decimal(18,2)") for c in other} | {c: F.lit(0) for c in flags})
+    members = [("a0", "x"), ("a1", "x"), ("a2", "y"), ("a2", "z"), (None, "n")]
+    account = spark.createDataFrame(members, "account_id string, segment string")
+    days = [(d, d, d.year, d.month) for d in months[:5]]  # the last month lies after the calendar
+    calendar = spark.createDataFrame(days, "date_day date, month date, year int, month_number int")
+    star = Star(account, calendar, fact, None, None, None)
+    for dates in (None, F.col("month_number") <= 3):
+        sums = defaultdict(lambda: defaultdict(int))
+        for who, month, mrr in facts:
+            if dates is None or month.month <= 3:
+                for segment in [s for a, s in members if "segment" in by and a == who is not None] or [None]:
+                    group = tuple({"account_id": who, "segment": segment}[c] for c in by)
+                    sums[group][month] += mrr
+        expected = {group: sum_[max(sum_)] for group, sum_ in sums.items()}
+        found = measure_query(star, ["mrr"], by, dates=dates)
+        assert {tuple(r[c] for c in by): r["mrr"] for r in found.collect()} == expected
+        assert "ShuffledHashJoin [account_id" in plan(found) and "SortMergeJoin [account_id" not in plan(found)
