@@ -253,3 +253,39 @@ def test_a_feed_is_read_once(spark, rows, tmp_path):
 def test_fingerprint_lanes_are_wide(spark):
     kinds = spark.range(1).select(F.lit("x").alias("a")).agg(*landing.fingerprint_columns(StructType.fromDDL("a string"))).dtypes
     assert {k for n, k in kinds if n.startswith("lane")} == {"decimal(38,0)"}
+
+
+def test_lanes_are_sums_of_plain_integers(spark):
+    """The lanes are those of the row's sha256, its highest bits too, and no row becomes a decimal."""
+    import hashlib
+
+    df = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    lanes = df.agg(*landing.fingerprint_columns(df.schema))
+    digests = [hashlib.sha256(f"{len(str(i))}:{i}".encode()).hexdigest() for i in range(500)]
+    expected = [sum(int(d[16 * i : 16 * i + 16], 16) for d in digests) for i in range(landing.LANES)]
+    assert [int(lanes.first()[f"lane{i}"]) for i in range(landing.LANES)] == expected
+    empty = df.where("false").agg(*landing.fingerprint_columns(df.schema)).first()
+    assert [empty["rows"], *(empty[f"lane{i}"] for i in range(landing.LANES))] == [0, *[None] * landing.LANES]
+    plan = lanes._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(conv" not in plan and "as decimal(28,0)))" not in plan
+
+
+def test_plain_records_are_told_by_their_schema(spark, tmp_path):
+    plain = dict(account_id="a1", month="2020-01-01", amount_cents=12, billing_period="monthly", plan="P")
+    cases = [
+        (plain, [], []),
+        ({**plain, "amount_cents": 1.5, "plan": None}, [], []),
+        ({}, [], []),
+        ({"plan": "x, y>"}, [], []),
+        ({**plain, "plan": 3}, [], ["plan"]),
+        ({**plain, "account_id": {"b": 1}}, [], ["account_id"]),
+        ({**plain, "plan: STRING, q": 1}, ["plan: STRING, q"], []),
+        ({**plain, "plans": None}, ["plans"], []),
+        ([1], ["(not an object)"], []),
+    ]
+    (tmp_path / "s.jsonl").write_text("".join(json.dumps(record) + "\n" for record, *_ in cases))
+    read = feeds.read_json(spark, "subscriptions", f"{tmp_path}/s.jsonl", lines=True)
+    found = read.orderBy("_arrival").collect()
+    assert [(r[validation.UNKNOWN_FIELDS], r[validation.NOT_TEXT]) for r in found] == [(unknown, wrong) for _, unknown, wrong in cases]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("OBJECT<(account_id: ") == 2
