@@ -16,6 +16,7 @@ from parity.sql import PARTS
 from subspan.functions.columns import month_start
 from subspan.operators import staging, validation
 from subspan.plans import build
+from subspan.plans.models import Models
 from subspan.session import shared_dir
 from subspan.sources import exports, feeds, landing, warehouse
 from subspan.sources.contracts import CONTRACTS, DOMAINS
@@ -570,9 +571,9 @@ MART_PARTS = {
     " union all ".join(f"select '{name}' as mart, count(*) as \"rows\" from {part}" for name, part in MART_PARTS.items()),
 )
 def _(m, t):
-    """Every mart exported; the rows that come back."""
+    """Every mart exported; the rows that come back. What marts share is written and computed once."""
     folder = f"{shared_dir(t.spark)}/export-{uuid.uuid4().hex}"
-    marts = m.marts()
+    marts = Models(m.raw, f"{folder}/models").marts()
     exports.export_csv(marts, folder)
     each = (
         exports.read_export(t.spark, f"{folder}/{name}", df.schema).agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(name))

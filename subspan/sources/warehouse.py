@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
+from subspan.session import written
 from subspan.sources import files, landing
 from subspan.sources.contracts import CONTRACTS
 from subspan.sources.pointers import LOG
@@ -121,8 +122,8 @@ def _write_days(spark: SparkSession, path: str, rows: DataFrame, days: Iterable[
     write = rows.sortWithinPartitions("day", "event_id").write.option("compression", "zstd").partitionBy("day")
     blooms = {"parquet.bloom.filter.enabled#event_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
     write.options(**blooms).parquet(f"{path}/data/run={run}")
-    written = {n.removeprefix("day=") for n in files.children(spark, f"{path}/data/run={run}") if n.startswith("day=")}
-    return {d: r for d, r in before.items() if d not in days} | {d: run for d in written}
+    present = {n.removeprefix("day=") for n in files.children(spark, f"{path}/data/run={run}") if n.startswith("day=")}
+    return {d: r for d, r in before.items() if d not in days} | {d: run for d in present}
 
 
 def _days_of(spark: SparkSession, path: str) -> Days:
@@ -156,7 +157,8 @@ def _merge_days(spark: SparkSession, path: str, before: Days, batch: DataFrame,
     incoming = _with_day(batch.select(*columns), "occurred_at", unit)
     days = {r["day"] for r in incoming.select("day").distinct().collect()}
     others = {d: run for d, run in before.items() if date.fromisoformat(d) not in days}
-    days |= days_with(_read_days(spark, path, others, CONTRACTS["events"].schema), incoming.select("event_id"))
+    if others:
+        days |= days_with(_read_days(spark, path, others, CONTRACTS["events"].schema), incoming.select("event_id"))
     touched = {d.isoformat(): before[d.isoformat()] for d in days if d.isoformat() in before}
     old = _read_days(spark, path, touched, CONTRACTS["events"].schema)
     return _write_days(spark, path, merge_rows(old, incoming, ["event_id"], "ingested_at"), days, before)
@@ -183,7 +185,13 @@ def upsert_events(spark: SparkSession, path: str, batch: DataFrame, unit: str =
     ``unit="month"`` stores by month instead, for tables too small to fill daily files. A correction may
     move an event to another day: both days are rewritten and appear together.
     """
-    _point_days(spark, path, _merge_days(spark, path, _days_of(spark, path), batch, unit))
+    # A merge reads the batch several times: its days, its ids, its rows. Written first, it is computed once.
+    incoming = f"{path}/incoming/{uuid.uuid4().hex}"
+    try:
+        batch = written(batch.select(*CONTRACTS["events"].columns), incoming)
+        _point_days(spark, path, _merge_days(spark, path, _days_of(spark, path), batch, unit))
+    finally:
+        files.remove(spark, incoming)
 
 
 # --- the accumulated tables -----------------------------------------------------------------

@@ -245,3 +245,30 @@ def test_time_range_is_half_open_and_pushed_down(spark, tmp_path, capsys):
     assert sorted(r["event_id"] for r in ranged.collect()) == ["2", "3", "4"]
     ranged.explain()
     assert "GreaterThanOrEqual(occurred_at" in capsys.readouterr().out
+
+
+def test_an_upsert_computes_its_batch_once(spark, tmp_path):
+    path, seen = f"{tmp_path}/events", spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for day in (3, 5):
+        batch = frame(spark, event("a", day, day), event(f"b{day}", 4, 5))
+        warehouse.upsert_events(spark, path, batch.mapInArrow(count, EVENTS))
+    assert seen.value == 4
+    assert stored(spark, path) == {"a": (5, "login", 5), "b3": (4, "login", 4), "b5": (4, "login", 4)}
+    assert files.children(spark, f"{path}/incoming") == []
+
+
+def test_exported_marts_share_written_models(spark):
+    from __spark_entry__ import queries
+    from subspan.session import shared_dir
+    from tests.conftest import TEST_TABLES
+
+    before = set(files.children(spark, shared_dir(spark)))
+    counts = queries()["S9_all_marts"](spark, TEST_TABLES).collect()
+    (made,) = (n for n in set(files.children(spark, shared_dir(spark))) - before if n.startswith("export-"))
+    assert len(counts) == 12 and {"usage", "fct_account_month", "fct_product_event"} <= set(files.children(spark, f"{shared_dir(spark)}/{made}/models"))
