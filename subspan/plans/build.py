@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +18,10 @@ from subspan.plans.models import MARTS, Models
 from subspan.session import observed, written
 from subspan.sources import files, pointers
 
+# The shared models after those they read, then all that only read them.
+_SHARED = (("dim_account", "dim_date"), ("fct_account_month", "fct_product_event"), ("usage", "fct_account_funnel"))
+WAVES = (*_SHARED, tuple(name for name in MARTS if not any(name in wave for wave in _SHARED)))
+
 
 class BuildError(ValueError):
     """Data tests failed; ``failing`` has the number of failing rows by test."""
@@ -44,9 +49,17 @@ def write_marts(spark: SparkSession, raw: Mapping[str, DataFrame], place: str) -
         seen[name] = Observation(), df.agg(*metrics).columns
         return df.observe(seen[name][0], *metrics)
 
-    for name, df in Models(raw, place, watch).marts().items():
-        if not files.exists(spark, f"{place}/{name}"):  # shared models are written already
+    models = Models(raw, place, watch)
+
+    def save(name: str) -> None:
+        df = getattr(models, name)
+        if name in MARTS and not files.exists(spark, f"{place}/{name}"):  # shared models are written already
             written(watch(name, df), f"{place}/{name}")
+
+    # The tables of a wave need only those of the waves before. Submitted together, small ones fill the gaps of big ones.
+    for wave in WAVES:
+        with ThreadPoolExecutor(len(wave)) as pool:
+            list(pool.map(save, wave))
     failing = checks.key_counts(SimpleNamespace(**_tables(spark, place))).first().asDict()
     for observation, names in seen.values():
         for check in names:

@@ -201,3 +201,24 @@ def test_counts_of_a_build_are_those_of_the_single_checks(spark, golden, rows, t
                     found[check] = found.get(check, 0) + n
         assert found == single and len(found) == 22
         assert models is golden or sum(n > 0 for n in found.values()) >= 16
+
+
+def test_marts_of_a_wave_are_written_together(spark, golden, rows, tmp_path, monkeypatch):
+    """Two marts that don't need each other wait for one another; every mart is written, the shared ones by their models."""
+    from threading import Barrier
+
+    both, plain, made = Barrier(2, timeout=120), build.written, []
+
+    def together(df, path):
+        name = path.rsplit("/", 1)[1]
+        made.append(name)
+        if name in ("mart_revenue_monthly", "mart_acquisition"):
+            both.wait()
+        return plain(df, path)
+
+    monkeypatch.setattr(build, "written", together)
+    build.write_marts(spark, golden.raw, str(tmp_path))
+    shared = {"dim_account", "dim_date", "fct_account_month", "fct_product_event", "fct_account_funnel"}
+    assert sorted(made) == sorted(set(build.MARTS) - shared)
+    for name in build.MARTS:
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == getattr(golden, name).count()
