@@ -40,8 +40,8 @@ class Models:
     folder: str | None = None
     watch: Callable[[str, DataFrame], DataFrame] = lambda name, df: df  # sees a shared model before it is written
 
-    def _shared(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        return written(self.watch(name, df), f"{self.folder}/{name}", partition_by) if self.folder else df
+    def _shared(self, name: str, df: DataFrame, partition_by: str | None = None, placed: bool = False) -> DataFrame:
+        return written(self.watch(name, df), f"{self.folder}/{name}", partition_by, placed) if self.folder else df
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
@@ -93,7 +93,7 @@ class Models:
         """Needs a folder: bitmaps are built once and read by many queries."""
         if self.folder is None:
             raise ValueError("bitmaps are written tables: give the models a folder")
-        return self._shared("usage_bits", bitmaps.usage_bits(self.usage, self.dim_account, self.folder), "month")
+        return self._shared("usage_bits", bitmaps.usage_bits(self.usage, self.dim_account, self.folder), "month", placed=True)
 
     @cached_property
     def fct_account_funnel(self) -> DataFrame:

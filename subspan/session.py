@@ -54,13 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/subspan-shared"
 
 
-def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, path: str, partition_by: str | None = None, placed: bool = False) -> DataFrame:
     """Write ``df`` and read it back: the plan after it starts from files, not from lineage.
 
-    With ``partition_by`` one value goes to one task, or to several when it is large.
+    With ``partition_by`` one value goes to one task, or to several when it is large; ``placed`` rows lie like that already.
     """
     if partition_by:
-        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+        writer = (df if placed else df.hint("rebalance", partition_by)).write.partitionBy(partition_by)
     else:
         writer = df.write
     writer.mode("overwrite").option("compression", "zstd").parquet(path)

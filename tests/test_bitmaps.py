@@ -86,3 +86,54 @@ def test_numbers_are_dense_and_buckets_add_up(spark, tmp_path):
     days = bitmaps.users_and_days(bits, ["month"], ("users", "days")).first()
     assert (days["users"], days["days"]) == (n, 2 * n)
     bits.unpersist()
+
+
+def usage_rows(spark):
+    """Users of two accounts, accounts without a row or a key, several days of a month and users without a key."""
+    rows, first = [], date(2024, 2, 1)
+    for i in range(400):
+        user, account = f"u{i % 150}", f"a{i % 40}"
+        rows.append((first if i % 2 else date(2024, 3, 1), None if i == 7 else user, None if i == 9 else account, ("login", "export")[i % 2], 1 << i % 29 | 1 << (i * 7) % 29))
+    usage = spark.createDataFrame(rows, "month date, user_id string, account_id string, event_name string, day_mask bigint")
+    members = [(f"a{k}", f"s{k % 3}", "r", "c", first) for k in range(38)]  # a38 and a39 are unknown
+    return rows, members, usage, spark.createDataFrame(members, "account_id string, segment string, region string, channel string, cohort_month date")
+
+
+def test_bitmap_rows_against_sets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bitmaps, "_RANGE_BITS", 5)  # many ranges, which no bitmap's members respect
+    rows, members, usage, account = usage_rows(spark)
+    bits = bitmaps.usage_bits(usage, account, str(tmp_path)).persist()
+    segments = {m[0]: m[1] for m in members}
+    who, daily = {}, {}
+    for month, user, member, event, mask in rows:
+        for d in range(31):
+            if mask >> d & 1:
+                key = (segments.get(member), event)
+                users, accounts = who.setdefault(key, (set(), set()))
+                users |= {user} - {None}
+                accounts |= {member} - {None}
+                daily.setdefault((segments.get(member), month), set()).update({(user, d)} if user else ())
+    got = {(r["segment"], r["event_name"]): (r["user_id"], r["account_id"]) for r in bitmaps.counted(bits, ["segment", "event_name"]).collect()}
+    assert got == {k: (len(u), len(a)) for k, (u, a) in who.items()}
+    months = bitmaps.users_and_days(bits, ["segment", "month"], ("users", "days")).collect()
+    assert {(r["segment"], r["month"]): (r["users"], r["days"]) for r in months} == {k: (len({u for u, _ in v}), len(v)) for k, v in daily.items()}
+    assert all(r["day"].replace(day=1) == r["month"] for r in bits.select("day", "month").distinct().collect())
+    bits.unpersist()
+
+
+def test_usage_is_not_sorted_for_its_bitmaps(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, _, usage, account = usage_rows(spark)
+        bits = bitmaps.usage_bits(usage, account, str(tmp_path))
+        text = bits._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "HashAggregate" in text and "SortAggregate" not in text
+    assert text.count("ShuffledHashJoin") == 2 and bits.schema["bits"].dataType.simpleString() == "bigint"
+
+
+@pytest.mark.parametrize("measures, by", [(["active_users", "retained_accounts"], ["segment", "event_name"]), (["mau"], ["segment", "month"])])
+def test_bitmap_measures_are_hash_aggregates(stars, measures, by):
+    text = measure_query(stars[1], measures, by)._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in text and "SortAggregate" not in text
