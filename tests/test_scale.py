@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from subspan.operators import analysis, product, ranking, staging, validation
 from subspan.operators.acquisition import fct_account_funnel
 from subspan.operators.measures import Star, measure_query
@@ -237,3 +238,16 @@ def test_months_of_accounts_are_neither_sorted_nor_held(spark, no_broadcast, by)
         found = measure_query(star, ["mrr"], by, dates=dates)
         assert {tuple(r[c] for c in by): r["mrr"] for r in found.collect()} == expected
         assert "ShuffledHashJoin [account_id" in plan(found) and "SortMergeJoin [account_id" not in plan(found)
+
+
+# The queries whose tasks sorted the dense months of their accounts.
+MONTHS_BY_HASH = (
+    "D16_modeled_ltv_by_segment",
+)
+
+
+@pytest.mark.parametrize("name", MONTHS_BY_HASH)
+def test_registered_revenue_queries_sort_no_dense_months(spark, no_broadcast, name):
+    text = plan(queries()[name](spark, TEST_TABLES))
+    assert "ShuffledHashJoin [account_id" in text
+    assert not re.search(r"SortMergeJoin \[account_id#\d+\], \[account_id#\d+\]", text)
