@@ -243,6 +243,7 @@ def test_months_of_accounts_are_neither_sorted_nor_held(spark, no_broadcast, by)
 # The queries whose tasks sorted the dense months of their accounts.
 MONTHS_BY_HASH = (
     "D16_modeled_ltv_by_segment",
+    "D1_to_D17_revenue_by_region_channel",
 )
 
 
