@@ -32,6 +32,7 @@ from subspan.llm.tokens import encoder, tokenizer_json
 from subspan.llm.words import slices
 
 SEGMENT = 1 << 22  # ids after which a segment ends
+TEXT = 8 << 20  # bytes of text that are encoded at a time
 END_ID = 0
 _FILE = (
     "part int, segment int, n_ids long, symbols binary, freqs binary, "
@@ -68,7 +69,7 @@ def _encoded(content, end_id: int, size: int):
         end = np.array([end_id], dtype=coder.dtype).tobytes()
         part, segment, held = TaskContext.get().partitionId(), 0, 0
         parts, doc_ids, lengths = [], [], []
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT):
             found = coder.encode(batch.column("text").to_pylist())
             for doc, raw in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 parts += (raw, end)

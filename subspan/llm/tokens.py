@@ -7,9 +7,12 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_WORDS = 600_000  # pieces after which a Python worker begins a new memory; it keeps the one before: about 200 MB
 _LONG = 64  # longer pieces are not remembered
+_MARKS = ".,;:!?#$%&*"
 
 _TWO_SPACES = re.compile(r"\s\s")
 _ONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -68,7 +71,7 @@ class Encoder:
         )
         # Strings that are found before a text is split.
         self.added = [t["content"] for t in model.get("added_tokens") or ()]
-        self.by_piece &= not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in model.get("added_tokens") or ())
+        self.by_piece &= not any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in model.get("added_tokens") or ())
         self.begins = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, dtype=bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.begins[k] = token.startswith("\u0120")  # a space in the library's byte alphabet
@@ -82,37 +85,71 @@ class Encoder:
             return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
         if len(self.memo) > MEMO_WORDS:
             self.earlier, self.memo = self.memo, {}
-        cut = [self._pieces(t) if t else [] for t in texts]
-        every = set().union(*cut)
-        new = every.difference(self.memo)
-        unknown = new.difference(self.earlier) if self.earlier else new
-        known = new - unknown
-        self.memo.update(zip(known, map(self.earlier.__getitem__, known), strict=True))
-        self._learn(unknown)
-        # A dictionary of the batch alone is small enough to stay near the core that reads it for every word.
-        own = dict(zip(every, map(self.memo.__getitem__, every), strict=True))
-        out = [b"".join(map(own.__getitem__, pieces)) for pieces in cut]
-        for p in new:
-            if len(p) > _LONG:
-                del self.memo[p]
+        # Arrow cuts the texts and numbers their distinct pieces, so Python meets a piece once a call and numpy joins the ids.
+        lists = pc.split_pattern(pa.array(map(self._marked, texts), pa.large_string()), "\x00")
+        numbered = lists.flatten().dictionary_encode()
+        raw = self._known(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())  # far faster than to_pylist
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
+        firsts = np.cumsum(sizes) - sizes
+        which = numbered.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        place = np.repeat(firsts[which] - ends[:-1], lengths)
+        place += np.arange(len(place))
+        ids = np.frombuffer(b"".join(raw), dtype=self.dtype)[place].tobytes()
+        cuts = ends[np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())] * self.dtype.itemsize
+        out = [ids[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist(), strict=False)]
+        for i, text in enumerate(texts):
+            if text and "\x00" in text:
+                out[i] = self._known([text])[0]
         return out
 
     @staticmethod
-    def _pieces(text: str) -> list[str]:
-        if "\x00" in text:
-            return [text]
+    def _marked(text: str | None) -> str | None:
+        """The text with a mark before each piece but the first; none where it is empty or holds the mark, and is one piece.
+
+        The pattern makes a line feed without white space beside it a piece by itself.
+        """
+        if not text or "\x00" in text:
+            return None
         if _TWO_SPACES.search(text):
-            return _ONE_SPACE.sub("\x00 ", text).split("\x00")
-        return text.replace(" ", "\x00 ").split("\x00")
+            return _ONE_SPACE.sub("\x00 ", text)
+        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00")
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces; new ones are learned."""
+        found = list(map(self.memo.get, pieces))
+        new = [i for i, raw in enumerate(found) if raw is None]
+        unknown = set()
+        for i in new:
+            raw = self.earlier.get(pieces[i])
+            if raw is None:
+                unknown.add(pieces[i])
+            else:
+                self.memo[pieces[i]] = raw
+        self._learn(unknown)
+        for i in new:
+            found[i] = self.memo[pieces[i]]
+        for i in new:
+            if len(pieces[i]) > _LONG:
+                del self.memo[pieces[i]]
+        return found
 
     def _learn(self, new: set[str]) -> None:
-        memo = self.memo
-        # A word and one mark after it are two tokens' worth of text: the pattern never joins letters and marks.
-        marked = {p for p in new if p[-1:] in (".", ",") and p[1:-1].isalpha()}
-        plain = {p[:-1] for p in marked}.union((".", ","), new - marked)
-        self._encode_pieces(plain.difference(memo))
-        for p in marked:
-            memo[p] = memo[p[:-1]] + memo[p[-1]]
+        memo, words = self.memo, {}
+        together = "\x00".join(new)
+        if not any(t in together for t in self.added):
+            # A word and marks after it are two tokens' worth of text: the pattern never joins letters and marks.
+            for p in new:
+                word = p.rstrip(_MARKS)
+                if len(word) < len(p) <= _LONG and word[1:].isalpha():
+                    words[p] = word
+        plain = {p for p in new if p not in words}
+        plain.update(w for w in words.values() if w not in memo)
+        plain.update({p[len(w) :] for p, w in words.items()}.difference(memo))
+        self._encode_pieces(plain)
+        for p, word in words.items():
+            memo[p] = memo[word] + memo[p[len(word) :]]
 
     def _encode_pieces(self, pieces: set[str]) -> None:
         spaced = list(filter(_SPACED.fullmatch, pieces))

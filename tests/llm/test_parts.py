@@ -114,3 +114,20 @@ def test_special_strings_are_text_where_asked_for_and_long_pieces_are_forgotten(
     same_ids(coder, library, texts)
     assert 50256 not in np.frombuffer(coder.encode(texts)[0], coder.dtype) and 50256 in np.frombuffer(Encoder(tokenizer_json(), special=True).encode(texts)[0], coder.dtype)
     assert max(map(len, coder.memo)) <= 64
+
+
+def test_lines_and_marks_are_no_new_pieces(library, monkeypatch):
+    """A known word is not encoded anew for the marks after it or the line feed beside it."""
+    coder, asked = Encoder(tokenizer_json()), []
+    learn = coder._encode_pieces
+    monkeypatch.setattr(coder, "_encode_pieces", lambda pieces: (asked.extend(pieces), learn(pieces)))
+    same_ids(coder, library, ["a tulip b", "tulip", "\n", "?! ,"])
+    asked.clear()
+    same_ids(coder, library, ["a tulip,", "b tulip?!\ntulip b\n", "tulip b?!\nb", None, "", "\n"])
+    assert not [p for p in asked if "tulip" in p or ("\n" in p)], asked
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.text(alphabet=st.sampled_from(list("ab \n.,;:!?#$%&*'-9éÖ\u0301")), max_size=40), max_size=5))
+def test_ids_of_words_between_marks_and_line_feeds(coder, library, texts):
+    same_ids(coder, library, texts)
