@@ -1,6 +1,7 @@
 """Landing: validation, replay, tampering, feeds."""
 
 import json
+import time
 from copy import deepcopy
 from datetime import date, datetime, timedelta
 
@@ -179,6 +180,70 @@ def test_json_feeds_equal_rows_in_memory(spark, rows, tmp_path, lines):
     assert batch.files == publish(spark, rows, f"{tmp_path}/b").files
 
 
+def test_ties_go_to_the_first_of_a_feed_of_many_files_and_blocks(spark, rows, tmp_path):
+    """One number is an element's place in the whole feed; versions take no path along."""
+    data = as_json(rows)
+    names = ("login", "report_created", "export", "automation", "invite_sent")
+    twice = [{**e, "event_name": names[k % 5]} for k, e in enumerate(data["events"])]
+    files_of = {"a": twice[:150], "b": twice[150:], "c": data["events"]}
+    (tmp_path / "events.json").mkdir()
+    for file, records in files_of.items():
+        (tmp_path / "events.json" / f"{file}.json").write_text(json.dumps(records))
+    for name in data.keys() - {"events"}:
+        (tmp_path / f"{name}.json").write_text(json.dumps(data[name]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        read = feeds.read_feeds(spark, str(tmp_path))
+        assert dict(read["events"].dtypes)["_arrival"] == "bigint"
+        batch = landing.publish(spark, read, f"{tmp_path}/a")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = landing.read_batch(spark, f"{tmp_path}/a", batch.batch_id)["events"].collect()
+    assert {r["event_id"]: r["event_name"] for r in got} == {e["event_id"]: e["event_name"] for e in twice}
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_landed_batch_leaves_no_shuffle_files(spark, rows, tmp_path):
+    frames, setting = feeds.from_rows(spark, rows), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffle_files(spark), spark.conf.get(setting)
+    landing.publish(spark, frames, str(tmp_path))
+    for _ in range(100):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting) == was
+
+
+def test_users_of_events_are_screened_before_their_days_are_looked_at(spark, rows):
+    """A row of the screening for each kind of fault, none for a good batch; the report is that of the whole rules."""
+    names = ("events", "users")
+
+    def frames(data):
+        return {n: validation.with_faults(n, f).drop(validation.FAULTS) for n, f in feeds.from_rows(spark, data).items()}
+
+    def doubts(data):
+        typed = frames(data)
+        return validation.event_users_in_doubt(*(typed[n] for n in names)).count(), validation.event_user_faults(*(typed[n] for n in names)).count()
+
+    assert doubts(rows) == (0, 0)
+    validation.reject_relational(frames(rows))
+    for name in ("its user", "user mismatch", "event before user"):
+        broken = deepcopy(rows)
+        OTHER_FAULTS["orphan event" if name == "its user" else name][0](broken)
+        screened, found = doubts(broken)
+        assert screened == 1 and found >= 1
+        with pytest.raises(ContractError) as caught:
+            validation.reject_relational(frames(broken))
+        assert OTHER_FAULTS[name][1][:2] in {f[:2] for f in caught.value.faults} and not any("to look at" in f[2] for f in caught.value.faults)
+    repeated = deepcopy(rows)
+    repeated["users"].append({**repeated["users"][0], "account_id": "A0001"})
+    assert doubts(repeated)[0] == 1
+
+
 def test_json_feed_reports_unknown_fields_and_wrong_types(spark, rows, tmp_path):
     data = as_json(rows)
     data["accounts"][0]["owner"] = "x"
