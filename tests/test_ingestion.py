@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from subspan.operators import validation
 from subspan.operators.validation import ContractError
+from subspan.session import SHUFFLE_CLEANUP, brief_shuffles
 from subspan.sources import feeds, files, landing, warehouse
 from subspan.sources.landing import ChecksumError
 
@@ -208,14 +209,25 @@ def shuffle_files(spark):
 
 
 def test_a_landed_batch_leaves_no_shuffle_files(spark, rows, tmp_path):
-    frames, setting = feeds.from_rows(spark, rows), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before, was = shuffle_files(spark), spark.conf.get(setting)
+    frames = feeds.from_rows(spark, rows)
+    before, was = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP)
     landing.publish(spark, frames, str(tmp_path))
     for _ in range(100):
         if not (left := shuffle_files(spark) - before):
             break
         time.sleep(0.1)
-    assert not left and spark.conf.get(setting) == was
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP) == was
+
+
+def test_brief_shuffles_restore_the_setting_when_the_last_has_left(spark):
+    was = spark.conf.get(SHUFFLE_CLEANUP)
+    first, second = brief_shuffles(spark), brief_shuffles(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == was
 
 
 def test_users_of_events_are_screened_before_their_days_are_looked_at(spark, rows):
